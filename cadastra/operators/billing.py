@@ -108,19 +108,24 @@ def active_lines(facts: DataFrame, intervals: DataFrame) -> DataFrame:
     )
 
 
-def consumption(lines: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """Add ``consumption``: balance minus the balance at the previous invoice that moved the consumption mark.
+def consumption(lines: DataFrame, rules: Rules = Rules(), marks: DataFrame | None = None) -> DataFrame:
+    """(property_id, op_date, consumption, water_mark): balance minus the last consumption mark, and the new mark.
 
-    Only days on which the consumption charge is active move the mark. Runs on one row per (property, date).
+    The mark is the balance at the latest earlier invoice on which the consumption charge was active, 0 at the
+    start; ``marks`` (property_id, water_mark) holds marks from before the first day. One row per (property, date).
     """
-    marks = (
+    days = (
         lines.groupBy("property_id", "op_date", "balance")
         .agg(F.bool_or(F.col("charge_id") == rules.consumption_charge_id).alias("_moves"))
         .withColumn("_mark", F.when(F.col("_moves"), F.col("balance")))
     )
     before = Window.partitionBy("property_id").orderBy("op_date").rowsBetween(Window.unboundedPreceding, -1)
-    previous = F.coalesce(F.last("_mark", True).over(before), F.lit(0))
-    return marks.select(
+    start = F.lit(0)
+    if marks is not None:
+        earlier = marks.select("property_id", F.col("water_mark").alias("_start"))
+        days, start = days.join(earlier, "property_id", "left"), F.coalesce("_start", F.lit(0))
+    previous = F.coalesce(F.last("_mark", True).over(before), start)
+    return days.select(
         "property_id",
         "op_date",
         (F.col("balance") - previous).cast("decimal(28,2)").alias("consumption"),
@@ -129,7 +134,7 @@ def consumption(lines: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
 
 def price(lines: DataFrame, charges: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """Price every active line in one pass over the broadcast charge catalog.
+    """Price every active line in one pass over the charge catalog.
 
     ``lines`` needs charge_id, consumption, fiscal and area_m2. Charges without a monthly calculator drop out.
     """
@@ -139,7 +144,7 @@ def price(lines: DataFrame, charges: DataFrame, rules: Rules = Rules()) -> DataF
     columns = {c: F.col(c) for c in ("min_amount", "min_m3", "per_m3", "rate", "fixed", "min_m2")}
     name = F.col("name")
     return (
-        lines.join(F.broadcast(catalog), "charge_id")
+        lines.join(catalog, "charge_id")
         .withColumn(
             "amount",
             line_amount(name, F.col("consumption"), F.col("fiscal"), F.col("area_m2"), columns, rules),

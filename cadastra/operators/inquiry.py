@@ -84,9 +84,9 @@ def property_profile(
     property_id=None,
 ) -> dict[str, DataFrame]:
     """Property with use and zone names, its open owners, and every charge ever linked to it."""
-    use = F.broadcast(uses.select(F.col("id").alias("use_id"), F.col("name").alias("use_name")))
-    zone = F.broadcast(zones.select(F.col("id").alias("zone_id"), F.col("name").alias("zone_name")))
-    catalog = F.broadcast(charges.select("charge_id", F.col("name").alias("charge_name")))
+    use = uses.select(F.col("id").alias("use_id"), F.col("name").alias("use_name"))
+    zone = zones.select(F.col("id").alias("zone_id"), F.col("name").alias("zone_name"))
+    catalog = charges.select("charge_id", F.col("name").alias("charge_name"))
     return {
         "property": only(properties, property_id).join(use, "use_id").join(zone, "zone_id"),
         "owners": only(ownership, property_id).where("end_date IS NULL").join(persons, "document"),
@@ -132,8 +132,8 @@ def invoice_headers(
     rules: Rules = Rules(),
 ) -> DataFrame:
     """Detail headers of all invoices: dates, use and zone, interest, fee, computed and stored totals."""
-    use = F.broadcast(uses.select(F.col("id").alias("use_id"), F.col("name").alias("use_name")))
-    zone = F.broadcast(zones.select(F.col("id").alias("zone_id"), F.col("name").alias("zone_name")))
+    use = uses.select(F.col("id").alias("use_id"), F.col("name").alias("use_name"))
+    zone = zones.select(F.col("id").alias("zone_id"), F.col("name").alias("zone_name"))
     place = (
         properties.select("property_id", "use_id", "zone_id").join(use, "use_id", "left").join(zone, "zone_id", "left")
     )
@@ -182,14 +182,14 @@ def simulated_lines(headers: DataFrame, charges: DataFrame) -> DataFrame:
         .select("invoice_id", F.explode(extras).alias("_extra"))
         .select("invoice_id", "_extra.*")
         .where("amount > 0")
-        .join(F.broadcast(ids), "charge_name", "left")
+        .join(ids, "charge_name", "left")
         .select("invoice_id", "charge_id", "charge_name", "amount", "description")
     )
 
 
 def invoice_lines(lines: DataFrame, headers: DataFrame, charges: DataFrame) -> DataFrame:
     """Stored lines with charge names plus the simulated extras (sort by name and charge id to display)."""
-    catalog = F.broadcast(charges.select("charge_id", F.col("name").alias("charge_name")))
+    catalog = charges.select("charge_id", F.col("name").alias("charge_name"))
     stored = lines.join(catalog, "charge_id").select(
         "invoice_id", "charge_id", "charge_name", money(F.col("amount")).alias("amount"), "description"
     )

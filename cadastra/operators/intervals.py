@@ -77,7 +77,7 @@ def known_charges(movements: DataFrame, properties: DataFrame, charges: DataFram
     return (
         movements.select("property_id", "charge_id", "op_date", "action")
         .distinct()
-        .join(F.broadcast(charges.select("charge_id")), "charge_id", "left_semi")
+        .join(charges.select("charge_id"), "charge_id", "left_semi")
         .join(listed, "property_id")
         .where("op_date >= _listed")
         .drop("_listed")

@@ -17,7 +17,7 @@ from cadastra.rules import Rules
 def water_properties(properties: DataFrame, uses: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Property ids whose use, by name, obliges to water."""
     named = uses.where(F.col("name").isin(*rules.water_uses)).select(F.col("id").alias("use_id"))
-    return properties.join(F.broadcast(named), "use_id", "left_semi").select("property_id")
+    return properties.join(named, "use_id", "left_semi").select("property_id")
 
 
 def water_intervals(
@@ -27,7 +27,7 @@ def water_intervals(
     water = charges.where(F.col("name") == R.WATER).select("charge_id")
     raw = (
         intervals.where("to_date IS NULL OR to_date > from_date")
-        .join(F.broadcast(water), "charge_id", "left_semi")
+        .join(water, "charge_id", "left_semi")
         .join(water_properties(properties, uses, rules), "property_id", "left_semi")
         .select("property_id", "from_date", F.coalesce("to_date", F.lit("9999-12-31").cast("date")).alias("to_date"))
     )
@@ -49,7 +49,7 @@ def must_have_water(
 ) -> DataFrame:
     """Property ids that must have water now: obliging use and a water charge still active."""
     water = charges.where(F.col("name") == R.WATER).select("charge_id")
-    active = intervals.where("to_date IS NULL").join(F.broadcast(water), "charge_id", "left_semi")
+    active = intervals.where("to_date IS NULL").join(water, "charge_id", "left_semi")
     return water_properties(properties, uses, rules).join(active, "property_id", "left_semi")
 
 

@@ -30,6 +30,8 @@ def work_dir(spark: SparkSession) -> str:
     """Shared folder of the cluster (``spark.checkpoint.dir``); a temporary one only in local mode."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(named)
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")

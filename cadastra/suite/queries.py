@@ -185,7 +185,7 @@ def facts(s: Star) -> DataFrame:
 def lines_of(s: Star, name: str) -> DataFrame:
     """Lines of one charge: only its calculator's inputs are computed."""
     only = s.charges.where(F.col("name") == name)
-    chosen = s.assignments.join(F.broadcast(only.select("charge_id")), "charge_id", "left_semi")
+    chosen = s.assignments.join(only.select("charge_id"), "charge_id", "left_semi")
     return billing.charge_lines(facts(s), chosen, only).select("property_id", "op_date", "amount", "description")
 
 

@@ -16,7 +16,7 @@ from cadastra import schemas
 from cadastra.functions.money import money
 from cadastra.operators import intervals, registry, service
 from cadastra.operators.payments import settle
-from cadastra.session import tune
+from cadastra.session import small, tune
 
 # Dates of the as-of queries.
 CUT_DATE = dt.date(1996, 1, 31)
@@ -80,7 +80,7 @@ class Star:
 
     @cached_property
     def properties(self) -> DataFrame:
-        regions = F.broadcast(self.read("nation").select("n_nationkey", "n_regionkey"))
+        regions = small(self.read("nation").select("n_nationkey", "n_regionkey"))
         key = F.col("c_custkey")
         registered = F.date_add(F.lit(dt.date(1995, 1, 1)), (key % 365).cast("int"))
         return (
