@@ -55,7 +55,7 @@ def random_events(n_properties: int, n_dates: int, span: int, seed: int) -> tupl
             for _ in range(rnd.choice([0, 0, 0, 1, 2])):
                 value = Decimal(rnd.randrange(0, 12000)) / 100
                 ev["reading"].append((d, len(ev["reading"]), meter, rnd.choice([1, 2, 3, 3, 9]), value))
-            for _ in range(rnd.choice([0] * 12 + [1, 1, 2, 3])):
+            for _ in range(rnd.choice([0] * 80 + [1, 1, 2])):
                 ref = None if rnd.random() < 0.03 else f"R{rnd.randrange(4)}"
                 ev["payment"].append((d, len(ev["payment"]), pid, rnd.choice([1, 2]), ref))
     ev["payment"].append((dates[-1], len(ev["payment"]), "F-none", 1, "R0"))
