@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cadastra.session import small
-
 
 def bills_on(registered: Column, on: Column) -> Column:
     """True when ``on`` is the property's billing day (registration day, clamped to the month's end)."""
@@ -22,22 +22,26 @@ def billing_day_keys(dates: DataFrame) -> DataFrame:
     return dates.select("op_date", F.explode(F.sequence(day, last)).alias("day_key"))
 
 
-def next_date_lookup(dates: DataFrame, column: str) -> tuple[DataFrame, Column]:
+def next_date_lookup(dates: DataFrame, column: str, max_dates: int = 100_000) -> tuple[DataFrame, Column]:
     """Calendar ``(day, next_date)`` giving the first date of ``dates`` strictly after each day.
 
     Returns the calendar and the earliest day it covers: clamp a lookup key with ``greatest(key, earliest)``.
-    The calendar has one row per day between the first and the last date; it is broadcast when small, and is an
-    ordinary equi-join side otherwise.
+    The calendar has one row per day from the first to the last date. Up to ``max_dates`` distinct dates it is made
+    on the driver and broadcast; beyond that it is an ordinary equi-join side.
     """
-    distinct = small(dates.select(F.col(column).alias("next_date")).where(F.col(column).isNotNull()).distinct())
-    first = distinct.agg(F.min("next_date").alias("d")).first()["d"]
-    if first is None:
-        empty = distinct.select(F.col("next_date").alias("day"), "next_date")
-        return small(empty), F.lit(None).cast("date")
-    earliest = F.date_sub(F.lit(first), 1)
-    # One row per date of the calendar: the ordered pass is bounded by the calendar, not by the data.
+    spark = dates.sparkSession
+    distinct = dates.select(F.col(column).cast("date").alias("next_date")).where("next_date IS NOT NULL").distinct()
+    found = distinct.limit(max_dates + 1).toArrow()["next_date"]
+    if len(found) <= max_dates:
+        stops = np.sort(found.to_numpy().astype("datetime64[D]"))
+        days = np.arange(stops[0] - 1, stops[-1]) if len(stops) else stops
+        following = stops[np.searchsorted(stops, days, side="right")] if len(stops) else stops
+        table = pa.table({"day": pa.array(days, pa.date32()), "next_date": pa.array(following, pa.date32())})
+        earliest = F.lit(days[0].item()) if len(days) else F.lit(None).cast("date")
+        return F.broadcast(spark.createDataFrame(table)), earliest
+    earliest = F.date_sub(F.lit(distinct.agg(F.min("next_date")).first()[0]), 1)
     previous = F.coalesce(F.lag("next_date").over(Window.orderBy("next_date")), earliest)
     days = distinct.select("next_date", previous.alias("previous")).select(
         F.explode(F.sequence("previous", F.date_sub("next_date", 1))).alias("day"), "next_date"
     )
-    return small(days, 400_000), earliest
+    return days, earliest

@@ -13,20 +13,25 @@ def ownership_transitions(movements: DataFrame) -> DataFrame:
     """Movements that take effect: (property_id, document, op_date, action), opens and closes alternating.
 
     On one date all opens run before all closes, an open needs no interval to be open, a close needs one.
-    Copies collapse before the window, which then holds at most two rows per pair and date.
+    ``movements`` should be distinct (see ``known_ownership``): the window then holds at most two rows per pair
+    and date.
     """
-    days = (
+    order = Window.partitionBy("property_id", "document").orderBy("op_date", "action")
+    previous = F.coalesce(F.lag("action").over(order), F.lit(CLOSE))
+    return (
         movements.where(F.col("action").isin(OPEN, CLOSE))
         .select("property_id", "document", "op_date", "action")
-        .distinct()
+        .withColumn("_previous", previous)
+        .where("action <> _previous")
+        .drop("_previous")
     )
-    order = Window.partitionBy("property_id", "document").orderBy("op_date", "action")
-    previous = F.coalesce(F.lag("action").over(order), F.lit(CLOSE))
-    return days.withColumn("_previous", previous).where("action <> _previous").drop("_previous")
 
 
 def known_ownership(movements: DataFrame, properties: DataFrame, persons: DataFrame) -> DataFrame:
-    """Movements whose property and person are registered on or before the movement's date."""
+    """Distinct movements whose property and person are registered on or before the movement's date.
+
+    Copies collapse in partial aggregation before the joins.
+    """
     listed = properties.select("property_id", F.col("op_date").alias("_listed"))
     known = persons.select("document", F.col("op_date").alias("_known"))
     return (
@@ -53,26 +58,27 @@ def charge_intervals(movements: DataFrame) -> DataFrame:
     """(property_id, charge_id, from_date, to_date) from assign / unassign movements.
 
     The first assignment opens the pair, the first unassignment on or after it ends it for good: a pair that has
-    ever existed is never opened again. ``to_date`` is exclusive and null while the charge is active.
+    ever existed is never opened again. ``to_date`` is exclusive and null while the charge is active. ``movements``
+    should be distinct (see ``known_charges``): the window then holds at most two rows per pair and date. Filters
+    on the charge or the property reach below it.
     """
-    days = (
+    order = Window.partitionBy("property_id", "charge_id").orderBy("action", "op_date")
+    pair = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    opened = F.when(F.col("action") == OPEN, F.col("op_date"))
+    ended = F.when((F.col("action") == CLOSE) & (F.col("op_date") >= F.col("from_date")), F.col("op_date"))
+    return (
         movements.where(F.col("action").isin(OPEN, CLOSE))
         .select("property_id", "charge_id", "op_date", "action")
-        .distinct()
-    )
-    pair = Window.partitionBy("property_id", "charge_id")
-    opened = F.min(F.when(F.col("action") == OPEN, F.col("op_date"))).over(pair)
-    ended = F.min(F.when((F.col("action") == CLOSE) & (F.col("op_date") >= F.col("from_date")), F.col("op_date")))
-    return (
-        days.withColumn("from_date", opened)
-        .where(F.col("from_date").isNotNull())
-        .groupBy("property_id", "charge_id", "from_date")
-        .agg(ended.alias("to_date"))
+        .withColumn("_place", F.row_number().over(order))
+        .withColumn("from_date", F.min(opened).over(pair))
+        .withColumn("to_date", F.min(ended).over(pair))
+        .where((F.col("_place") == 1) & F.col("from_date").isNotNull())
+        .select("property_id", "charge_id", "from_date", "to_date")
     )
 
 
 def known_charges(movements: DataFrame, properties: DataFrame, charges: DataFrame) -> DataFrame:
-    """Movements on a registered property and a catalogued charge."""
+    """Distinct movements on a registered property and a catalogued charge."""
     listed = properties.select("property_id", F.col("op_date").alias("_listed"))
     return (
         movements.select("property_id", "charge_id", "op_date", "action")

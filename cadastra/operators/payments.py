@@ -16,7 +16,8 @@ ATTEMPT = ["property_id", "op_date", "method_id", "reference"]
 
 def valid_attempts(attempts: DataFrame) -> DataFrame:
     """Attempts with property, method and reference; equal ones of a date count once."""
-    return attempts.select(*ATTEMPT).where("property_id IS NOT NULL AND method_id IS NOT NULL AND reference IS NOT NULL").distinct()
+    complete = " AND ".join(f"{column} IS NOT NULL" for column in ATTEMPT)
+    return attempts.select(*ATTEMPT).where(complete).distinct()
 
 
 def incomplete_attempts(attempts: DataFrame) -> DataFrame:
@@ -30,74 +31,59 @@ def incomplete_attempts(attempts: DataFrame) -> DataFrame:
     )
 
 
-def settlement_ledger(invoices: DataFrame, attempts: DataFrame) -> DataFrame:
-    """One row per (property, date, phase): how many attempts pay, and where invoice ranks start.
+DAY = ["property_id", "op_date", "phase"]
+
 
-    Payments of a date run before its invoices (phase 0 before phase 1). With A attempts and I invoices so far,
-    the attempts rejected so far are R = max over days of (A - I), floored at 0, and A - R have paid. Columns:
+def settlement_rows(invoices: DataFrame, attempts: DataFrame) -> DataFrame:
+    """Attempts (phase 0) and invoices (phase 1) in one table, numbered inside (property, date, phase).
 
-    * phase 0: ``paid_before`` (attempts that paid on earlier days) and ``pays`` (how many of today's do);
-    * phase 1: ``rank_before`` (invoices of earlier days), ``due_date`` and ``next_due`` (due date of the next
-      invoice day).
+    Payments of a date run before its invoices. Numbering stays inside one day, so a property with any share of
+    the rows is spread over its dates. Rows without property or date are left out here already: otherwise the join
+    with the ledger infers that filter for one of its two inputs only, and their shuffle is not shared.
     """
-    issued = invoices.groupBy("property_id", F.col("invoice_date").alias("op_date")).agg(
-        F.count(F.lit(1)).alias("issued"), F.min("due_date").alias("due_date")
+    events = attempts.withColumn("phase", F.lit(0)).unionByName(
+        invoices.withColumnRenamed("invoice_date", "op_date")
+        .where("property_id IS NOT NULL AND op_date IS NOT NULL")
+        .withColumn("phase", F.lit(1)),
+        allowMissingColumns=True,
     )
-    tried = attempts.groupBy("property_id", "op_date").agg(F.count(F.lit(1)).alias("tried"))
-    days = tried.withColumn("phase", F.lit(0)).unionByName(
-        issued.withColumn("phase", F.lit(1)), allowMissingColumns=True
+    in_day = Window.partitionBy(*DAY).orderBy("reference", "method_id", "invoice_id")
+    return events.withColumn("in_day", F.row_number().over(in_day)).withColumn(
+        "sibling_due", F.lead("due_date").over(in_day)
     )
+
+
+def settlement_ledger(rows: DataFrame) -> DataFrame:
+    """One row per (property, date, phase): how many attempts pay, and where invoice ranks start.
+
+    With A attempts and I invoices so far, the attempts rejected so far are R = max over days of (A - I), floored
+    at 0, and A - R have paid. Columns:
+
+    * phase 0: ``before`` (attempts that paid on earlier days) and ``pays`` (how many of today's do);
+    * phase 1: ``before`` (invoices of earlier days) and ``next_due`` (due date of the next invoice day).
+    """
+    days = rows.groupBy(*DAY).agg(F.count(F.lit(1)).alias("n"), F.min("due_date").alias("due_date"))
     ordered = running(["property_id"], ["op_date", "phase"])
     sorted_days = Window.partitionBy("property_id").orderBy("op_date", "phase")
+    is_attempt = F.col("phase") == 0
     sums = days.withColumns(
         {
-            "_tried": F.coalesce(F.sum("tried").over(ordered), F.lit(0)),
-            "_issued": F.coalesce(F.sum("issued").over(ordered), F.lit(0)),
-            "next_due": F.expr(
-                "lead(due_date) IGNORE NULLS OVER (PARTITION BY property_id ORDER BY op_date, phase)"
-            ),
+            "tried": F.sum(F.when(is_attempt, F.col("n")).otherwise(0)).over(ordered),
+            "issued": F.sum(F.when(is_attempt, 0).otherwise(F.col("n"))).over(ordered),
+            "next_due": F.expr("lead(due_date) IGNORE NULLS OVER (PARTITION BY property_id ORDER BY op_date, phase)"),
         }
     )
-    rejected = F.greatest(F.max(F.col("_tried") - F.col("_issued")).over(ordered), F.lit(0))
-    paid = sums.withColumn("_paid", F.col("_tried") - rejected)
-    before = F.coalesce(F.lag("_paid").over(sorted_days), F.lit(0))
-    return paid.withColumn("paid_before", before).select(
-        "property_id",
-        "op_date",
-        "phase",
-        "paid_before",
-        (F.col("_paid") - F.col("paid_before")).alias("pays"),
-        (F.col("_issued") - F.coalesce("issued", F.lit(0))).alias("rank_before"),
-        "due_date",
-        "next_due",
-    )
-
-
-def ranked_attempts(attempts: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Attempts with the invoice rank they pay; null rank means nothing was pending."""
-    days = ledger.where("phase = 0").select("property_id", "op_date", "paid_before", "pays")
-    in_day = F.row_number().over(Window.partitionBy("property_id", "op_date").orderBy("reference", "method_id"))
+    rejected = F.greatest(F.max(F.col("tried") - F.col("issued")).over(ordered), F.lit(0))
+    paid_before = F.coalesce(F.lag("paid").over(sorted_days), F.lit(0))
     return (
-        attempts.withColumn("attempt", in_day)
-        .join(days, ["property_id", "op_date"])
-        .withColumn("rank", F.when(F.col("attempt") <= F.col("pays"), F.col("paid_before") + F.col("attempt")))
-        .drop("paid_before", "pays")
-    )
-
-
-def ranked_invoices(invoices: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Invoices with their payment rank in the property and the due date of the next one."""
-    days = ledger.where("phase = 1").select(
-        "property_id", F.col("op_date").alias("invoice_date"), "rank_before", F.col("next_due").alias("_next_day_due")
-    )
-    in_day = Window.partitionBy("property_id", "invoice_date").orderBy("invoice_id")
-    return (
-        invoices.withColumn("_in_day", F.row_number().over(in_day))
-        .withColumn("_sibling_due", F.lead("due_date").over(in_day))
-        .join(days, ["property_id", "invoice_date"])
-        .withColumn("rank", F.col("rank_before") + F.col("_in_day"))
-        .withColumn("next_due", F.coalesce("_sibling_due", "_next_day_due"))
-        .drop("_in_day", "_sibling_due", "_next_day_due", "rank_before")
+        sums.withColumn("paid", F.col("tried") - rejected)
+        .withColumn("paid_before", paid_before)
+        .select(
+            *DAY,
+            F.when(is_attempt, F.col("paid_before")).otherwise(F.col("issued") - F.col("n")).alias("before"),
+            (F.col("paid") - F.col("paid_before")).alias("pays"),
+            "next_due",
+        )
     )
 
 
@@ -109,24 +95,29 @@ def settle(invoices: DataFrame, attempts: DataFrame, rules: Rules = Rules()) ->
     while unpaid); ``rejects`` are the attempts that found nothing pending. An attempt sees the invoices dated
     before it.
     """
-    valid = valid_attempts(attempts)
-    ledger = settlement_ledger(invoices, valid)
-    ranked = ranked_attempts(valid, ledger)
-    paying = ranked.where("rank IS NOT NULL").select(
-        "property_id", "rank", F.col("op_date").alias("paid_on"), "method_id", "reference"
-    )
+    numbered = settlement_rows(invoices, valid_attempts(attempts))
+    rows = numbered.join(settlement_ledger(numbered), DAY)
+    pays = (F.col("phase") == 1) | (F.col("in_day") <= F.col("pays"))
+    # An attempt and the invoice it pays share (property, rank); the attempt sorts first.
+    pair = Window.partitionBy("property_id", "rank").orderBy("phase")
+    interest = late_interest(F.col("original_total"), F.col("due_date"), F.col("paid_on"), rules)
     settled = (
-        ranked_invoices(invoices, ledger)
-        .join(paying, ["property_id", "rank"], "left")
-        .withColumn(
-            "interest",
-            F.when(
-                F.col("paid_on").isNotNull(),
-                late_interest(F.col("original_total"), F.col("due_date"), F.col("paid_on"), rules),
-            ),
+        rows.where(pays)
+        .withColumn("rank", F.col("before") + F.col("in_day"))
+        .withColumns(
+            {
+                "paid_on": F.lag("op_date").over(pair),
+                "method_id": F.lag("method_id").over(pair),
+                "reference": F.lag("reference").over(pair),
+            }
         )
+        .where("phase = 1")
+        .withColumn("next_due", F.coalesce("sibling_due", "next_due"))
+        .withColumn("interest", F.when(F.col("paid_on").isNotNull(), interest))
+        .withColumnRenamed("op_date", "invoice_date")
+        .select(*invoices.columns, "rank", "next_due", "paid_on", "method_id", "reference", "interest")
     )
-    rejects = ranked.where("rank IS NULL").select("property_id", "op_date", "method_id", "reference")
+    rejects = rows.where("phase = 0 AND in_day > pays").select(*ATTEMPT)
     if rules.strict_payments:
         first = rejects.agg(F.min("op_date").alias("d")).first()["d"]
         if first is not None:

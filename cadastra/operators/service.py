@@ -10,7 +10,6 @@ from cadastra import rules as R
 from cadastra.functions.dates import next_date_lookup
 from cadastra.functions.money import money
 from cadastra.operators.intervals import active_on
-from cadastra.operators.ledger import running
 from cadastra.rules import Rules
 
 
@@ -23,25 +22,17 @@ def water_properties(properties: DataFrame, uses: DataFrame, rules: Rules = Rule
 def water_intervals(
     properties: DataFrame, uses: DataFrame, intervals: DataFrame, charges: DataFrame, rules: Rules = Rules()
 ) -> DataFrame:
-    """(property_id, from_date, to_date) in which the property must have water; intervals do not overlap."""
+    """(property_id, from_date, to_date) in which the property must have water, one row per water charge.
+
+    Intervals of several water charges may overlap; the rules below only ask whether some interval holds.
+    """
     water = charges.where(F.col("name") == R.WATER).select("charge_id")
-    raw = (
+    return (
         intervals.where("to_date IS NULL OR to_date > from_date")
         .join(water, "charge_id", "left_semi")
         .join(water_properties(properties, uses, rules), "property_id", "left_semi")
         .select("property_id", "from_date", F.coalesce("to_date", F.lit("9999-12-31").cast("date")).alias("to_date"))
     )
-    # Several water charges may overlap; merge them. A property has one interval per catalogued charge.
-    before = Window.partitionBy("property_id").orderBy("from_date").rowsBetween(Window.unboundedPreceding, -1)
-    starts = F.coalesce(F.max("to_date").over(before) < F.col("from_date"), F.lit(True)).cast("int")
-    island = F.sum("_starts").over(running(["property_id"], ["from_date"]))
-    return (
-        raw.withColumn("_starts", starts)
-        .withColumn("_island", island)
-        .groupBy("property_id", "_island")
-        .agg(F.min("from_date").alias("from_date"), F.max("to_date").alias("to_date"))
-        .drop("_island")
-    )
 
 
 def must_have_water(
@@ -80,46 +71,38 @@ def reconnections_on(active_cuts: DataFrame, paid_invoices: DataFrame, reconnect
     )
 
 
-def cut_candidates(settled: DataFrame, water: DataFrame, gates: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """(property_id, op_date, rank, invoice_id): the invoice a cut would name at each gate date.
+def service_steps(settled: DataFrame, water: DataFrame, gates: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """Dates on which a cut could open (phase 1) or a payment could carry the fee and close it (phase 0).
 
-    Per invoice only the first gate after due date plus grace with water counts, and only if the invoice is still
-    unpaid then. Later gates cannot add a cut: while the invoice is unpaid and overdue no fee can close one.
+    * Open: per invoice and water interval, the first gate after due date plus grace, if the invoice is unpaid
+      then. Later gates cannot add a cut: while the invoice is unpaid and overdue no fee can close one.
+    * Close: a payment on a date with water that leaves no other pending invoice overdue. Due dates grow with the
+      rank, so the next invoice decides.
+
+    Per (property, date, phase) only the lowest rank matters: a cut names the oldest invoice, and later payments of
+    the date find the cut already closed. One pass over ``settled``, pre-aggregated before the shuffle.
     """
     calendar, earliest = next_date_lookup(gates, "op_date")
-    ready = F.greatest(
-        F.date_add("due_date", rules.grace_days), F.date_sub("from_date", 1), earliest
+    ready = F.greatest(F.date_add("due_date", rules.grace_days), F.date_sub("from_date", 1), earliest)
+    opens = (F.col("next_date") < F.col("to_date")) & (
+        F.col("paid_on").isNull() | (F.col("paid_on") > F.col("next_date"))
     )
-    first_gate = (
-        settled.select("property_id", "invoice_id", "rank", "due_date", "paid_on")
-        .join(water, "property_id")
-        .withColumn("day", ready)
-        .join(calendar, "day")
-        .where("next_date < to_date")
-        .groupBy("property_id", "invoice_id", "rank", "paid_on")
-        .agg(F.min("next_date").alias("op_date"))
-        .where("paid_on IS NULL OR paid_on > op_date")
+    closes = active_on(F.col("paid_on")) & (F.col("next_due").isNull() | (F.col("next_due") >= F.col("paid_on")))
+    step = F.array_compact(
+        F.array(
+            F.when(closes, F.struct(F.col("paid_on").alias("op_date"), F.lit(0).alias("phase"))),
+            F.when(opens, F.struct(F.col("next_date").alias("op_date"), F.lit(1).alias("phase"))),
+        )
     )
-    return first_gate.groupBy("property_id", "op_date").agg(
-        F.min(F.struct("rank", "invoice_id", "paid_on")).alias("_oldest")
-    ).select("property_id", "op_date", "_oldest.rank", "_oldest.invoice_id", "_oldest.paid_on")
-
-
-def fee_candidates(settled: DataFrame, water: DataFrame) -> DataFrame:
-    """(property_id, op_date, rank, invoice_id): per date the first payment that could carry the fee.
-
-    The property must have water on the date and no other pending invoice may be overdue. Due dates grow with the
-    rank, so looking at the next invoice is enough. Later such payments of the date find the cut already closed.
-    """
-    last = settled.where(
-        "paid_on IS NOT NULL AND (next_due IS NULL OR next_due >= paid_on)"
-    ).select("property_id", "invoice_id", "rank", F.col("paid_on").alias("op_date"))
     return (
-        last.join(water, "property_id")
-        .where(active_on(F.col("op_date")))
-        .groupBy("property_id", "op_date")
-        .agg(F.min(F.struct("rank", "invoice_id")).alias("_first"))
-        .select("property_id", "op_date", "_first.rank", "_first.invoice_id")
+        settled.select("property_id", "invoice_id", "rank", "due_date", "next_due", "paid_on")
+        .join(water, "property_id")
+        .withColumn("day", ready)
+        .join(calendar, "day", "left")
+        .select("property_id", "invoice_id", "rank", "paid_on", F.explode(step).alias("_step"))
+        .groupBy("property_id", "_step.op_date", "_step.phase")
+        .agg(F.min(F.struct("rank", "invoice_id", "paid_on")).alias("_first"))
+        .select("property_id", "op_date", "phase", "_first.*")
     )
 
 
@@ -128,33 +111,41 @@ def service_cycle(
 ) -> DataFrame:
     """All cuts of the history: (property_id, invoice_id, created_on, closed_on, fee_invoice_id, fee, paid_on).
 
-    A cut opens at a candidate when none is active and closes at the first fee candidate after it. Without a fee
-    (``None``) no cut is ever closed. Payments of a date come before its cuts.
+    A cut opens at the first open step while none is active and closes at the first close step after it. Without a
+    fee (``None``) no cut is ever closed. Payments of a date come before its cuts.
     """
-    opens = cut_candidates(settled, water, gates, rules).withColumn("_phase", F.lit(1))
-    steps = opens
-    if fee is not None:
-        closes = fee_candidates(settled, water).withColumn("_phase", F.lit(0))
-        steps = opens.unionByName(closes, allowMissingColumns=True)
-    order = Window.partitionBy("property_id").orderBy("op_date", "_phase")
+    steps = service_steps(settled, water, gates, rules)
+    if fee is None:
+        steps, fee = steps.where("phase = 1"), F.lit(None)
+    order = Window.partitionBy("property_id").orderBy("op_date", "phase")
     effective = (
-        steps.withColumn("_previous", F.coalesce(F.lag("_phase").over(order), F.lit(0)))
-        .where("_phase <> _previous")
+        steps.withColumn("_previous", F.coalesce(F.lag("phase").over(order), F.lit(0)))
+        .where("phase <> _previous")
         .withColumn("closed_on", F.lead("op_date").over(order))
         .withColumn("fee_invoice_id", F.lead("invoice_id").over(order))
     )
-    charged = F.when(F.col("closed_on").isNotNull(), money(fee)) if fee is not None else F.lit(None).cast("decimal(19,4)")
-    return effective.where("_phase = 1").select(
+    return effective.where("phase = 1").select(
         "property_id",
         "invoice_id",
         F.col("op_date").alias("created_on"),
         "closed_on",
         "fee_invoice_id",
-        charged.alias("fee"),
+        F.when(F.col("closed_on").isNotNull(), money(fee)).alias("fee"),
         "paid_on",
     )
 
 
+def closing_payments(settled: DataFrame, water: DataFrame) -> DataFrame:
+    """Payments of one date that could carry the fee, first of each property: (property_id, fee_invoice_id)."""
+    last = settled.where("paid_on IS NOT NULL AND (next_due IS NULL OR next_due >= paid_on)")
+    return (
+        last.join(water, "property_id")
+        .where(active_on(F.col("paid_on")))
+        .groupBy("property_id")
+        .agg(F.min_by("invoice_id", "rank").alias("fee_invoice_id"))
+    )
+
+
 def fees(cycle: DataFrame) -> DataFrame:
     """Reconnection fees: (property_id, invoice_id, op_date, fee), one per closed cut."""
     return cycle.where("closed_on IS NOT NULL").select(

@@ -81,9 +81,7 @@ def run_day(store: Store, events: Events, day: dt.date, catalog: Catalog, rules:
     water = service.water_intervals(listed, catalog.uses, spans, catalog.charges, rules)
     cuts = state.active_cuts(past["cut_open"], past["cut_close"])
     fee = catalog.reconnection_fee()
-    closing = service.fee_candidates(settled, water).select(
-        "property_id", F.col("invoice_id").alias("fee_invoice_id")
-    ).join(cuts.select("property_id", "invoice_id"), "property_id")
+    closing = service.closing_payments(settled, water).join(cuts.select(*PAIR), "property_id")
     if fee is None:
         closing = closing.limit(0)
     charged = closing.select(
