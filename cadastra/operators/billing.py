@@ -52,6 +52,14 @@ def last_fiscal_change(changes: DataFrame, order: str = "position") -> DataFrame
     )
 
 
+def known_fiscal_changes(changes: DataFrame, properties: DataFrame, order: str = "position") -> DataFrame:
+    """Last change per (property, date) of properties listed on or before it; earlier ones change nothing."""
+    listed = properties.select("property_id", F.col("op_date").alias("_listed"))
+    return (
+        last_fiscal_change(changes, order).join(listed, "property_id").where("op_date >= _listed").drop("_listed")
+    )
+
+
 def as_of(requests: DataFrame, changes: DataFrame, key: str = "property_id") -> DataFrame:
     """Add to every request row the latest value of each changed column on or before its date.
 

@@ -60,7 +60,7 @@ def run_day(store: Store, events: Events, day: dt.date, catalog: Catalog, rules:
     charge_steps = past["charge_log"].unionByName(put("charge_log", steps.where(F.col("op_date") == on)))
     spans = intervals.charge_intervals(charge_steps)
 
-    changes = billing.last_fiscal_change(today["fiscal"]).join(listed.select("property_id"), "property_id", "left_semi")
+    changes = billing.known_fiscal_changes(today["fiscal"], listed)
     fiscal = past["fiscal_log"].unionByName(put("fiscal_log", changes))
 
     put("reading", today["reading"])

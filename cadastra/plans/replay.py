@@ -138,9 +138,7 @@ def replay_tables(
     log = put("charge_log", charge_log(intervals.charge_intervals(moved.unionByName(automatic))))
     spans = intervals.charge_intervals(log)
 
-    since = listed.select("property_id", F.col("op_date").alias("_listed"))
-    changes = billing.last_fiscal_change(events["fiscal"]).join(since, "property_id").where("op_date >= _listed")
-    fiscal = put("fiscal_log", changes.drop("_listed"))
+    fiscal = put("fiscal_log", billing.known_fiscal_changes(events["fiscal"], listed))
     put("reading", events["reading"])
     balances = put("balance_log", meters.property_balances(events["reading"], listed))
 

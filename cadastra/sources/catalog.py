@@ -81,7 +81,7 @@ class Catalog:
 
     def subtype(self, name: str) -> DataFrame:
         """One charge subtype with its own columns."""
-        return self.charges.where(F.col("name") == name).select("charge_id", *SUBTYPES[name])
+        return split_subtypes(self.charges)[name]
 
     def reconnection_fee(self) -> Column | None:
         """Fixed value of the reconnection charge with the smallest id; None when there is none above zero."""
@@ -100,6 +100,13 @@ def int_parameter(parameters: DataFrame, name: str, default: int) -> int:
     return found.select(int_or_default(F.col("value").cast("string"), default).alias("value")).first()["value"]
 
 
+def split_subtypes(charges: DataFrame) -> dict[str, DataFrame]:
+    """The wide charge table as one table per subtype, each with its own columns."""
+    return {
+        name: charges.where(F.col("name") == name).select("charge_id", *columns) for name, columns in SUBTYPES.items()
+    }
+
+
 def parameters_of(document: DataFrame) -> DataFrame:
     pairs = [
         F.struct(F.lit(xml).alias("name"), F.col(f"ParametrosSistema.{xml}").alias("value"))

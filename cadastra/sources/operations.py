@@ -142,7 +142,17 @@ def malformed(documents: DataFrame) -> DataFrame:
     return found
 
 
-def to_documents(spark: SparkSession, text: DataFrame, column: str) -> DataFrame:
+def parse_documents(text: DataFrame, column: str) -> DataFrame:
     """Parse a column of XML date elements with the document schema."""
     parsed = F.from_xml(F.col(column), document_schema())
     return text.select(parsed.alias("_doc")).select("_doc.*")
+
+
+def write_documents(events: DataFrame, kind: str) -> DataFrame:
+    """Every event as an XML date element of its own, in column ``document``."""
+    section, item, attributes = SECTIONS[kind]
+    record = F.struct(*[F.col(name).cast("string").alias(f"_{xml}") for name, xml in attributes.items()])
+    element = F.struct(
+        F.col("op_date").cast("string").alias("_fecha"), F.struct(F.array(record).alias(item)).alias(section)
+    )
+    return events.select(F.to_xml(element, {"rowTag": ROW_TAG}).alias("document"))

@@ -6,6 +6,8 @@ Written from the rules, not from the Spark plans: windows over whole properties,
 
 from __future__ import annotations
 
+import re
+
 AS_OF = "DATE '1996-03-31'"
 CUT_DATE = "DATE '1996-01-31'"
 
@@ -111,9 +113,10 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "gate": ((), "SELECT DISTINCT CAST(o_orderdate AS DATE) AS op_date FROM orders WHERE o_orderpriority = '1-URGENT'"),
     "bill_day": (("property", "op_day"), """SELECT property_id, op_date FROM property, op_day
         WHERE registered_on <= op_date AND least(day(registered_on), day(last_day(op_date))) = day(op_date)"""),
-    "fiscal_change": ((), """SELECT o_custkey AS property_id, CAST(o_orderdate AS DATE) AS op_date,
-        arg_max(CAST(round(o_totalprice * 10000) AS BIGINT), o_orderkey) AS value_u FROM orders
-        WHERE o_orderstatus = 'P' GROUP BY ALL"""),
+    "fiscal_change": (("property",), """SELECT o_custkey AS property_id, CAST(o_orderdate AS DATE) AS op_date,
+        arg_max(CAST(round(o_totalprice * 10000) AS BIGINT), o_orderkey) AS value_u
+        FROM orders JOIN property ON property_id = o_custkey
+        WHERE o_orderstatus = 'P' AND CAST(o_orderdate AS DATE) >= registered_on GROUP BY ALL"""),
     "move": (("reading", "property"), """SELECT property_id, r.op_date, position, movement, value,
         count(*) FILTER (movement = 1) OVER (PARTITION BY property_id ORDER BY r.op_date, position) AS segment
         FROM reading r JOIN property USING (meter_id) WHERE r.op_date >= registered_on"""),
@@ -161,9 +164,10 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         AS rejected FROM backlog"""),
     "settled": (("ranked", "tried"), """SELECT r.*, t.op_date AS paid_on, t.method_id, t.reference FROM ranked r
         LEFT JOIN tried t ON t.property_id = r.property_id AND NOT t.rejected AND t.n - t.backlog = r.rank"""),
-    "candidate": (("settled", "water_span", "gate"), """SELECT s.property_id, s.rank, s.invoice_id, s.paid_on,
-        (SELECT min(g.op_date) FROM gate g WHERE g.op_date > s.due_date + 10 AND g.op_date >= w.from_date
-           AND g.op_date < w.to_date) AS op_date FROM settled s JOIN water_span w USING (property_id)"""),
+    "candidate": (("settled", "water_span", "gate"), """SELECT s.property_id, s.rank, s.invoice_id, s.paid_on, g.op_date
+        FROM (SELECT s.*, to_date, greatest(due_date + 10, from_date - 1) AS ready FROM settled s
+          JOIN water_span USING (property_id)) s
+        ASOF JOIN gate g ON s.ready < g.op_date WHERE g.op_date < s.to_date"""),
     "step": (("candidate", "settled", "water_span"), """SELECT property_id, op_date, 1 AS phase,
           min(rank) AS rank FROM candidate WHERE op_date IS NOT NULL AND (paid_on IS NULL OR paid_on > op_date)
           GROUP BY property_id, op_date
@@ -180,6 +184,25 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         LEFT JOIN ranked f ON f.property_id = t.property_id AND f.rank = t.fee_rank WHERE t.phase = 1"""),
 }
 
+# The same settlement over the invoices the replay generates, with cuts on every operation date.
+CTES["gen_invoice"] = (("bill_day", "line"), """SELECT d.property_id, d.op_date AS invoice_date,
+        concat(d.property_id, '-', strftime(d.op_date, '%Y%m%d')) AS invoice_id, d.op_date + 15 AS due_date,
+        CAST(coalesce(sum(l.amount_u), 0) AS BIGINT) AS original_u FROM bill_day d
+        LEFT JOIN line l ON l.property_id = d.property_id AND l.op_date = d.op_date GROUP BY d.property_id, d.op_date""")
+RENAMED = {"invoice": "gen_invoice", "gate": "op_day"} | {
+    n: f"gen_{n}" for n in ("ranked", "issued", "backlog", "tried", "settled", "candidate", "step", "toggle", "cycle")
+}
+for _old, _new in RENAMED.items():
+    if _new not in CTES:
+        _needs, _text = CTES[_old]
+        for _from, _to in RENAMED.items():
+            _text = re.sub(rf"\b(FROM|JOIN) {_from}\b", rf"\1 {_to}", _text)
+        CTES[_new] = (tuple(RENAMED.get(n, n) for n in _needs), _text)
+CTES["gen_paid"] = (("gen_settled", "gen_cycle"), f"""SELECT s.*,
+        {interest('s.original_u', 's.due_date', 's.paid_on')} AS interest_u,
+        CASE WHEN f.fee_invoice_id IS NULL THEN 0 ELSE 300000000 END AS fee_u
+        FROM gen_settled s LEFT JOIN gen_cycle f ON f.fee_invoice_id = s.invoice_id""")
+
 LISTED = f"property_id, meter_id, area_m2, use_id, zone_id, {money('fiscal_u')} AS fiscal_value, registered_on, owners"
 
 
@@ -302,11 +325,62 @@ QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
         THEN nullif(CAST(p_retailprice AS DECIMAL(10,2)), 0) END AS value FROM part"""),
     "param_default": ((), """SELECT p_partkey AS item_id,
         CAST(CASE WHEN p_size % 4 IN (1, 3) THEN p_size ELSE 15 END AS INTEGER) AS due_days FROM part"""),
+    "charge_subtypes": ((), f"""SELECT p_partkey AS charge_id,
+        CASE WHEN p_size % 7 IN (0, 3) THEN CAST(p_retailprice AS DECIMAL(19,4)) END AS min_amount,
+        CASE WHEN p_size % 7 = 0 THEN p_size END AS min_m3,
+        CASE WHEN p_size % 7 = 0 THEN CAST(p_retailprice AS DECIMAL(19,4)) END AS per_m3,
+        CASE WHEN p_size % 7 IN (2, 6) THEN CAST(p_size AS DECIMAL(10,2)) END AS rate,
+        CASE WHEN p_size % 7 IN (1, 3, 4, 5) THEN CAST(p_retailprice AS DECIMAL(19,4)) END AS fixed,
+        CASE WHEN p_size % 7 IN (2, 3) THEN p_size * 2 END AS min_m2,
+        CASE WHEN p_size % 7 = 2 THEN p_size * 3 END AS tranche_m2,
+        CASE p_size % 7 WHEN 0 THEN 'ConsumoAgua' WHEN 1 THEN 'PatenteComercial' WHEN 2 THEN 'ImpuestoPropiedad'
+          WHEN 3 THEN 'RecoleccionBasura' WHEN 4 THEN 'MantenimientoParques' WHEN 5 THEN 'ReconexionAgua'
+          ELSE 'InteresesMoratorios' END AS subtype FROM part"""),
+    "duplicate_dates": ((), """SELECT CAST(o_orderdate AS DATE) AS op_date, count(*) AS times FROM orders GROUP BY 1
+        HAVING count(*) > 1"""),
+    "invoice_codes": (("invoice",), """SELECT invoice_id, CASE WHEN invoice_id IN (SELECT invoice_id FROM invoice) THEN 0
+        ELSE 40002 END AS code FROM (SELECT DISTINCT l_orderkey * 2 AS invoice_id FROM lineitem) t"""),
+    "person_codes": (("person",), """SELECT document, CASE WHEN document IN (SELECT document FROM person) THEN 0
+        ELSE 4 END AS code FROM (SELECT DISTINCT user_id AS document FROM events) t"""),
+    "xml_roundtrip": ((), """SELECT CAST(l_shipdate AS DATE) AS op_date, CAST(o_custkey AS VARCHAR) AS property_id,
+        CAST(1 + l_partkey % 2 AS INTEGER) AS method_id, concat(l_orderkey, '-', l_linenumber) AS reference
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'R'"""),
+    "xml_persons": ((), """SELECT DATE '2024-01-01' AS op_date, CAST(s_suppkey AS VARCHAR) AS document, s_name AS name,
+        concat('a&b<', s_suppkey, '>"@x.cr') AS email,
+        CASE WHEN s_suppkey % 2 = 0 THEN CAST(s_nationkey AS VARCHAR) END AS phone FROM supplier"""),
+    "xml_properties": (("property",), f"""SELECT registered_on AS op_date, CAST(property_id AS VARCHAR) AS property_id,
+        CAST(meter_id AS VARCHAR) AS meter_id, area_m2, use_id, zone_id, {money('fiscal_u')} AS fiscal_value,
+        registered_on FROM property"""),
+    "xml_ownership": ((), """SELECT CAST(ts AS DATE) AS op_date, CAST(user_id AS VARCHAR) AS property_id,
+        CAST(event_id % 7 AS VARCHAR) AS document, CASE event_type WHEN 'signup' THEN 1 ELSE 2 END AS action
+        FROM events WHERE event_type IN ('signup', 'error')"""),
+    "xml_charges": ((), """SELECT DATE '1995-01-01' + CAST(event_id % 2400 AS INTEGER) AS op_date,
+        CAST(user_id AS VARCHAR) AS property_id, CAST(1 + event_id % 8 AS INTEGER) AS charge_id,
+        CASE event_type WHEN 'view' THEN 1 ELSE 2 END AS action FROM events WHERE event_type IN ('view', 'error')"""),
+    "xml_fiscal": ((), """SELECT CAST(o_orderdate AS DATE) AS op_date, CAST(o_custkey AS VARCHAR) AS property_id,
+        CAST(o_totalprice AS DECIMAL(19,4)) AS value FROM orders WHERE o_orderstatus = 'P'"""),
+    "xml_readings": (("reading",), """SELECT op_date, CAST(meter_id AS VARCHAR) AS meter_id, movement, value
+        FROM reading"""),
+    "replay_invoices": (("gen_paid",), f"""SELECT property_id, invoice_id, invoice_date, due_date,
+        {money('original_u')} AS original_total,
+        {money('original_u + CASE WHEN paid_on IS NULL THEN 0 ELSE interest_u + fee_u END')} AS final_total,
+        CASE WHEN paid_on IS NULL THEN 1 ELSE 2 END AS state FROM gen_paid"""),
+    "replay_cut_orders": (("gen_cycle",), """SELECT property_id, invoice_id, created_on, closed_on,
+        CASE WHEN closed_on IS NULL THEN 1 ELSE 2 END AS state FROM gen_cycle"""),
+    "replay_lines": (("line", "gen_paid"), """SELECT charge_id, count(*) AS lines,
+        CAST(CAST(sum(amount_u) AS DECIMAL(33,0)) * CAST(0.0001 AS DECIMAL(5,4)) AS DECIMAL(38,4)) AS amount FROM (
+          SELECT charge_id, amount_u FROM line
+          UNION ALL SELECT 7, interest_u FROM gen_paid WHERE paid_on IS NOT NULL AND interest_u > 0
+          UNION ALL SELECT 6, fee_u FROM gen_paid WHERE paid_on IS NOT NULL AND fee_u > 0) t GROUP BY charge_id"""),
+    "property_balances": (("balance_day",), "SELECT property_id, op_date, balance FROM balance_day"),
     "operation_gates": ((), """SELECT CAST(o_orderdate AS DATE) AS op_date,
         count(*) FILTER (o_orderpriority = '1-URGENT') > 0 AS gate FROM orders GROUP BY ALL"""),
 }
 
 
+QUERIES["stream_meter_balance"] = QUERIES["meter_balance"]
+
+
 def sql(name: str) -> str:
     """The query with the CTEs it needs, each after the ones it reads."""
     needs, body = QUERIES[name]

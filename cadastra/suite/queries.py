@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,8 +11,15 @@ from pyspark.sql import functions as F
 from cadastra import rules as R
 from cadastra.functions import text
 from cadastra.functions.money import days_late, late_interest
-from cadastra.operators import arrears, billing, inquiry, intervals, meters, payments, registry, service
-from cadastra.suite.star import AS_OF, CUT_DATE, Star, fee
+from cadastra.operators import arrears, billing, inquiry, meters, payments, registry, service
+from cadastra.plans import state
+from cadastra.plans.replay import gate_days, replay_tables
+from cadastra.rules import Rules
+from cadastra.session import work_dir
+from cadastra.sources import operations
+from cadastra.sources.catalog import SUBTYPES, split_subtypes
+from cadastra.streaming.meters import MeterStream
+from cadastra.suite.star import AS_OF, Star, fee
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
@@ -158,7 +166,7 @@ def charge_intervals(s: Star) -> DataFrame:
 @query
 def fiscal_asof(s: Star) -> DataFrame:
     days = s.invoices.select("property_id", F.col("invoice_date").alias("op_date")).distinct()
-    values = billing.as_of(days, billing.last_fiscal_change(s.fiscal_changes))
+    values = billing.as_of(days, billing.known_fiscal_changes(s.fiscal_changes, s.properties))
     start = s.properties.select("property_id", "fiscal_value")
     return values.join(start, "property_id").select(
         "property_id", "op_date", F.coalesce("value", "fiscal_value").alias("fiscal")
@@ -177,7 +185,7 @@ def facts(s: Star) -> DataFrame:
     return billing.billing_facts(
         billing.billing_days(s.properties, s.op_dates),
         s.properties,
-        billing.last_fiscal_change(s.fiscal_changes),
+        billing.known_fiscal_changes(s.fiscal_changes, s.properties),
         meters.property_balances(s.readings, s.properties),
     )
 
@@ -376,11 +384,161 @@ def param_default(s: Star) -> DataFrame:
     return s.read("part").select(F.col("p_partkey").alias("item_id"), text.int_or_default(days, 15).alias("due_days"))
 
 
+@query
+def charge_subtypes(s: Star) -> DataFrame:
+    """The part table read as a wide charge table and split by subtype; columns a subtype lacks are null."""
+    names = F.array(*[F.lit(n) for n in SUBTYPES])
+    price, size = F.col("p_retailprice"), F.col("p_size")
+    wide = s.read("part").select(
+        F.col("p_partkey").alias("charge_id"),
+        F.element_at(names, (size % 7 + 1).cast("int")).alias("name"),
+        price.cast("decimal(19,4)").alias("min_amount"),
+        size.alias("min_m3"),
+        price.cast("decimal(19,4)").alias("per_m3"),
+        size.cast("decimal(10,2)").alias("rate"),
+        price.cast("decimal(19,4)").alias("fixed"),
+        (size * 2).alias("min_m2"),
+        (size * 3).alias("tranche_m2"),
+    )
+    stacked = None
+    for name, part in split_subtypes(wide).items():
+        part = part.withColumn("subtype", F.lit(name))
+        stacked = part if stacked is None else stacked.unionByName(part, allowMissingColumns=True)
+    return stacked
+
+
 @query
 def operation_gates(s: Star) -> DataFrame:
-    """Per operation date, whether the cut gate is open (at least one listed row of the gate kind)."""
-    return (
-        s.read("orders")
-        .groupBy(F.col("o_orderdate").cast("date").alias("op_date"))
-        .agg((F.count_if(F.col("o_orderpriority") == "1-URGENT") > 0).alias("gate"))
+    """Per operation date, whether the cut gate is open: orders stand for listed properties, priority for the use."""
+    use = F.substring("o_orderpriority", 1, 1).cast("int")
+    listed = s.read("orders").select(F.col("o_orderdate").cast("date").alias("op_date"), use.alias("use_id"))
+    return gate_days(s.op_dates, listed, Rules(gate_use_ids=(1,)))
+
+
+@query
+def duplicate_dates(s: Star) -> DataFrame:
+    """Operation dates that the order table lists more than once."""
+    return operations.duplicate_dates(s.read("orders").select(F.col("o_orderdate").cast("date").alias("op_date")))
+
+
+@query
+def invoice_codes(s: Star) -> DataFrame:
+    asked = s.read("lineitem").select((F.col("l_orderkey") * 2).alias("invoice_id")).distinct()
+    return inquiry.lookup_codes(asked, s.invoices, "invoice_id", R.INVOICE_UNKNOWN)
+
+
+@query
+def person_codes(s: Star) -> DataFrame:
+    asked = s.read("events").select(F.col("user_id").alias("document")).distinct()
+    return inquiry.lookup_codes(asked, s.persons, "document", R.PERSON_UNKNOWN)
+
+
+# -- XML: every row written as a date element, parsed and shredded again ----------------------
+
+
+def shredded(events: DataFrame, kind: str) -> DataFrame:
+    documents = operations.parse_documents(operations.write_documents(events, kind), "document")
+    return operations.shred(documents, kind).drop("position")
+
+
+@query
+def xml_roundtrip(s: Star) -> DataFrame:
+    """Payments through XML."""
+    return shredded(s.attempts, "payment")
+
+
+@query
+def xml_persons(s: Star) -> DataFrame:
+    people = s.read("supplier").select(
+        F.lit("2024-01-01").cast("date").alias("op_date"),
+        F.col("s_suppkey").alias("document"),
+        F.col("s_name").alias("name"),
+        F.concat(F.lit("a&b<"), F.col("s_suppkey"), F.lit('>"@x.cr')).alias("email"),
+        F.when(F.col("s_suppkey") % 2 == 0, F.col("s_nationkey")).alias("phone"),
+    )
+    return shredded(people, "person")
+
+
+@query
+def xml_properties(s: Star) -> DataFrame:
+    return shredded(s.properties, "property")
+
+
+@query
+def xml_ownership(s: Star) -> DataFrame:
+    return shredded(s.ownership_moves, "ownership")
+
+
+@query
+def xml_charges(s: Star) -> DataFrame:
+    return shredded(s.charge_moves, "charge")
+
+
+@query
+def xml_fiscal(s: Star) -> DataFrame:
+    return shredded(s.fiscal_changes, "fiscal")
+
+
+@query
+def xml_readings(s: Star) -> DataFrame:
+    return shredded(s.readings, "reading")
+
+
+# -- whole replay: generated invoices, payments against them, cuts on every operation date ----
+
+
+def replayed(s: Star) -> dict[str, DataFrame]:
+    events = {
+        "person": s.persons.withColumn("position", F.col("document")).withColumns(
+            {"email": F.lit(None).cast("string"), "phone": F.lit(None).cast("string")}
+        ),
+        "property": s.properties.withColumn("position", F.col("property_id")),
+        "ownership": s.ownership_moves,
+        "charge": s.charge_moves,
+        "fiscal": s.fiscal_changes,
+        "reading": s.readings,
+        "payment": s.attempts,
+    }
+    return replay_tables(events, s.op_dates, s.catalog, Rules(cut_gate="always"))
+
+
+@query
+def replay_invoices(s: Star) -> DataFrame:
+    """Final state of every generated invoice."""
+    t = replayed(s)
+    return state.invoices(t["invoice"], t["payment"]).select(
+        "property_id", "invoice_id", "invoice_date", "due_date", "original_total", "final_total", "state"
     )
+
+
+@query
+def replay_cut_orders(s: Star) -> DataFrame:
+    t = replayed(s)
+    return state.cut_orders(t["cut_open"], t["cut_close"])
+
+
+@query
+def replay_lines(s: Star) -> DataFrame:
+    """Line count and sum per charge over all invoices, interest and fee lines included."""
+    lines = replayed(s)["invoice_line"]
+    return lines.groupBy("charge_id").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("amount").cast("decimal(38,4)").alias("amount")
+    )
+
+
+@query
+def property_balances(s: Star) -> DataFrame:
+    return meters.property_balances(s.readings, s.properties)
+
+
+# -- streaming --------------------------------------------------------------------------------
+
+
+@query
+def stream_meter_balance(s: Star) -> DataFrame:
+    """Running balances computed by a stream over the event files (one micro-batch when there is one file)."""
+    stream = MeterStream(s.spark, f"{work_dir(s.spark)}/meter-stream-{uuid.uuid4().hex}")
+    source = s.spark.readStream.schema(s.read("events").schema).option("pathGlobFilter", "events.parquet")
+    s.events = source.parquet(s.folder)
+    stream.run(s.readings).awaitTermination()
+    return stream.read("balance").select("meter_id", "op_date", "position", "balance")

@@ -17,6 +17,7 @@ from cadastra.functions.money import money
 from cadastra.operators import intervals, registry, service
 from cadastra.operators.payments import settle
 from cadastra.session import small, tune
+from cadastra.sources.catalog import Catalog
 
 # Dates of the as-of queries.
 CUT_DATE = dt.date(1996, 1, 31)
@@ -76,6 +77,20 @@ class Star:
     def zones(self) -> DataFrame:
         return literal(self.spark, ZONES, schemas.LOOKUP)
 
+    @cached_property
+    def catalog(self) -> Catalog:
+        none = literal(self.spark, [], schemas.LOOKUP)
+        return Catalog(
+            parameters=literal(self.spark, [("DiasVencimientoFactura", 15), ("DiasGraciaCorta", 10)], schemas.PARAMETER),
+            uses=self.uses,
+            zones=self.zones,
+            movement_types=none,
+            payment_methods=none,
+            amount_types=none,
+            periods=literal(self.spark, [], schemas.PERIOD),
+            charges=self.charges,
+        )
+
     # -- registrations and movements ------------------------------------------------------
 
     @cached_property
@@ -105,6 +120,10 @@ class Star:
             known.alias("op_date"), F.col("s_suppkey").alias("document"), F.col("s_name").alias("name")
         ).where(F.col("op_date") <= F.lit(dt.date(2024, 1, 31)))
 
+    @cached_property
+    def events(self) -> DataFrame:
+        return self.read("events")
+
     @cached_property
     def replay_date(self) -> Column:
         """Events spread over the years of the orders (all of them happened in one month)."""
@@ -114,7 +133,7 @@ class Star:
     def readings(self) -> DataFrame:
         kind = F.col("event_type")
         movement = F.when(kind == "purchase", 1).when(kind == "error", 2).when(kind == "click", 3).otherwise(0)
-        return self.read("events").select(
+        return self.events.select(
             self.replay_date.alias("op_date"),
             F.col("event_id").alias("position"),
             F.col("user_id").alias("meter_id"),
@@ -126,7 +145,7 @@ class Star:
     def ownership_moves(self) -> DataFrame:
         kind = F.col("event_type")
         return (
-            self.read("events")
+            self.events
             .where(kind.isin("signup", "error"))
             .select(
                 day("ts").alias("op_date"),
@@ -145,7 +164,7 @@ class Star:
     def charge_moves(self) -> DataFrame:
         kind = F.col("event_type")
         return (
-            self.read("events")
+            self.events
             .where(kind.isin("view", "error"))
             .select(
                 self.replay_date.alias("op_date"),
