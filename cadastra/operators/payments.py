@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -118,11 +118,16 @@ def settle(invoices: DataFrame, attempts: DataFrame, rules: Rules = Rules()) ->
         .select(*invoices.columns, "rank", "next_due", "paid_on", "method_id", "reference", "interest")
     )
     rejects = rows.where("phase = 0 AND in_day > pays").select(*ATTEMPT)
+    check_strict(rejects, rules)
+    return settled, rejects
+
+
+def check_strict(rejects: DataFrame, rules: Rules) -> None:
+    """With strict payments, the first attempt without a pending invoice stops the load."""
     if rules.strict_payments:
         first = rejects.agg(F.min("op_date").alias("d")).first()["d"]
         if first is not None:
             raise ValueError(f"payment without a pending invoice on {first} (code {R.NOTHING_PENDING})")
-    return settled, rejects
 
 
 def payment_rejects(rejects: DataFrame) -> DataFrame:
@@ -136,18 +141,51 @@ def payment_rejects(rejects: DataFrame) -> DataFrame:
     )
 
 
+def numbered_attempts(attempts: DataFrame) -> DataFrame:
+    """Attempts numbered from 1 inside (property, date), by reference and method."""
+    order = Window.partitionBy("property_id", "op_date").orderBy("reference", "method_id")
+    return attempts.select(*ATTEMPT).withColumn("rank", F.row_number().over(order).cast("bigint"))
+
+
+def numbered_pending(pending: DataFrame) -> DataFrame:
+    """Pending invoices numbered from 1 inside the property, oldest first."""
+    return number_by_day(pending, ["property_id"], "invoice_date", ["invoice_id"], "rank")
+
+
+def settle_batch(
+    pending: DataFrame, attempts: DataFrame, on: Column, rules: Rules = Rules()
+) -> tuple[DataFrame, DataFrame]:
+    """Attempts of one date against the invoices pending then, whatever their date: the k-th pays the k-th oldest.
+
+    Returns (settled, rejects) like ``settle``, with ``closes``: the payment leaves no overdue invoice pending.
+    """
+    bills = numbered_pending(pending)
+    last = bills.where(F.col("due_date") < on).groupBy("property_id").agg(F.max("rank").alias("_last_overdue"))
+    tries = numbered_attempts(valid_attempts(attempts))
+    paying = tries.withColumnRenamed("op_date", "paid_on")
+    interest = late_interest(F.col("original_total"), F.col("due_date"), F.col("paid_on"), rules)
+    settled = (
+        bills.join(paying, ["property_id", "rank"])
+        .join(last, "property_id", "left")
+        .withColumn("interest", interest)
+        .withColumn("closes", F.coalesce("_last_overdue", F.lit(0)) <= F.col("rank"))
+        .drop("_last_overdue")
+    )
+    rejects = tries.join(bills.select("property_id", "rank"), ["property_id", "rank"], "left_anti").select(*ATTEMPT)
+    check_strict(rejects, rules)
+    return settled, rejects
+
+
 def positional_batch(pending: DataFrame, attempts: DataFrame, rules: Rules = Rules()) -> tuple[DataFrame, DataFrame]:
-    """Day batch without reconnection fee: the k-th attempt of a property pays its k-th pending invoice.
+    """Day batch without reconnection fee: the k-th attempt of a property and date pays its k-th pending invoice.
 
-    ``pending`` also carries final_total. Attempts of the batch share one date. Returns (matched, unmatched);
-    the amount paid is the stored final total plus interest.
+    ``pending`` also carries final_total; every date is a batch of its own. Returns (matched, unmatched); the amount
+    paid is the stored final total plus interest.
     """
-    k_attempt = F.row_number().over(Window.partitionBy("property_id", "op_date").orderBy("reference", "method_id"))
-    tries = attempts.select(*ATTEMPT).withColumn("k", k_attempt.cast("bigint"))
-    bills = number_by_day(pending, ["property_id"], "invoice_date", ["invoice_id"], "k").select(
-        "property_id", "k", "invoice_id", "due_date", "original_total", "final_total"
+    bills = numbered_pending(pending).select(
+        "property_id", "rank", "invoice_id", "due_date", "original_total", "final_total"
     )
-    joined = tries.join(bills, ["property_id", "k"], "left")
+    joined = numbered_attempts(attempts).join(bills, ["property_id", "rank"], "left")
     interest = late_interest(F.col("original_total"), F.col("due_date"), F.col("op_date"), rules)
     matched = (
         joined.where("invoice_id IS NOT NULL")

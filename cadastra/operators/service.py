@@ -136,11 +136,13 @@ def service_cycle(
 
 
 def closing_payments(settled: DataFrame, water: DataFrame) -> DataFrame:
-    """Payments of one date that could carry the fee, first of each property: (property_id, fee_invoice_id)."""
-    last = settled.where("paid_on IS NOT NULL AND (next_due IS NULL OR next_due >= paid_on)")
+    """Of a settled day batch, the first payment per property that could carry the fee, where water is due.
+
+    (property_id, fee_invoice_id)
+    """
     return (
-        last.join(water, "property_id")
-        .where(active_on(F.col("paid_on")))
+        settled.where("closes")
+        .join(water.select("property_id"), "property_id", "left_semi")
         .groupBy("property_id")
         .agg(F.min_by("invoice_id", "rank").alias("fee_invoice_id"))
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadastra.operators import billing, intervals, meters, payments, registry, service
@@ -15,7 +15,16 @@ from cadastra.schemas import LOGS
 from cadastra.sources.catalog import Catalog
 from cadastra.sources.store import Store
 
-PAIR = ["property_id", "invoice_id"]
+
+def fee_closings(settled: DataFrame, water: DataFrame, cuts: DataFrame, fee: Column | None) -> DataFrame:
+    """Active cuts that a payment of the batch closes: (property_id, cut_id, invoice_id of the payment, fee)."""
+    active = cuts.select("property_id", F.col("invoice_id").alias("cut_id"))
+    closing = service.closing_payments(settled, water).join(active, "property_id")
+    if fee is None:
+        closing, fee = closing.limit(0), F.lit(None)
+    return closing.select(
+        "property_id", "cut_id", F.col("fee_invoice_id").alias("invoice_id"), fee.cast("decimal(19,4)").alias("fee")
+    )
 
 
 def run_day(store: Store, events: Events, day: dt.date, catalog: Catalog, rules: Rules = Rules()) -> dict[str, DataFrame]:
@@ -77,18 +86,13 @@ def run_day(store: Store, events: Events, day: dt.date, catalog: Catalog, rules:
     # Payments: pending invoices of the paying properties, oldest first.
     paying = today["payment"].select("property_id").distinct()
     open_invoices = state.pending(past["invoice"], past["payment"]).join(paying, "property_id", "left_semi")
-    settled, unmatched = payments.settle(open_invoices, today["payment"], rules)
-    water = service.water_intervals(listed, catalog.uses, spans, catalog.charges, rules)
+    settled, unmatched = payments.settle_batch(open_invoices, today["payment"], on, rules)
+    water = service.water_intervals(listed, catalog.uses, spans, catalog.charges, rules).where(intervals.active_on(on))
     cuts = state.active_cuts(past["cut_open"], past["cut_close"])
     fee = catalog.reconnection_fee()
-    closing = service.closing_payments(settled, water).join(cuts.select(*PAIR), "property_id")
-    if fee is None:
-        closing = closing.limit(0)
-    charged = closing.select(
-        F.col("fee_invoice_id").alias("invoice_id"), (fee if fee is not None else F.lit(None)).cast("decimal(19,4)").alias("fee")
-    )
-    paid_today = put("payment", paid_rows(settled, charged))
-    closed = put("cut_close", closing.select(on.alias("op_date"), *PAIR))
+    closing = fee_closings(settled, water, cuts, fee)
+    paid_today = put("payment", paid_rows(settled, closing))
+    closed = put("cut_close", closing.select(on.alias("op_date"), "property_id", F.col("cut_id").alias("invoice_id")))
     paid = past["payment"].unionByName(paid_today)
     cuts = state.active_cuts(past["cut_open"], past["cut_close"].unionByName(closed))
 
@@ -96,8 +100,7 @@ def run_day(store: Store, events: Events, day: dt.date, catalog: Catalog, rules:
 
     gate = gate_days(store.spark.createDataFrame([(day,)], "op_date date"), today["property"], rules)
     late = state.pending(past["invoice"], paid)
-    must = water.where(intervals.active_on(on))
-    ordered = service.cut_orders_on(late, must, cuts, on, rules).join(gate.where("gate"), "op_date", "left_semi")
+    ordered = service.cut_orders_on(late, water, cuts, on, rules).join(gate.where("gate"), "op_date", "left_semi")
     put("cut_open", ordered)
 
     due = billing.properties_due(listed, on).select("property_id", on.alias("op_date"))

@@ -57,5 +57,12 @@ class Store:
         self._shaped(table, df).drop("op_date").write.mode("overwrite").parquet(folder)
         return self.read(table).where(F.col("op_date") == F.lit(day))
 
+    def append_day(self, table: str, day: dt.date, df: DataFrame) -> DataFrame:
+        """Add rows to one date of a table and return them (checkpointed: the tables they came from change)."""
+        work_dir(self.spark)
+        rows = self._shaped(table, df.withColumn("op_date", F.lit(day))).checkpoint()
+        rows.drop("op_date").write.mode("append").parquet(f"{self.location(table)}/op_date={day.isoformat()}")
+        return rows
+
     def last_day(self) -> dt.date | None:
         return self.read("op_day").agg(F.max("op_date").alias("d")).first()["d"]

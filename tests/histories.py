@@ -22,10 +22,17 @@ def fine(x) -> Decimal:
     return Decimal(x).quantize(TEN, ROUND_HALF_UP)
 
 
-def random_events(n_properties: int, n_dates: int, span: int, seed: int) -> tuple[dict[str, list[tuple]], list[dt.date]]:
-    """Events of every section over ``n_dates`` operation dates spread over ``span`` days."""
+MONTH_ENDS = [dt.date(2024, 1, 31), dt.date(2024, 2, 29), dt.date(2024, 3, 31), dt.date(2024, 4, 10), dt.date(2024, 4, 30)]
+
+
+def random_events(
+    n_properties: int, n_dates: int = 0, span: int = 0, seed: int = 0, dates: list[dt.date] | None = None, pay: float = 0.05
+) -> tuple[dict[str, list[tuple]], list[dt.date]]:
+    """Events of every section over ``n_dates`` operation dates spread over ``span`` days, or over ``dates``."""
     rnd = random.Random(seed)
-    dates = sorted({DAY0 + dt.timedelta(days=d) for d in rnd.sample(range(span), n_dates)})
+    monthly = dates is not None
+    n_dates = len(dates) if monthly else n_dates
+    dates = dates or sorted({DAY0 + dt.timedelta(days=d) for d in rnd.sample(range(span), n_dates)})
     ev: dict[str, list[tuple]] = defaultdict(list)
     people = [str(1000 + i) for i in range(8)]
     for doc in people:
@@ -37,6 +44,8 @@ def random_events(n_properties: int, n_dates: int, span: int, seed: int) -> tupl
         pid, meter = f"F-{i:04d}", f"M-{i - i % 17 % 2:04d}"
         listed = rnd.choice(dates[: max(2, n_dates // 3)])
         registered = listed + dt.timedelta(days=rnd.choice([0, 0, -3, 4, rnd.randrange(-30, 5)]))
+        if monthly:
+            listed, registered = dates[0], dates[0]
         use, zone = rnd.choice([1, 2, 2, 3, 3, 4, 5]), rnd.randrange(1, 6)
         area, fiscal = Decimal(rnd.randrange(5000, 90000)) / 100, Decimal(rnd.randrange(10**6, 10**8)) / 7
         row = (pid, meter, area, use, zone, money(fiscal), registered)
@@ -55,7 +64,7 @@ def random_events(n_properties: int, n_dates: int, span: int, seed: int) -> tupl
             for _ in range(rnd.choice([0, 0, 0, 1, 2])):
                 value = Decimal(rnd.randrange(0, 12000)) / 100
                 ev["reading"].append((d, len(ev["reading"]), meter, rnd.choice([1, 2, 3, 3, 9]), value))
-            for _ in range(rnd.choice([0] * 80 + [1, 1, 2])):
+            for _ in range(rnd.choice([1, 1, 2]) if rnd.random() < pay else 0):
                 ref = None if rnd.random() < 0.03 else f"R{rnd.randrange(4)}"
                 ev["payment"].append((d, len(ev["payment"]), pid, rnd.choice([1, 2]), ref))
     ev["payment"].append((dates[-1], len(ev["payment"]), "F-none", 1, "R0"))

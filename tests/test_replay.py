@@ -12,7 +12,7 @@ from cadastra.plans.replay import replay, replay_tables
 from cadastra.sources.catalog import read_catalog
 from cadastra.sources.store import Store
 from tests.fixtures import CATALOG
-from tests.histories import random_events, simulate
+from tests.histories import MONTH_ENDS, random_events, simulate
 
 COLUMNS = {
     "person": "op_date document name",
@@ -67,9 +67,13 @@ def test_bulk_equals_day_loop(spark, catalog, seed):
 
 
 def test_days_equal_bulk(spark, catalog, tmp_path):
-    ev, dates = random_events(n_properties=25, n_dates=9, span=75, seed=7)
+    ev, dates = random_events(n_properties=150, seed=7, dates=MONTH_ENDS, pay=0.5)
+    expected = simulate(ev, dates)
+    assert all(len(expected[n]) > 2 for n in ("cut_open", "cut_close", "reconnection", "reject", "payment"))
     events, days = frames(spark, ev, dates)
     bulk = replay(Store(spark, str(tmp_path / "bulk")).create(), events, days, catalog)
+    for name, columns in COLUMNS.items():
+        assert rows(bulk[name], columns) == Counter(expected[name]), name
     store = Store(spark, str(tmp_path / "days")).create()
     for d in dates:
         run_day(store, events, d, catalog)
