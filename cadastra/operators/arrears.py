@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cadastra import rules as R
 from cadastra.functions.money import late_interest, money, zero
+from cadastra.operators.skew import HOT_ROWS, hot_keys, spread_join
 from cadastra.rules import Rules
 
 MODES = ("pay", "list", "detail")
@@ -41,17 +42,24 @@ def is_last_overdue(on: Column) -> Column:
     return F.coalesce("overdue", F.lit(0)) - own == 0
 
 
-def last_overdue(invoices: DataFrame, on: Column) -> DataFrame:
+def last_overdue(invoices: DataFrame, on: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Invoices with the flag ``last_overdue`` at date ``on``: one count per property instead of a self anti join."""
+    hot = hot_keys(invoices, "property_id", hot_rows)
     return (
-        invoices.join(overdue_counts(invoices, on), "property_id", "left")
+        spread_join(invoices, overdue_counts(invoices, on), "property_id", "invoice_id", hot, "left")
         .withColumn("last_overdue", is_last_overdue(on))
         .drop("overdue")
     )
 
 
 def with_fee(
-    invoices: DataFrame, water: DataFrame, active_cuts: DataFrame, on: Column, fee: Column, mode: str = "list"
+    invoices: DataFrame,
+    water: DataFrame,
+    active_cuts: DataFrame,
+    on: Column,
+    fee: Column,
+    mode: str = "list",
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Invoices with the simulated ``fee`` at date ``on``.
 
@@ -65,13 +73,13 @@ def with_fee(
     charged = F.coalesce("_cut_off", F.lit(False)) & is_pending() & is_last_overdue(on)
     if mode == "detail":
         charged = charged & (F.col("due_date") < on)
-    base = invoices
     if mode == "pay":
         first = oldest_pending(invoices).select("property_id", F.col("invoice_id").alias("_oldest_id"))
         standing = standing.join(first, "property_id")
         charged = charged & (F.col("invoice_id") == F.col("_oldest_id"))
+    hot = hot_keys(invoices, "property_id", hot_rows)
     return (
-        base.join(standing, "property_id", "left")
+        spread_join(invoices, standing, "property_id", "invoice_id", hot, "left")
         .withColumn("fee", F.when(charged, money(fee)).otherwise(zero()))
         .drop("_cut_off", "overdue", "_oldest_id")
     )

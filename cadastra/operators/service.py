@@ -10,6 +10,7 @@ from cadastra import rules as R
 from cadastra.functions.dates import next_date_lookup
 from cadastra.functions.money import money
 from cadastra.operators.intervals import active_on
+from cadastra.operators.skew import spread_join
 from cadastra.rules import Rules
 
 
@@ -71,7 +72,9 @@ def reconnections_on(active_cuts: DataFrame, paid_invoices: DataFrame, reconnect
     )
 
 
-def service_steps(settled: DataFrame, water: DataFrame, gates: DataFrame, rules: Rules = Rules()) -> DataFrame:
+def service_steps(
+    settled: DataFrame, water: DataFrame, gates: DataFrame, rules: Rules = Rules(), hot: DataFrame | None = None
+) -> DataFrame:
     """Dates on which a cut could open (phase 1) or a payment could carry the fee and close it (phase 0).
 
     * Open: per invoice and water interval, the first gate after due date plus grace, if the invoice is unpaid
@@ -80,7 +83,9 @@ def service_steps(settled: DataFrame, water: DataFrame, gates: DataFrame, rules:
       rank, so the next invoice decides.
 
     Per (property, date, phase) only the lowest rank matters: a cut names the oldest invoice, and later payments of
-    the date find the cut already closed. One pass over ``settled``, pre-aggregated before the shuffle.
+    the date find the cut already closed. One pass over ``settled``, pre-aggregated before the shuffle. ``hot`` are
+    the hot properties (``hot_keys`` of the invoices); leave it out for generated invoices, of which a property has
+    at most one per date.
     """
     calendar, earliest = next_date_lookup(gates, "op_date")
     ready = F.greatest(F.date_add("due_date", rules.grace_days), F.date_sub("from_date", 1), earliest)
@@ -94,9 +99,9 @@ def service_steps(settled: DataFrame, water: DataFrame, gates: DataFrame, rules:
             F.when(opens, F.struct(F.col("next_date").alias("op_date"), F.lit(1).alias("phase"))),
         )
     )
+    needed = settled.select("property_id", "invoice_id", "rank", "due_date", "next_due", "paid_on")
     return (
-        settled.select("property_id", "invoice_id", "rank", "due_date", "next_due", "paid_on")
-        .join(water, "property_id")
+        spread_join(needed, water, "property_id", "invoice_id", hot)
         .withColumn("day", ready)
         .join(calendar, "day", "left")
         .select("property_id", "invoice_id", "rank", "paid_on", F.explode(step).alias("_step"))
@@ -107,14 +112,19 @@ def service_steps(settled: DataFrame, water: DataFrame, gates: DataFrame, rules:
 
 
 def service_cycle(
-    settled: DataFrame, water: DataFrame, gates: DataFrame, fee: Column | None, rules: Rules = Rules()
+    settled: DataFrame,
+    water: DataFrame,
+    gates: DataFrame,
+    fee: Column | None,
+    rules: Rules = Rules(),
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """All cuts of the history: (property_id, invoice_id, created_on, closed_on, fee_invoice_id, fee, paid_on).
 
     A cut opens at the first open step while none is active and closes at the first close step after it. Without a
     fee (``None``) no cut is ever closed. Payments of a date come before its cuts.
     """
-    steps = service_steps(settled, water, gates, rules)
+    steps = service_steps(settled, water, gates, rules, hot)
     if fee is None:
         steps, fee = steps.where("phase = 1"), F.lit(None)
     order = Window.partitionBy("property_id").orderBy("op_date", "phase")

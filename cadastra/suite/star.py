@@ -16,6 +16,7 @@ from cadastra import schemas
 from cadastra.functions.money import money
 from cadastra.operators import intervals, registry, service
 from cadastra.operators.payments import settle
+from cadastra.operators.skew import hot_keys
 from cadastra.session import small, tune
 from cadastra.sources.catalog import Catalog
 
@@ -47,10 +48,11 @@ def day(column: str) -> Column:
 
 
 def literal(spark: SparkSession, rows: list[tuple], schema) -> DataFrame:
-    """A catalog as a local relation, so its size is known to the optimizer."""
+    """A catalog as a local relation; broadcast, because its rows are written out in this file."""
     names = schema.fieldNames()
     text = pa.table({n: pa.array([None if r[i] is None else str(r[i]) for r in rows], pa.string()) for i, n in enumerate(names)})
-    return spark.createDataFrame(text).select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+    typed = spark.createDataFrame(text).select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+    return F.broadcast(typed)
 
 
 class Star:
@@ -283,4 +285,5 @@ class Star:
 
     @cached_property
     def cycle(self) -> DataFrame:
-        return service.service_cycle(self.settled[0], self.water_history, self.gates, fee())
+        hot = hot_keys(self.invoices, "property_id")
+        return service.service_cycle(self.settled[0], self.water_history, self.gates, fee(), hot=hot)

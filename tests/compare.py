@@ -1,6 +1,6 @@
 """Run registered queries next to their SQL counterparts and compare rows, names and types.
 
-``python -m tests.compare [sf] [query ...]``
+``python -m tests.compare [sf or folder] [query ...]``
 """
 
 from __future__ import annotations
@@ -60,7 +60,7 @@ def main() -> int:
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
     wanted = sys.argv[2:]
-    folder = f"/root/testdata/sf{sf}"
+    folder = sf if "/" in sf else f"/root/testdata/sf{sf}"
     spark, con = make_session(), connect(folder)
     oracle, bad = entry.oracle_sql(), 0
     for name, run in entry.queries().items():

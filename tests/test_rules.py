@@ -206,3 +206,15 @@ def test_search_and_owner_lists(spark):
     assert [r[0] for r in values(split, text.split_owners(F.col("o")))] == [["a", "b"], []]
     ref = split.select(text.payment_reference(F.lit("F-0012"), F.lit(day("2025-06-01")))).first()[0]
     assert ref == "RCTP-202506-F-0012"
+
+
+def test_hot_keys_are_split_without_changing_results(spark):
+    from cadastra.operators.skew import hot_keys, spread_join
+
+    rows = spark.range(1000).select((F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id"))).alias("k"), "id")
+    attributes = spark.range(500).select(F.col("id").alias("k"), (F.col("id") * 2).alias("a"))
+    hot = hot_keys(rows, "k", 50)
+    assert values(hot, "k", "_parts") == [(7, 7)]
+    for how in ("inner", "left"):
+        got = sorted(values(spread_join(rows, attributes, "k", "id", hot, how), "k", "id", "a"), key=str)
+        assert got == sorted(values(rows.join(attributes, "k", how), "k", "id", "a"), key=str)
