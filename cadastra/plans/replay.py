@@ -16,7 +16,7 @@ from cadastra.operators import billing, intervals, meters, payments, registry, s
 from cadastra.rules import Rules
 from cadastra.sources.catalog import Catalog
 from cadastra.sources.operations import duplicate_dates
-from cadastra.session import work_dir
+from cadastra.session import written
 from cadastra.sources.store import Store
 
 Events = Mapping[str, DataFrame]
@@ -116,7 +116,7 @@ def replay_tables(
     cut: Cut = lambda df: df,
 ) -> dict[str, DataFrame]:
     """All tables of the store. ``keep(name, df)`` may write a table and return it read back; ``cut`` may
-    checkpoint the two shared intermediate results (settled invoices and the cut cycle)."""
+    do the same for the two shared intermediate results (settled invoices and the cut cycle)."""
     t: dict[str, DataFrame] = {}
 
     def put(name: str, df: DataFrame) -> DataFrame:
@@ -179,5 +179,4 @@ def replay(
     twice = duplicate_dates(dates).limit(10).collect()
     if twice:
         raise ValueError(f"operation dates listed more than once: {sorted(str(r['op_date']) for r in twice)}")
-    work_dir(store.spark)
-    return replay_tables(events, dates, catalog, rules, store.write_all, lambda df: df.checkpoint())
+    return replay_tables(events, dates, catalog, rules, store.write_all, written)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +41,14 @@ def work_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written as parquet in the work folder and read back: short lineage, column pruning, statistics."""
+    spark = df.sparkSession
+    path = f"{work_dir(spark)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Broadcast ``df`` when it has at most ``max_rows`` rows, else return it without a hint.
 

@@ -15,7 +15,7 @@ from cadastra.operators import arrears, billing, inquiry, meters, payments, regi
 from cadastra.plans import state
 from cadastra.plans.replay import gate_days, replay_tables
 from cadastra.rules import Rules
-from cadastra.session import work_dir
+from cadastra.session import work_dir, written
 from cadastra.sources import operations
 from cadastra.sources.catalog import SUBTYPES, split_subtypes
 from cadastra.streaming.meters import MeterStream
@@ -499,7 +499,9 @@ def replayed(s: Star) -> dict[str, DataFrame]:
         "reading": s.readings,
         "payment": s.attempts,
     }
-    return replay_tables(events, s.op_dates, s.catalog, Rules(cut_gate="always"))
+    # Invoices and their settlement feed several tables: written once instead of planned into each.
+    keep = lambda name, df: written(df) if name == "invoice" else df
+    return replay_tables(events, s.op_dates, s.catalog, Rules(cut_gate="always"), keep, written)
 
 
 @query
