@@ -107,44 +107,46 @@ def billing_facts(
     )
 
 
-def active_lines(facts: DataFrame, intervals: DataFrame) -> DataFrame:
-    """Billing facts × charges active on the day (a property has one interval per catalogued charge)."""
-    return (
-        facts.join(intervals.select("property_id", "charge_id", "from_date", "to_date"), "property_id")
-        .where(active_on(F.col("op_date")))
-        .drop("from_date", "to_date")
-    )
-
-
-def consumption(lines: DataFrame, rules: Rules = Rules(), marks: DataFrame | None = None) -> DataFrame:
-    """(property_id, op_date, consumption, water_mark): balance minus the last consumption mark, and the new mark.
+def consumption(
+    facts: DataFrame, intervals: DataFrame, rules: Rules = Rules(), marks: DataFrame | None = None
+) -> DataFrame:
+    """Billing facts with ``consumption`` (balance minus the last consumption mark) and the new ``water_mark``.
 
-    The mark is the balance at the latest earlier invoice on which the consumption charge was active, 0 at the
-    start; ``marks`` (property_id, water_mark) holds marks from before the first day. One row per (property, date).
+    The mark is the balance at the latest earlier billing day on which the consumption charge was active, 0 at the
+    start; ``water_mark`` is null on days that do not move it. ``marks`` (property_id, water_mark) holds marks from
+    before the first day. Everything is keyed by property, so it reuses the placement of the facts.
     """
-    days = (
-        lines.groupBy("property_id", "op_date", "balance")
-        .agg(F.bool_or(F.col("charge_id") == rules.consumption_charge_id).alias("_moves"))
-        .withColumn("_mark", F.when(F.col("_moves"), F.col("balance")))
+    span = intervals.where(F.col("charge_id") == rules.consumption_charge_id).select(
+        "property_id", "from_date", "to_date"
     )
-    before = Window.partitionBy("property_id").orderBy("op_date").rowsBetween(Window.unboundedPreceding, -1)
+    moves = F.coalesce(active_on(F.col("op_date")), F.lit(False))
+    days = facts.join(span, "property_id", "left").withColumn("water_mark", F.when(moves, F.col("balance")))
     start = F.lit(0)
     if marks is not None:
         earlier = marks.select("property_id", F.col("water_mark").alias("_start"))
         days, start = days.join(earlier, "property_id", "left"), F.coalesce("_start", F.lit(0))
-    previous = F.coalesce(F.last("_mark", True).over(before), start)
-    return days.select(
-        "property_id",
-        "op_date",
-        (F.col("balance") - previous).cast("decimal(28,2)").alias("consumption"),
-        F.col("_mark").alias("water_mark"),
+    before = Window.partitionBy("property_id").orderBy("op_date").rowsBetween(Window.unboundedPreceding, -1)
+    previous = F.coalesce(F.last("water_mark", True).over(before), start)
+    return days.withColumn("consumption", (F.col("balance") - previous).cast("decimal(28,2)")).select(
+        *facts.columns, "consumption", "water_mark"
     )
 
 
+def active_lines(facts: DataFrame, intervals: DataFrame) -> DataFrame:
+    """Billing facts with the charges active on the day; a day without any stays, with a null charge.
+
+    A property has one interval per catalogued charge.
+    """
+    spans = intervals.select(F.col("property_id").alias("_property"), "charge_id", "from_date", "to_date")
+    same = (F.col("property_id") == F.col("_property")) & active_on(F.col("op_date"))
+    return facts.join(spans, same, "left").drop("_property", "from_date", "to_date")
+
+
 def price(lines: DataFrame, charges: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Price every active line in one pass over the charge catalog.
 
-    ``lines`` needs charge_id, consumption, fiscal and area_m2. Charges without a monthly calculator drop out.
+    ``lines`` needs charge_id, consumption, fiscal and area_m2. The amount is null for charges without a monthly
+    calculator and for days without charges.
     """
     catalog = charges.select(
         "charge_id", "name", "min_amount", "min_m3", "per_m3", "rate", "fixed", "min_m2"
@@ -152,7 +154,7 @@ def price(lines: DataFrame, charges: DataFrame, rules: Rules = Rules()) -> DataF
     columns = {c: F.col(c) for c in ("min_amount", "min_m3", "per_m3", "rate", "fixed", "min_m2")}
     name = F.col("name")
     return (
-        lines.join(catalog, "charge_id")
+        lines.join(catalog, "charge_id", "left")
         .withColumn(
             "amount",
             line_amount(name, F.col("consumption"), F.col("fiscal"), F.col("area_m2"), columns, rules),
@@ -162,15 +164,16 @@ def price(lines: DataFrame, charges: DataFrame, rules: Rules = Rules()) -> DataF
     )
 
 
-def charge_lines(
+def priced_lines(
     facts: DataFrame, intervals: DataFrame, charges: DataFrame, rules: Rules = Rules()
 ) -> DataFrame:
-    """All invoice lines of all billing days: (property_id, op_date, charge_id, name, amount, description)."""
-    active = active_lines(facts, intervals)
-    volume = consumption(active, rules)
-    return price(active.join(volume, ["property_id", "op_date"]), charges, rules).select(
-        "property_id", "op_date", "charge_id", "name", "consumption", "amount", "description"
-    )
+    """Facts (with consumption) priced per active charge, unbillable rows included."""
+    return price(active_lines(facts, intervals), charges, rules)
+
+
+def charge_lines(priced: DataFrame) -> DataFrame:
+    """The invoice lines among priced rows."""
+    return priced.where("amount IS NOT NULL").select("property_id", "op_date", "charge_id", "amount", "description")
 
 
 def line_totals(lines: DataFrame, *keys: str) -> DataFrame:
@@ -178,19 +181,16 @@ def line_totals(lines: DataFrame, *keys: str) -> DataFrame:
     return lines.groupBy(*keys).agg(F.sum("amount").cast(MONEY).alias("total"))
 
 
-def invoices(
-    days: DataFrame, lines: DataFrame, marks: DataFrame | None = None, rules: Rules = Rules()
-) -> DataFrame:
-    """Invoice headers with totals; a billing day without lines stays at 0."""
-    keys = ["property_id", "op_date"]
-    headed = days.select(*keys).join(line_totals(lines, *keys), keys, "left")
-    if marks is not None:
-        headed = headed.join(marks.select(*keys, "water_mark"), keys, "left")
+def invoices(priced: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """Invoice headers with totals from priced rows; a billing day without lines stays at 0."""
+    headed = priced.groupBy("property_id", "op_date").agg(
+        F.sum("amount").cast(MONEY).alias("total"), F.max("water_mark").alias("water_mark")
+    )
     return headed.select(
         "op_date",
         invoice_key(F.col("property_id"), F.col("op_date")).alias("invoice_id"),
         "property_id",
         F.date_add("op_date", rules.due_days).alias("due_date"),
         F.coalesce("total", zero()).alias("original_total"),
-        *(["water_mark"] if marks is not None else []),
+        "water_mark",
     )

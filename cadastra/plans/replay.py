@@ -93,18 +93,11 @@ def billed_tables(
 
     ``marks`` (property_id, water_mark) are consumption marks from before the first of these days.
     """
-    active = billing.active_lines(facts, spans)
-    volume = billing.consumption(active, rules, marks)
-    lines = billing.price(active.join(volume, ["property_id", "op_date"]), charges, rules)
-    invoice = billing.invoices(facts, lines, volume, rules)
-    rows = lines.select(
-        "op_date",
-        billing.invoice_key(F.col("property_id"), F.col("op_date")).alias("invoice_id"),
-        "charge_id",
-        "amount",
-        "description",
-    )
-    return invoice, rows
+    metered = billing.consumption(facts, spans, rules, marks)
+    priced = billing.priced_lines(metered, spans, charges, rules)
+    key = billing.invoice_key(F.col("property_id"), F.col("op_date")).alias("invoice_id")
+    lines = billing.charge_lines(priced).select("op_date", key, "charge_id", "amount", "description")
+    return billing.invoices(priced, rules), lines
 
 
 def replay_tables(

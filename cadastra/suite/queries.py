@@ -194,7 +194,10 @@ def lines_of(s: Star, name: str) -> DataFrame:
     """Lines of one charge: only its calculator's inputs are computed."""
     only = s.charges.where(F.col("name") == name)
     chosen = s.assignments.join(only.select("charge_id"), "charge_id", "left_semi")
-    return billing.charge_lines(facts(s), chosen, only).select("property_id", "op_date", "amount", "description")
+    days = facts(s)
+    days = billing.consumption(days, s.assignments) if name == R.WATER else days.withColumn("consumption", F.lit(0))
+    lines = billing.charge_lines(billing.priced_lines(days, chosen, only))
+    return lines.select("property_id", "op_date", "amount", "description")
 
 
 @query
@@ -224,9 +227,8 @@ def charge_parks(s: Star) -> DataFrame:
 
 @query
 def invoice_totals(s: Star) -> DataFrame:
-    days = billing.billing_days(s.properties, s.op_dates)
-    lines = billing.charge_lines(facts(s), s.assignments, s.charges)
-    return billing.invoices(days, lines)
+    metered = billing.consumption(facts(s), s.assignments)
+    return billing.invoices(billing.priced_lines(metered, s.assignments, s.charges)).drop("water_mark")
 
 
 @query
@@ -236,8 +238,8 @@ def meter_balance(s: Star) -> DataFrame:
 
 @query
 def consumption_per_invoice(s: Star) -> DataFrame:
-    water = s.assignments.where("charge_id = 1")
-    return billing.consumption(billing.active_lines(facts(s), water)).select("property_id", "op_date", "consumption")
+    metered = billing.consumption(facts(s), s.assignments)
+    return metered.where("water_mark IS NOT NULL").select("property_id", "op_date", "consumption")
 
 
 # -- payments ---------------------------------------------------------------------------------
