@@ -7,6 +7,8 @@ Without an id the inquiry answers for all properties or invoices at once.
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
+from decimal import Decimal
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -69,6 +71,12 @@ class BillingDesk:
         fee = self.catalog.reconnection_fee()
         return F.lit(0).cast("decimal(19,4)") if fee is None else fee
 
+    @cached_property
+    def detail_rules(self) -> Rules:
+        """The detail accrues interest only if the catalog has an interest charge."""
+        listed = not self.catalog.charges.where(F.col("name") == R.LATE_INTEREST).isEmpty()
+        return self.rules if listed else replace(self.rules, interest_rate=Decimal("0.00"))
+
     def known(self, property_id: str) -> bool:
         return not self.tables["property"].where(F.col("property_id") == property_id).isEmpty()
 
@@ -116,7 +124,7 @@ class BillingDesk:
             self.active_cuts,
             _date(on),
             self.fee(),
-            self.rules,
+            self.detail_rules,
         )
         lines = self.tables["invoice_line"]
         if invoice_id is not None:

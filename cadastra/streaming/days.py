@@ -38,8 +38,16 @@ def ingest_days(
 ) -> StreamingQuery:
     """Process every document now in ``path`` and stop; the checkpoint remembers which files were done."""
     documents = operations.stream_documents(spark, path, files_per_batch)
+
+    def step(batch: DataFrame, _: int) -> None:
+        held = batch.persist()
+        try:
+            apply_batch(store, held, catalog, rules)
+        finally:
+            held.unpersist()
+
     return (
-        documents.writeStream.foreachBatch(lambda batch, _: apply_batch(store, batch.persist(), catalog, rules))
+        documents.writeStream.foreachBatch(step)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

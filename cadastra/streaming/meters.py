@@ -67,8 +67,16 @@ class MeterStream:
 
     def run(self, readings: DataFrame) -> StreamingQuery:
         """Process everything available from a streaming DataFrame of readings and stop."""
+
+        def step(df: DataFrame, batch: int) -> None:
+            held = df.persist()
+            try:
+                self.apply(held, batch)
+            finally:
+                held.unpersist()
+
         return (
-            readings.writeStream.foreachBatch(lambda df, batch: self.apply(df.persist(), batch))
+            readings.writeStream.foreachBatch(step)
             .option("checkpointLocation", f"{self.path}/checkpoint")
             .trigger(availableNow=True)
             .start()

@@ -43,7 +43,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         DATE '1995-01-01' + CAST(c_custkey % 365 AS INTEGER) AS registered_on
         FROM customer JOIN nation ON c_nationkey = n_nationkey"""),
     "person": ((), """SELECT s_suppkey AS document, s_name AS name,
-        DATE '2024-01-01' + CAST(s_suppkey AS INTEGER) AS known_on FROM supplier WHERE s_suppkey <= 30"""),
+        DATE '2024-01-01' + CAST(s_suppkey % 31 AS INTEGER) AS known_on FROM supplier"""),
     "reading": ((), """SELECT DATE '1995-01-01' + CAST(event_id % 2400 AS INTEGER) AS op_date, event_id AS position,
         user_id AS meter_id,
         CASE event_type WHEN 'purchase' THEN 1 WHEN 'error' THEN 2 WHEN 'click' THEN 3 ELSE 0 END AS movement,

@@ -15,7 +15,7 @@ from cadastra.sources.catalog import SUBTYPES, read_catalog, split_subtypes
 from cadastra.sources.store import Store
 from cadastra.streaming.days import ingest_days
 from cadastra.streaming.meters import MeterStream
-from tests.fixtures import CATALOG
+from tests.fixtures import CATALOG, catalog_document
 
 FIRST_DAY = """<FechaOperacion fecha="2025-01-05">
 <Personas><Persona valorDocumento="10000005" nombre="Ana" email="a@b.cr" telefono="1"/>
@@ -59,8 +59,8 @@ def test_catalog(spark, catalog):
 
 
 def test_catalog_with_empty_zero_and_malformed_values(spark, tmp_path):
-    bad = CATALOG.replace('ValorPorcentual="0.04"', 'ValorPorcentual="abc"').replace('ValorFijo="30000"', 'ValorFijo="0"')
-    bad = bad.replace("<DiasGraciaCorta>10</DiasGraciaCorta>", "<DiasGraciaCorta>x</DiasGraciaCorta>")
+    bad = catalog_document(grace="x").replace('ValorPorcentual="0.04"', 'ValorPorcentual="abc"')
+    bad = bad.replace('ValorFijo="30000"', 'ValorFijo="0"')
     (tmp_path / "c.xml").write_text(bad, encoding="utf-8")
     c = read_catalog(spark, str(tmp_path / "c.xml"))
     assert c.reconnection_fee() is None
