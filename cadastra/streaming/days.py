@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cadastra.plans.daily import run_day
@@ -13,17 +14,22 @@ from cadastra.sources.store import Store
 
 
 def apply_batch(store: Store, documents: DataFrame, catalog: Catalog, rules: Rules) -> None:
-    """Run the dates of one micro-batch. A date at or before the last complete one was run by an earlier attempt
-    of this batch, or is late; both are skipped. A date listed twice stops the stream."""
+    """Run the dates of one micro-batch, oldest first.
+
+    A date that is already complete is not run again: it was done by an earlier attempt of this batch, and a date
+    is accepted once. A date before the last complete one that was never run stops the stream, as does a date
+    listed twice: nothing is dropped silently.
+    """
     days = operations.dated(documents).where("op_date IS NOT NULL").groupBy("op_date").count()
     listed = sorted((r["op_date"], r["count"]) for r in days.collect())  # one row per date of the batch
     twice = [str(d) for d, n in listed if n > 1]
     if twice:
         raise ValueError(f"operation dates listed more than once: {twice}")
-    last = store.last_day()
+    dates = [day for day, _ in listed]
+    complete = {r["op_date"] for r in store.read("op_day").where(F.col("op_date").isin(dates)).collect()}
     events = operations.shred_all(documents)
-    for day, _ in listed:
-        if last is None or day > last:
+    for day in dates:
+        if day not in complete:
             run_day(store, events, day, catalog, rules)
 
 

@@ -135,6 +135,20 @@ def test_stream_of_days_and_billing_desk(spark, catalog, tmp_path):
     assert after.simulate_payment("F-0001", on)[0] == 50014
 
 
+def test_late_days_stop_the_batch(spark, catalog, tmp_path):
+    from cadastra.streaming.days import apply_batch
+
+    store = Store(spark, str(tmp_path / "store")).create()
+    parse = lambda text: operations.parse_documents(spark.createDataFrame([(text,)], "d string"), "d")
+    apply_batch(store, parse(PAY_DAY), catalog, Rules())
+    apply_batch(store, parse(PAY_DAY), catalog, Rules())  # a retried batch
+    assert store.read("reject").count() == 1
+    with pytest.raises(ValueError, match="comes before"):
+        apply_batch(store, parse(CUT_DAY), catalog, Rules())
+    with pytest.raises(ValueError, match="more than once"):
+        apply_batch(store, parse(PAY_DAY).unionAll(parse(PAY_DAY)), catalog, Rules())
+
+
 def test_meter_stream(spark, tmp_path):
     stream = MeterStream(spark, str(tmp_path / "meters"))
     schema = "meter_id bigint, op_date date, position bigint, movement int, value decimal(10,2)"

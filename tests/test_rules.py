@@ -218,3 +218,20 @@ def test_hot_keys_are_split_without_changing_results(spark):
     for how in ("inner", "left"):
         got = sorted(values(spread_join(rows, attributes, "k", "id", hot, how), "k", "id", "a"), key=str)
         assert got == sorted(values(rows.join(attributes, "k", how), "k", "id", "a"), key=str)
+
+
+def test_cut_cycle_is_the_same_for_hot_properties(spark):
+    from cadastra.operators.skew import hot_keys
+
+    first = day("2025-01-01")
+    rows = [(f"I{i:03d}", "P" if i % 3 else f"Q{i}", first + dt.timedelta(days=i), first + dt.timedelta(days=i + 15), D(10), D(10), 1) for i in range(60)]
+    invoices = invoice_frame(spark, rows)
+    tries = [("P", first + dt.timedelta(days=40 + 2 * i), 1, "R") for i in range(50)]
+    attempts = spark.createDataFrame(tries, "property_id string, op_date date, method_id int, reference string")
+    water = invoices.select("property_id", F.lit(first).alias("from_date"), F.lit("9999-12-31").cast("date").alias("to_date")).distinct()
+    gates = spark.createDataFrame([(first + dt.timedelta(days=7 * i),) for i in range(40)], "op_date date")
+    settled, _ = payments.settle(invoices, attempts)
+    plain = service.service_cycle(settled, water, gates, F.lit(30000))
+    hot = service.service_cycle(settled, water, gates, F.lit(30000), hot=hot_keys(invoices, "property_id", 5))
+    assert plain.count() > 20
+    assert sorted(map(str, plain.collect())) == sorted(map(str, hot.select(*plain.columns).collect()))
