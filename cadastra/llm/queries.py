@@ -7,8 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from cadastra.llm.bloom_digest import fingerprint_documents
 from cadastra.llm.packing import pack_documents
-from cadastra.llm.tables import table
+from cadastra.llm.quality_rules import quality_verdicts
+from cadastra.llm.simhash import near_duplicates
+from cadastra.llm.tables import ship, table
 from cadastra.llm.token_counts import count_tokens
 from cadastra.llm.token_files import token_files
 
@@ -20,7 +23,11 @@ SQL: dict[str, str] = {}
 
 
 def query(run: Callable[[SparkSession, str], DataFrame]):
-    QUERIES[run.__name__] = run
+    def on_workers(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return run(spark, sf_dir)
+
+    QUERIES[run.__name__] = on_workers
     return run
 
 
@@ -37,3 +44,18 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
+
+
+@query
+def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, distance=4)
+
+
+@query
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

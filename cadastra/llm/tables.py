@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -15,6 +18,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Let every worker import this package, as ``--py-files`` would, wherever the driver was started."""
+    if spark.sparkContext.applicationId not in _SHIPPED:
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        archive = os.path.join(tempfile.mkdtemp(), os.path.basename(package))
+        spark.sparkContext.addPyFile(shutil.make_archive(archive, "zip", os.path.dirname(package), os.path.basename(package)))
+        _SHIPPED.add(spark.sparkContext.applicationId)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches into short ones, so that Python objects exist for ``rows`` rows at most."""
     for batch in batches:
