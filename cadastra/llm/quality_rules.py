@@ -114,7 +114,7 @@ def cutoffs(measured: DataFrame, labels: DataFrame, stratum_col: str, id_col: st
     """
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("good"))
     spread = F.pmod(F.pmod("doc_id", F.lit(1 << 31)) * F.lit(2654435761), F.lit(1 << 32))
-    used = known.crossJoin(F.broadcast(known.agg(F.count("*").alias("n_known")))).where(spread * F.col("n_known") <= F.lit(float(MOST_LABELLED << 32)))
+    used = known.where(spread <= F.lit((1 << 32) * min(1.0, MOST_LABELLED / max(known.count(), 1))))
     s = F.col("_signals")
     passed = measured.where(~s["base_failed"]).select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(stratum_col), F.lit("")).alias("stratum"), rejected_at(s).alias("at"))
     mixed = F.pmod(F.floor(spread / 64), F.lit(2)) == 1
@@ -123,7 +123,7 @@ def cutoffs(measured: DataFrame, labels: DataFrame, stratum_col: str, id_col: st
     hit, total = F.when(F.col("at") <= F.col("level"), F.col("n")).otherwise(0), F.col("n")
     of = lambda rows, x: F.coalesce(F.sum(F.when(rows, x)), F.lit(0))
     held, good = F.col("holdout"), F.col("good")
-    tested = (
+    tested = written(
         counted.select("*", levels)
         .groupBy("stratum", "level")
         .agg(
@@ -132,9 +132,9 @@ def cutoffs(measured: DataFrame, labels: DataFrame, stratum_col: str, id_col: st
             (of(~held & ~good, hit) / F.greatest(of(~held & ~good, total), F.lit(1)) - of(~held & good, hit) / F.greatest(of(~held & good, total), F.lit(1))).alias("gain"),
         )
     )
-    strata = tested.agg(F.countDistinct("stratum").alias("n_strata"))
-    sure = binomial_tail(F.col("k"), F.col("n"), RISK) <= F.lit(DOUBT) / F.col("n_strata")
-    judged = tested.crossJoin(F.broadcast(strata)).withColumn("sure", sure & (F.col("n") > 0))
+    n_strata = max(tested.select("stratum").distinct().count(), 1)
+    sure = binomial_tail(F.col("k"), F.col("n"), RISK) <= F.lit(DOUBT / n_strata)
+    judged = tested.withColumn("sure", sure & (F.col("n") > 0))
     doubtful = judged.groupBy("stratum").agg(F.min(F.when(~F.col("sure"), F.col("level"))).alias("stop"), F.max("n").alias("labelled"))
     certified = judged.join(doubtful, "stratum").where("stop is null or level < stop")
     best = certified.groupBy("stratum").agg(F.max_by("level", F.struct(F.col("gain"), -F.col("level"))).alias("level"), F.max("labelled").alias("labelled"))

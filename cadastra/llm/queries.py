@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from cadastra.llm import sql
 from cadastra.llm.bloom_digest import fingerprint_documents
 from cadastra.llm.packing import pack_documents
 from cadastra.llm.quality_rules import quality_verdicts
@@ -19,7 +20,7 @@ BYTE_BPE, WORD_BPE, PIECE_BPE = "byte_bpe_50k.json", "word_bpe_49k.json", "piece
 END_ID = 2
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op7_quality_rules": sql.quality_verdicts()}
 
 
 def query(run: Callable[[SparkSession, str], DataFrame]):
