@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cadastra.llm import sql
 from cadastra.llm.bloom_digest import fingerprint_documents
+from cadastra.llm.html_text import extract_pages
 from cadastra.llm.packing import pack_documents
 from cadastra.llm.quality_rules import quality_verdicts
 from cadastra.llm.simhash import near_duplicates
@@ -60,3 +61,8 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages"))
