@@ -59,16 +59,16 @@ class Memory(dict):
         super().__init__()
         self.make, self.size, self.older = make, size, {}
 
-    def __missing__(self, key: str):
+    def __missing__(self, key):
         value = self.older.get(key)
-        if value is None:
-            value = self.make(key)
-            if len(key) > LONGEST_KEPT:
-                return value
-        if len(self) >= self.size:
-            self.older = dict(self)
-            self.clear()
-        self[key] = value
+        return self.put(key, self.make(key) if value is None else value)
+
+    def put(self, key, value):
+        if not isinstance(key, str) or len(key) <= LONGEST_KEPT:
+            if len(self) >= self.size:
+                self.older = dict(self)
+                self.clear()
+            self[key] = value
         return value
 
 

@@ -12,6 +12,8 @@ from cadastra.llm.bloom_digest import fingerprint_documents
 from cadastra.llm.html_text import extract_pages
 from cadastra.llm.packing import pack_documents
 from cadastra.llm.quality_rules import quality_verdicts
+from cadastra.llm.secret_scan import scan
+from cadastra.llm.shared_viterbi import round_trip
 from cadastra.llm.simhash import near_duplicates
 from cadastra.llm.tables import ship, table
 from cadastra.llm.token_counts import count_tokens
@@ -66,3 +68,13 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(table(spark, sf_dir, "pages"))
+
+
+@query
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_BPE))
+
+
+@query
+def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))
