@@ -15,6 +15,7 @@ from cadastra.llm.quality_rules import quality_verdicts
 from cadastra.llm.secret_scan import scan
 from cadastra.llm.shared_viterbi import round_trip
 from cadastra.llm.simhash import near_duplicates
+from cadastra.llm.suffix_dedup import deduplicated
 from cadastra.llm.tables import ship, table
 from cadastra.llm.token_counts import count_tokens
 from cadastra.llm.token_files import token_files
@@ -78,3 +79,8 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deduplicated(table(spark, sf_dir, "documents"))

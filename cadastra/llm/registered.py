@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
-from cadastra.llm.queries import QUERIES, SQL
+import corpus_pipeline
+from cadastra.llm import queries
 
-__all__ = ["QUERIES", "SQL"]
+QUERIES = queries.QUERIES | {"pipeline": corpus_pipeline.run}
+SQL = queries.SQL

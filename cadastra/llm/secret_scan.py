@@ -65,7 +65,7 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     value = F.regexp_extract("word", r"""^["'`(]*([^"'`]*?)["'`).,;:!?]*$""", 1)
     runs = F.regexp_extract_all("word", F.lit(RUN), F.lit(0))
     exploded = rows.select("*", F.posexplode(F.when(F.size(runs) > 0, runs).otherwise(F.array(value))).alias("nth", "finding"))
-    own = F.element_at(F.split("word", F.concat(F.lit(r"\Q"), F.col("finding"), F.lit(r"\E")), 2), 1)
+    own = F.expr("substring_index(word, finding, 1)")
     return exploded.where((F.length("finding") >= SHORT) & F.col("finding").rlike("[0-9]")).select(
         "doc_id",
         "path",

@@ -203,3 +203,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, id_col
     own = placed.join(least, "root").select("fingerprint", "component_id")
     shown = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
     return prints.join(own, "fingerprint").select("doc_id", shown.alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = 4, distance: int = 4, id_col: str = "doc_id", text_col: str = "text", longest: int = LONGEST_LIST) -> DataFrame:
+    """Rows of ``docs`` with the least id of each group of near-duplicates; of rows of one id and equal texts, one."""
+    found = near_duplicates(docs, shingle, distance, id_col, text_col, longest)
+    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_first")).distinct()
+    kept = docs.join(first, F.col(id_col).cast("long").eqNullSafe(F.col("_first")), "left_semi")
+    return kept.withColumn("_text_hash", F.xxhash64(text_col)).dropDuplicates([id_col, "_text_hash"]).drop("_text_hash")
