@@ -74,8 +74,9 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "assigned": (("charge_move",), """SELECT property_id, charge_id, min(op_date) AS from_date FROM charge_move
         WHERE action = 1 GROUP BY property_id, charge_id"""),
     "assignment": (("assigned", "charge_move"), """SELECT a.property_id, a.charge_id, a.from_date,
-        (SELECT min(m.op_date) FROM charge_move m WHERE m.property_id = a.property_id AND m.charge_id = a.charge_id
-           AND m.action = 2 AND m.op_date >= a.from_date) AS to_date FROM assigned a"""),
+        min(m.op_date) FILTER (m.action = 2 AND m.op_date >= a.from_date) AS to_date
+        FROM assigned a JOIN charge_move m ON m.property_id = a.property_id AND m.charge_id = a.charge_id
+        GROUP BY a.property_id, a.charge_id, a.from_date"""),
     "water_now": (("property", "use_name", "assignment"), """SELECT property_id FROM property JOIN use_name USING (use_id)
         WHERE use_name IN ('Residencial','Industrial','Comercial') AND property_id IN
           (SELECT property_id FROM assignment WHERE charge_id = 1 AND to_date IS NULL)"""),
@@ -99,8 +100,8 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "standing": (("invoice", "water_now", "active_cut"), f"""SELECT i.*,
         i.property_id IN (SELECT property_id FROM water_now) AND i.property_id IN (SELECT property_id FROM active_cut)
           AS cut_off,
-        NOT EXISTS (SELECT 1 FROM invoice f WHERE f.property_id = i.property_id AND f.state = 1
-          AND f.due_date < {AS_OF} AND f.invoice_id <> i.invoice_id) AS last_overdue,
+        count(*) FILTER (i.state = 1 AND i.due_date < {AS_OF}) OVER (PARTITION BY i.property_id)
+          = CASE WHEN i.state = 1 AND i.due_date < {AS_OF} THEN 1 ELSE 0 END AS last_overdue,
         i.state = 1 AND row_number() OVER (PARTITION BY i.property_id, i.state ORDER BY i.invoice_date, i.invoice_id) = 1
           AS oldest FROM invoice i"""),
     "header": (("standing", "paid_date", "property", "use_name", "zone_name"), f"""SELECT s.invoice_id, s.property_id, s.invoice_date,
@@ -111,8 +112,9 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         LEFT JOIN use_name u USING (use_id) LEFT JOIN zone_name z USING (zone_id)"""),
     "op_day": ((), "SELECT DISTINCT CAST(o_orderdate AS DATE) AS op_date FROM orders"),
     "gate": ((), "SELECT DISTINCT CAST(o_orderdate AS DATE) AS op_date FROM orders WHERE o_orderpriority = '1-URGENT'"),
-    "bill_day": (("property", "op_day"), """SELECT property_id, op_date FROM property, op_day
-        WHERE registered_on <= op_date AND least(day(registered_on), day(last_day(op_date))) = day(op_date)"""),
+    "bill_day": (("property", "op_day"), """SELECT property_id, op_date FROM property JOIN (SELECT op_date,
+          unnest(range(day(op_date), CASE WHEN op_date = last_day(op_date) THEN 32 ELSE day(op_date) + 1 END)) AS day_key
+          FROM op_day) d ON day(registered_on) = day_key WHERE registered_on <= op_date"""),
     "fiscal_change": (("property",), """SELECT o_custkey AS property_id, CAST(o_orderdate AS DATE) AS op_date,
         arg_max(CAST(round(o_totalprice * 10000) AS BIGINT), o_orderkey) AS value_u
         FROM orders JOIN property ON property_id = o_custkey
@@ -155,9 +157,13 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "ranked": (("invoice",), """SELECT *, row_number() OVER (PARTITION BY property_id ORDER BY invoice_date, invoice_id)
         AS rank, lead(due_date) OVER (PARTITION BY property_id ORDER BY invoice_date, invoice_id) AS next_due
         FROM invoice"""),
-    "issued": (("invoice", "numbered"), """SELECT n.property_id, n.op_date, count(i.invoice_id) AS issued
-        FROM (SELECT DISTINCT property_id, op_date FROM numbered) n LEFT JOIN invoice i
-        ON i.property_id = n.property_id AND i.invoice_date < n.op_date GROUP BY ALL"""),
+    "issued": (("invoice", "numbered"), """SELECT property_id, op_date, issued FROM (SELECT property_id, op_date, tries,
+          coalesce(sum(bills) OVER (PARTITION BY property_id ORDER BY op_date
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS issued
+          FROM (SELECT property_id, op_date, sum(bill) AS bills, sum(1 - bill) AS tries
+            FROM (SELECT property_id, invoice_date AS op_date, 1 AS bill FROM invoice
+              UNION ALL SELECT property_id, op_date, 0 FROM numbered) e GROUP BY property_id, op_date) d) t
+        WHERE tries > 0"""),
     "backlog": (("numbered", "issued"), """SELECT n.*, greatest(max(n - issued) OVER (PARTITION BY n.property_id
         ORDER BY n), 0) AS backlog FROM numbered n JOIN issued i USING (property_id, op_date)"""),
     "tried": (("backlog",), """SELECT *, backlog > coalesce(lag(backlog) OVER (PARTITION BY property_id ORDER BY n), 0)
@@ -397,7 +403,7 @@ def sql(name: str) -> str:
         visit(cte)
     if not ordered:
         return body
-    return "WITH " + ",\n".join(f"{cte} AS ({CTES[cte][1]})" for cte in ordered) + "\n" + body
+    return "WITH " + ",\n".join(f"{cte} AS MATERIALIZED ({CTES[cte][1]})" for cte in ordered) + "\n" + body
 
 
 def all_sql() -> dict[str, str]:
