@@ -22,7 +22,7 @@ from cadastra.plans.replay import paid_rows, payment_lines
 from cadastra.rules import Rules
 from cadastra.schemas import LOGS
 from cadastra.sources.catalog import Catalog
-from cadastra.sources.store import Store
+from cadastra.sources.store import DESK, Store
 
 Answer = tuple[int, dict[str, DataFrame]]
 
@@ -149,26 +149,46 @@ class BillingDesk:
 
     # -- payment --------------------------------------------------------------------------
 
-    def pay(self, attempts: DataFrame, on: dt.date) -> dict[str, DataFrame]:
+    def pay(self, attempts: DataFrame, on: dt.date, batch: str | None = None) -> dict[str, DataFrame]:
         """Pay the oldest pending invoices with a batch of attempts (property_id, method_id, reference) at ``on``.
 
-        Appends to the date's payments, lines and closed cuts and returns the paid invoices, their lines and the
-        rejected attempts. Make a new desk to see the result in inquiries. Runs after the date's day step: running
-        that step again would drop these payments.
+        Returns the paid invoices, their lines and the rejected attempts. The batch is written aside and counts from
+        its marker on, which is written last. ``batch`` names it; without a name its attempts and date do. A batch
+        that is complete is not paid again: its rows are returned. Make a new desk to see the result in inquiries.
+        Runs after the date's day step, which leaves desk payments alone when it is run again.
         """
         tries = attempts.withColumn("op_date", F.lit(on)).select(*payments.ATTEMPT)
         t, store = self.tables, self.store
+        batch = batch or _batch_name(tries, on)
+        if not store.batches().where(F.col("batch") == batch).isEmpty():
+            return self._paid({name: store.batch(name, batch) for name in DESK})
         pending = state.pending(t["invoice"], t["payment"])
         pending = pending.join(tries.select("property_id").distinct(), "property_id", "left_semi")
         settled, unmatched = payments.settle_batch(pending, tries, F.lit(on), self.rules)
         closing = fee_closings(settled, self.water, self.active_cuts, self.catalog.reconnection_fee())
-        paid = store.append_day("payment", on, paid_rows(settled, closing))
-        store.append_day("cut_close", on, closing.select("property_id", F.col("cut_id").alias("invoice_id")))
-        extra = store.append_day("invoice_line", on, payment_lines(paid, self.catalog.charges))
+        paid = store.write_batch("payment", batch, paid_rows(settled, closing))
+        cuts = closing.select(F.lit(on).alias("op_date"), "property_id", F.col("cut_id").alias("invoice_id"))
+        closed = store.write_batch("cut_close", batch, cuts)
+        extra = store.write_batch("invoice_line", batch, payment_lines(paid, self.catalog.charges))
         incomplete = payments.incomplete_attempts(tries)
-        rejects = store.append_day("reject", on, payments.payment_rejects(unmatched).unionByName(incomplete))
-        lines = t["invoice_line"].join(paid.select("invoice_id"), "invoice_id", "left_semi").unionByName(extra)
-        return {"invoices": paid, "lines": lines, "rejects": rejects}
+        rejects = store.write_batch("reject", batch, payments.payment_rejects(unmatched).unionByName(incomplete))
+        store.complete_batch(batch, on)
+        return self._paid({"payment": paid, "cut_close": closed, "invoice_line": extra, "reject": rejects})
+
+    def _paid(self, rows: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        """The answer of a payment: paid invoices, all their lines, rejects."""
+        paid, extra = rows["payment"], rows["invoice_line"]
+        base = self.tables["invoice_line"].join(paid.select("invoice_id"), "invoice_id", "left_semi")
+        # The batch's own lines are in the table already if the desk was made after it.
+        own = extra.select(*base.columns)
+        lines = base.exceptAll(own).unionByName(own)
+        return {"invoices": paid, "lines": lines, "rejects": rows["reject"]}
+
+
+def _batch_name(tries: DataFrame, on: dt.date) -> str:
+    """Name of a batch from its date and attempts, whatever their order."""
+    state = tries.agg(F.count("*"), F.sum(F.xxhash64(*payments.ATTEMPT).cast("decimal(38,0)"))).first()
+    return f"{on.isoformat()}-{state[0]}-{state[1]}"
 
 
 def _date(on: dt.date | None):

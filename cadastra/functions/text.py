@@ -17,10 +17,15 @@ def int_or_default(value: Column, default: int) -> Column:
 
 def search_route(q: Column) -> Column:
     """'all' for empty text, 'document' for digits only, else 'prefix'."""
-    text = F.trim(F.coalesce(q, F.lit("")))
+    text = search_text(q)
     return F.when(text == "", "all").when(text.rlike("^[0-9]+$"), "document").otherwise("prefix")
 
 
+def search_text(q: Column) -> Column:
+    """What is searched for: white space around it does not count, be it blanks, tabs or line ends."""
+    return F.regexp_replace(F.coalesce(q, F.lit("")), r"^[ \t\n\x0B\f\r]+|[ \t\n\x0B\f\r]+$", "")
+
+
 def split_owners(owner_list: Column) -> Column:
     """Owner list text back to an array; empty array when there are no owners."""
     parts = F.transform(F.split(owner_list, ","), lambda part: F.trim(part))

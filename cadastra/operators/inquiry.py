@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,8 +13,6 @@ from cadastra.functions.text import payment_reference
 from cadastra.operators import arrears
 from cadastra.rules import Rules
 
-DOCUMENT_WIDTH = 20
-
 
 def only(df: DataFrame, property_id=None) -> DataFrame:
     """Optional property filter: no argument, no filter."""
@@ -22,10 +22,10 @@ def only(df: DataFrame, property_id=None) -> DataFrame:
 # -- properties -------------------------------------------------------------------------------
 
 
-def owner_lists(ownership: DataFrame) -> DataFrame:
-    """Open owners per property as one ordered text, documents cut to twenty characters."""
+def owner_lists(ownership: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """Open owners per property as one ordered text, documents cut to the width the rules set."""
     open_owners = ownership.where("end_date IS NULL").select(
-        "property_id", F.substring(F.col("document").cast("string"), 1, DOCUMENT_WIDTH).alias("_doc")
+        "property_id", F.substring(F.col("document").cast("string"), 1, rules.owner_document_width).alias("_doc")
     )
     return open_owners.groupBy("property_id").agg(
         F.expr("listagg(_doc, ', ') WITHIN GROUP (ORDER BY _doc)").alias("owners")
@@ -55,10 +55,10 @@ def search(properties: DataFrame, ownership: DataFrame, persons: DataFrame, q: s
 
     Returns (code, rows); code 4 when the owner is unknown.
     """
-    text = (q or "").strip()
+    text = (q or "").strip(" \t\n\x0b\f\r")
     if text == "":
         return 0, property_list(properties, ownership)
-    if not text.isdigit():
+    if not re.fullmatch("[0-9]+", text):
         return 0, search_by_prefix(properties, ownership, text)
     if persons.where(F.col("document") == F.lit(text)).isEmpty():
         return R.PERSON_UNKNOWN, search_by_owner(properties, ownership, text).limit(0)

@@ -21,13 +21,13 @@ def valid_attempts(attempts: DataFrame) -> DataFrame:
 
 
 def incomplete_attempts(attempts: DataFrame) -> DataFrame:
-    """Rejects for attempts that lack a key."""
-    return attempts.where("property_id IS NULL OR method_id IS NULL OR reference IS NULL").select(
+    """Rejects for attempts that lack a key or a date."""
+    return attempts.where(" OR ".join(f"{column} IS NULL" for column in ATTEMPT)).select(
         "op_date",
         F.lit("payment").alias("step"),
         F.lit(R.NOTHING_PENDING).alias("code"),
         F.concat_ws("/", F.col("property_id").cast("string"), "reference").alias("key"),
-        F.lit("payment without property, method or reference").alias("reason"),
+        F.lit("payment without property, date, method or reference").alias("reason"),
     )
 
 

@@ -9,14 +9,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cadastra.session import small
+
 HOT_ROWS = 1_000_000
+#: Most hot keys that are broadcast; more are joined like any other rows.
+HOT_KEYS = 100_000
 
 
 def hot_keys(rows: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """(key, _parts): keys with more than ``hot_rows`` rows, and into how many parts to split each.
 
-    Every hot key has more than ``hot_rows`` rows, so there are fewer than (all rows / ``hot_rows``) of them: a
-    million in 10^12 rows. That bound is what makes them safe to broadcast.
+    Every hot key has more than ``hot_rows`` rows, so there are fewer than (all rows / ``hot_rows``) of them. Their
+    number is checked before they are broadcast.
     """
     counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
     parts = F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int")
@@ -33,7 +37,7 @@ def spread_join(
     """
     if hot is None:
         return rows.join(attributes, key, how)
-    known = F.broadcast(hot)
+    known = small(hot, HOT_KEYS)
     part = F.coalesce(F.expr(f"pmod(xxhash64({by}), _parts)"), F.lit(0)).cast("int")
     left = rows.join(known, key, "left").withColumn("_part", part).drop("_parts")
     parts = F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cadastra.operators import billing, intervals, meters, payments, registry, service
 from cadastra.plans import state
-from cadastra.plans.replay import Events, billed_tables, charge_log, gate_days, paid_rows, payment_lines
+from cadastra.plans.replay import Events, all_rejects, billed_tables, charge_log, check_load, gate_days, paid_rows, payment_lines
 from cadastra.rules import Rules
 from cadastra.schemas import LOGS
 from cadastra.sources.catalog import Catalog
@@ -27,11 +27,20 @@ def fee_closings(settled: DataFrame, water: DataFrame, cuts: DataFrame, fee: Col
     )
 
 
-def run_day(store: Store, events: Events, day: dt.date, catalog: Catalog, rules: Rules = Rules()) -> dict[str, DataFrame]:
+def run_day(
+    store: Store,
+    events: Events,
+    day: dt.date,
+    catalog: Catalog,
+    rules: Rules = Rules(),
+    rejects: DataFrame | None = None,
+) -> dict[str, DataFrame]:
     """Apply the events dated ``day`` and write the date's rows of every table.
 
-    Reads only earlier dates, so a date that failed half way is simply run again. Dates must come in order.
+    Reads only earlier dates, so a date that failed half way is simply run again; payments of the desk stay. Dates must
+    come in order. ``rejects`` are what the load could not read; those of the date are written with it.
     """
+    check_load(rejects, rules)
     last = store.last_day()
     if last is not None and last > day:
         raise ValueError(f"{day} comes before the last complete date {last}")
@@ -112,7 +121,7 @@ def run_day(store: Store, events: Events, day: dt.date, catalog: Catalog, rules:
     put("invoice_line", lines.unionByName(payment_lines(paid_today, catalog.charges)))
     put(
         "reject",
-        payments.payment_rejects(unmatched).unionByName(payments.incomplete_attempts(today["payment"])),
+        all_rejects(unmatched, today["payment"], None if rejects is None else rejects.where(F.col("op_date") == on)),
     )
     put("op_day", gate)
     return written

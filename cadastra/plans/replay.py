@@ -15,7 +15,7 @@ from cadastra.functions.money import money, zero
 from cadastra.operators import billing, intervals, meters, payments, registry, service
 from cadastra.rules import Rules
 from cadastra.sources.catalog import Catalog
-from cadastra.sources.operations import duplicate_dates
+from cadastra.sources.operations import dated, duplicate_dates, load_rejects, shred_all
 from cadastra.session import written
 from cadastra.sources.store import Store
 
@@ -107,9 +107,11 @@ def replay_tables(
     rules: Rules = Rules(),
     keep: Keep = lambda name, df: df,
     cut: Cut = lambda df: df,
+    rejects: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """All tables of the store. ``keep(name, df)`` may write a table and return it read back; ``cut`` may
-    do the same for the two shared intermediate results (settled invoices and the cut cycle)."""
+    do the same for the two shared intermediate results (settled invoices and the cut cycle). ``rejects`` are what
+    the load of the events could not read."""
     t: dict[str, DataFrame] = {}
 
     def put(name: str, df: DataFrame) -> DataFrame:
@@ -156,20 +158,49 @@ def replay_tables(
     put("invoice_line", base_lines.unionByName(payment_lines(paid, catalog.charges)))
     put(
         "reject",
-        payments.payment_rejects(unmatched).unionByName(payments.incomplete_attempts(events["payment"])),
+        all_rejects(unmatched, events["payment"], rejects),
     )
     put("op_day", days)
     return t
 
 
+def all_rejects(unmatched: DataFrame, attempts: DataFrame, rejects: DataFrame | None) -> DataFrame:
+    """Payments that found nothing pending, incomplete ones, and what the load could not read."""
+    found = payments.payment_rejects(unmatched).unionByName(payments.incomplete_attempts(attempts))
+    return found if rejects is None else found.unionByName(rejects)
+
+
+def check_load(rejects: DataFrame | None, rules: Rules) -> None:
+    """With a strict load, the first unreadable input stops it."""
+    if rules.strict_load and rejects is not None and (first := rejects.first()) is not None:
+        raise ValueError(f"unreadable input: {first['step']} {first['key']}: {first['reason']} (code {first['code']})")
+
+
 def replay(
-    store: Store, events: Events, dates: DataFrame, catalog: Catalog, rules: Rules = Rules()
+    store: Store,
+    events: Events,
+    dates: DataFrame,
+    catalog: Catalog,
+    rules: Rules = Rules(),
+    rejects: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """Replay into ``store``; each table is written once and read back by the steps after it.
+    """Replay into a new run of ``store``, which is published when all its tables are there.
 
-    ``dates`` has one row per date element; a date that occurs twice stops the load.
+    Each table is written once and read back by the steps after it; a replay that fails leaves the published run as it
+    was. ``dates`` has one row per date element; a date that occurs twice stops the load. Undated rows are passed over.
     """
+    check_load(rejects, rules)
+    dates = dates.where("op_date IS NOT NULL")
     twice = duplicate_dates(dates).limit(10).collect()
     if twice:
         raise ValueError(f"operation dates listed more than once: {sorted(str(r['op_date']) for r in twice)}")
-    return replay_tables(events, dates, catalog, rules, store.write_all, written)
+    run = store.new_run()
+    tables = replay_tables(events, dates, catalog, rules, run.write_all, written, rejects)
+    store.publish(run)
+    return tables
+
+
+def replay_documents(store: Store, documents: DataFrame, catalog: Catalog, rules: Rules = Rules()) -> dict[str, DataFrame]:
+    """Replay operations documents; what cannot be read goes to ``reject``, or stops the load by rule."""
+    dates = dated(documents).select("op_date")
+    return replay(store, shred_all(documents), dates, catalog, rules, load_rejects(documents))

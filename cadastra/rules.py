@@ -49,3 +49,7 @@ class Rules:
     gate_use_ids: tuple[int, ...] = (1, 2, 3)
     # Stop at the first payment without a pending invoice instead of rejecting it.
     strict_payments: bool = False
+    # Characters of a document shown in an owner list.
+    owner_document_width: int = 20
+    # Stop a load that meets unreadable input instead of rejecting what it cannot read.
+    strict_load: bool = False

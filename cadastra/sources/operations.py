@@ -6,7 +6,7 @@ event tables (``schemas.EVENTS``) and enter the same plans.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,34 +57,48 @@ SECTIONS = {
     ),
 }
 ROW_TAG = "FechaOperacion"
+CORRUPT = "_corrupt"
+DOCUMENT = "document"
 
 
 def document_schema() -> T.StructType:
-    """Schema of one date element; every attribute is text and is typed on extraction."""
+    """Schema of one date element; every attribute is text and is typed on extraction.
+
+    An element that is no well-formed XML is kept whole in ``_corrupt``.
+    """
     text = T.StringType()
     fields = [T.StructField("_fecha", text)]
     for section, item, attributes in SECTIONS.values():
         record = T.StructType([T.StructField(f"_{a}", text) for a in attributes.values()])
         fields.append(T.StructField(section, T.StructType([T.StructField(item, T.ArrayType(record))])))
-    return T.StructType(fields)
+    # The parser puts fields behind this one out of place, so it is the last.
+    return T.StructType([*fields, T.StructField(CORRUPT, text)])
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("xml").option("rowTag", ROW_TAG).schema(document_schema()).load(path)
+    reader = spark.read.format("xml").option("rowTag", ROW_TAG).option("columnNameOfCorruptRecord", CORRUPT)
+    return reader.schema(document_schema()).load(path)
 
 
 def stream_documents(spark: SparkSession, path: str, files_per_batch: int = 100) -> DataFrame:
     return (
         spark.readStream.format("xml")
         .option("rowTag", ROW_TAG)
+        .option("columnNameOfCorruptRecord", CORRUPT)
         .option("maxFilesPerTrigger", files_per_batch)
         .schema(document_schema())
         .load(path)
     )
 
 
+def sound(documents: DataFrame) -> DataFrame:
+    """Elements that are well-formed; the others are rejected whole."""
+    return documents.where(F.col(CORRUPT).isNull())
+
+
 def dated(documents: DataFrame) -> DataFrame:
-    return documents.withColumn("op_date", F.col("_fecha").try_cast("date"))
+    """Well-formed elements with ``op_date``, null where the date cannot be read."""
+    return sound(documents).withColumn("op_date", F.col("_fecha").try_cast("date"))
 
 
 def raw_section(documents: DataFrame, kind: str) -> DataFrame:
@@ -97,8 +111,8 @@ def raw_section(documents: DataFrame, kind: str) -> DataFrame:
 
 
 def shred(documents: DataFrame, kind: str) -> DataFrame:
-    """Typed events of one section."""
-    raw = raw_section(documents, kind)
+    """Typed events of one section; items of undated elements are rejects, not events."""
+    raw = raw_section(documents, kind).where("op_date IS NOT NULL")
     return raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schemas.EVENTS[kind].fields])
 
 
@@ -130,7 +144,7 @@ def malformed(documents: DataFrame) -> DataFrame:
                 ]
             )
         )
-        rows = raw.withColumn("_bad", bad).where(F.size("_bad") > 0)
+        rows = raw.where("op_date IS NOT NULL").withColumn("_bad", bad).where(F.size("_bad") > 0)
         rejects = rows.select(
             "op_date",
             F.lit(kind).alias("step"),
@@ -142,17 +156,55 @@ def malformed(documents: DataFrame) -> DataFrame:
     return found
 
 
+def _reject(op_date: Column, step: Column, key: Column, reason: Column) -> list[Column]:
+    code = F.lit(LOAD_FAILED).alias("code")
+    return [op_date.alias("op_date"), step.alias("step"), code, key.alias("key"), reason.alias("reason")]
+
+
+def undated(documents: DataFrame) -> DataFrame:
+    """Rejects for elements without a readable date, and for each of their items."""
+    none = F.lit(None).cast("date")
+    lost = dated(documents).where("op_date IS NULL")
+    found = lost.select(*_reject(none, F.lit(DOCUMENT), F.coalesce("_fecha", F.lit("")), F.lit("element without a readable date")))
+    for kind in SECTIONS:
+        items = raw_section(documents, kind).where("op_date IS NULL")
+        rejects = _reject(none, F.lit(kind), F.col("position").cast("string"), F.lit("in an element without a readable date"))
+        found = found.unionByName(items.select(*rejects))
+    return found
+
+
+def broken(documents: DataFrame) -> DataFrame:
+    """Rejects for elements that are no well-formed XML; the key is a digest of the element."""
+    lost = documents.where(F.col(CORRUPT).isNotNull())
+    # A file source answers no query on its corrupt column alone, hence the second one.
+    key = F.sha2(F.coalesce(CORRUPT, "_fecha"), 256)
+    return lost.select(*_reject(F.lit(None).cast("date"), F.lit(DOCUMENT), key, F.lit("unreadable element")))
+
+
+def load_rejects(documents: DataFrame) -> DataFrame:
+    """Everything a load cannot take in: broken and undated elements, items of the latter, unreadable attributes."""
+    return broken(documents).unionByName(undated(documents)).unionByName(malformed(documents))
+
+
 def parse_documents(text: DataFrame, column: str) -> DataFrame:
     """Parse a column of XML date elements with the document schema."""
-    parsed = F.from_xml(F.col(column), document_schema())
+    parsed = F.from_xml(F.col(column), document_schema(), {"columnNameOfCorruptRecord": CORRUPT})
     return text.select(parsed.alias("_doc")).select("_doc.*")
 
 
-def write_documents(events: DataFrame, kind: str) -> DataFrame:
-    """Every event as an XML date element of its own, in column ``document``."""
+def write_documents(events: DataFrame, kind: str, block: Column | None = None) -> DataFrame:
+    """Events as XML date elements, in column ``document``.
+
+    Every event is an element of its own; with ``block``, the events of a date and block share one, ordered by
+    ``position``. A block bounds the items of an element, so that a date with many events is many elements.
+    """
     section, item, attributes = SECTIONS[kind]
     record = F.struct(*[F.col(name).cast("string").alias(f"_{xml}") for name, xml in attributes.items()])
-    element = F.struct(
-        F.col("op_date").cast("string").alias("_fecha"), F.struct(F.array(record).alias(item)).alias(section)
-    )
-    return events.select(F.to_xml(element, {"rowTag": ROW_TAG}).alias("document"))
+    if block is None:
+        items = events.select("op_date", F.array(record).alias("_items"))
+    else:
+        listed = F.array_sort(F.collect_list(F.struct("position", record.alias("_item"))))
+        grouped = events.withColumn("_block", block).groupBy("op_date", "_block").agg(listed.alias("_listed"))
+        items = grouped.select("op_date", F.transform("_listed", lambda x: x["_item"]).alias("_items"))
+    element = F.struct(F.col("op_date").cast("string").alias("_fecha"), F.struct(F.col("_items").alias(item)).alias(section))
+    return items.select(F.to_xml(element, {"rowTag": ROW_TAG}).alias("document"))

@@ -1,44 +1,83 @@
-"""Table store: append-only logs as parquet, one folder per operation date.
+"""Table store: append-only logs as parquet, one folder per operation date, in runs.
 
-A day is written by replacing its folders, so running it again gives the same tables. The ``op_day`` row is written
-last and marks the day as complete.
+A run is one set of tables. A replay fills a new run and publishes it by one appended row, so readers see the old tables or
+the new ones, never both. A day is written by replacing its folders, so running it again gives the same tables; the
+``op_day`` row is written last and marks the day as complete.
+
+Payments of the desk are batches of their own beside the day's folders. A batch counts once its marker is there, which is
+written last; writing a batch again replaces it.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cadastra import schemas
-from cadastra.session import work_dir
+
+#: Tables that the desk writes to, and the columns of the markers.
+DESK = ("payment", "cut_close", "invoice_line", "reject")
+RUNS, BATCHES = "number int, run string", "batch string, op_date date"
 
 
 class Store:
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, run: str | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
+        self._run = run
 
-    @classmethod
-    def in_work_dir(cls, spark: SparkSession, name: str) -> Store:
-        return cls(spark, f"{work_dir(spark)}/{name}")
+    @property
+    def run(self) -> str:
+        """Folder of the tables: the run last published."""
+        if self._run is None:
+            runs = self.spark.read.schema(RUNS).parquet(f"{self.path}/published")
+            self._run = runs.agg(F.max_by("run", "number").alias("run")).first()["run"]
+        return self._run
 
     def location(self, table: str) -> str:
-        return f"{self.path}/{table}"
+        return f"{self.path}/{self.run}/{table}"
 
     def create(self) -> Store:
-        """Make every table, empty."""
+        """Publish a run with every table empty."""
+        return self.publish(self.new_run())
+
+    def new_run(self) -> Store:
+        """A run with empty tables that no reader sees yet."""
+        run = Store(self.spark, self.path, f"run-{uuid.uuid4().hex}")
         for table, schema in schemas.LOGS.items():
             empty = self.spark.createDataFrame([], schema)
-            empty.write.mode("append").partitionBy("op_date").parquet(self.location(table))
+            empty.write.mode("append").partitionBy("op_date").parquet(run.location(table))
+        for table in DESK:
+            empty = self.spark.createDataFrame([], _with_batch(table))
+            empty.write.mode("append").partitionBy("batch").parquet(run.location(f"desk/{table}"))
+        self.spark.createDataFrame([], BATCHES).write.mode("append").partitionBy("batch").parquet(run.location("desk/done"))
+        return run
+
+    def publish(self, run: Store) -> Store:
+        """Make the tables of ``run`` those of the store, by one row written last."""
+        self.spark.createDataFrame([], RUNS).write.mode("append").parquet(f"{self.path}/published")
+        runs = self.spark.read.schema(RUNS).parquet(f"{self.path}/published")
+        following = runs.agg((F.coalesce(F.max("number"), F.lit(-1)) + 1).cast("int").alias("number"), F.lit(run.run).alias("run"))
+        following.coalesce(1).write.mode("append").parquet(f"{self.path}/published")
+        self._run = run.run
         return self
 
     def read(self, table: str, before: dt.date | None = None) -> DataFrame:
-        """Rows of a table, optionally only of dates before ``before`` (prunes folders)."""
+        """Rows of a table, optionally only of dates before ``before`` (prunes folders); complete desk batches included."""
         df = self.spark.read.schema(schemas.LOGS[table]).parquet(self.location(table))
+        if table in DESK:
+            batches = self.spark.read.schema(_with_batch(table)).parquet(self.location(f"desk/{table}"))
+            df = df.unionByName(batches.join(self.batches().select("batch"), "batch", "left_semi").select(*df.columns))
         return df if before is None else df.where(F.col("op_date") < F.lit(before))
 
+    def batches(self) -> DataFrame:
+        """Complete batches of the desk, with their dates."""
+        return self.spark.read.schema(BATCHES).parquet(self.location("desk/done"))
+
     def _shaped(self, table: str, df: DataFrame) -> DataFrame:
         return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.LOGS[table].fields])
 
@@ -52,17 +91,42 @@ class Store:
         return self.read(table)
 
     def write_day(self, table: str, day: dt.date, df: DataFrame) -> DataFrame:
-        """Replace one date of a table and return it read back."""
+        """Replace one date of a table, desk batches aside, and return it read back."""
         folder = f"{self.location(table)}/op_date={day.isoformat()}"
         self._shaped(table, df).drop("op_date").write.mode("overwrite").parquet(folder)
-        return self.read(table).where(F.col("op_date") == F.lit(day))
-
-    def append_day(self, table: str, day: dt.date, df: DataFrame) -> DataFrame:
-        """Add rows to one date of a table and return them (checkpointed: the tables they came from change)."""
-        work_dir(self.spark)
-        rows = self._shaped(table, df.withColumn("op_date", F.lit(day))).checkpoint()
-        rows.drop("op_date").write.mode("append").parquet(f"{self.location(table)}/op_date={day.isoformat()}")
-        return rows
+        rows = self.spark.read.schema(schemas.LOGS[table]).parquet(self.location(table))
+        return rows.where(F.col("op_date") == F.lit(day))
+
+    def add_undated(self, table: str, df: DataFrame) -> None:
+        """Append rows without a date that the table does not have yet, so a repeated load adds none."""
+        rows = self._shaped(table, df).drop("op_date").distinct()
+        known = self.spark.read.schema(schemas.LOGS[table]).parquet(self.location(table)).where("op_date IS NULL").drop("op_date")
+        same = None
+        known = known.toDF(*[f"_{c}" for c in known.columns])
+        for column in rows.columns:
+            equal = F.col(column).eqNullSafe(F.col(f"_{column}"))
+            same = equal if same is None else same & equal
+        fresh = rows.join(known, same, "left_anti").withColumn("op_date", F.lit(None).cast("date"))
+        fresh.write.mode("append").partitionBy("op_date").parquet(self.location(table))
+
+    def write_batch(self, table: str, batch: str, df: DataFrame) -> DataFrame:
+        """Replace the rows of one desk batch and return them read back; they count when the batch is complete."""
+        folder = f"{self.location(f'desk/{table}')}/batch={batch}"
+        self._shaped(table, df).write.mode("overwrite").parquet(folder)
+        return self.batch(table, batch)
+
+    def batch(self, table: str, batch: str) -> DataFrame:
+        """Rows of one desk batch."""
+        rows = self.spark.read.schema(_with_batch(table)).parquet(self.location(f"desk/{table}"))
+        return rows.where(F.col("batch") == batch).drop("batch")
+
+    def complete_batch(self, batch: str, day: dt.date) -> None:
+        done = self.spark.createDataFrame([(day,)], "op_date date")
+        done.write.mode("overwrite").parquet(f"{self.location('desk/done')}/batch={batch}")
 
     def last_day(self) -> dt.date | None:
         return self.read("op_day").agg(F.max("op_date").alias("d")).first()["d"]
+
+
+def _with_batch(table: str) -> T.StructType:
+    return T.StructType([*schemas.LOGS[table].fields, T.StructField("batch", T.StringType())])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cadastra.plans.daily import run_day
+from cadastra.plans.replay import check_load
 from cadastra.rules import Rules
 from cadastra.sources import operations
 from cadastra.sources.catalog import Catalog
@@ -18,8 +19,11 @@ def apply_batch(store: Store, documents: DataFrame, catalog: Catalog, rules: Rul
 
     A date that is already complete is not run again: it was done by an earlier attempt of this batch, and a date
     is accepted once. A date before the last complete one that was never run stops the stream, as does a date
-    listed twice: nothing is dropped silently.
+    listed twice. Broken and undated elements are rejected without a date, before any date runs, and once each.
     """
+    rejects = operations.load_rejects(documents)
+    check_load(rejects, rules)
+    store.add_undated("reject", rejects.where("op_date IS NULL"))
     days = operations.dated(documents).where("op_date IS NOT NULL").groupBy("op_date").count()
     listed = sorted((r["op_date"], r["count"]) for r in days.collect())  # one row per date of the batch
     twice = [str(d) for d, n in listed if n > 1]
@@ -30,7 +34,7 @@ def apply_batch(store: Store, documents: DataFrame, catalog: Catalog, rules: Rul
     events = operations.shred_all(documents)
     for day in dates:
         if day not in complete:
-            run_day(store, events, day, catalog, rules)
+            run_day(store, events, day, catalog, rules, rejects)
 
 
 def ingest_days(

@@ -10,6 +10,7 @@ import re
 
 AS_OF = "DATE '1996-03-31'"
 CUT_DATE = "DATE '1996-01-31'"
+LATER_CUT_DATE = "DATE '1996-06-30'"
 
 
 def money(units: str) -> str:
@@ -149,6 +150,9 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
           WHEN 5 THEN 'MantenimientoParques' END AS description
         FROM billed b LEFT JOIN volume v ON v.property_id = b.property_id AND v.op_date = b.op_date
         WHERE b.charge_id <= 5"""),
+    "sent": ((), """SELECT CAST(l_shipdate AS DATE) AS op_date, CAST(o_custkey AS VARCHAR) AS property_id,
+        CAST(1 + l_partkey % 2 AS INTEGER) AS method_id, concat(l_orderkey, '-', l_linenumber) AS reference,
+        l_linenumber AS line FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'R'"""),
     "attempt": ((), """SELECT DISTINCT o_custkey AS property_id, CAST(l_shipdate AS DATE) AS op_date,
         CAST(1 + l_partkey % 2 AS INTEGER) AS method_id, concat(l_orderkey, '-', l_linenumber) AS reference
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'R'"""),
@@ -302,6 +306,13 @@ QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
         JOIN (SELECT *, row_number() OVER (PARTITION BY property_id ORDER BY invoice_date, invoice_id) AS k
           FROM pending) p ON p.property_id = a.property_id AND p.k = a.k"""),
     "cut_orders_day": (("active_cut",), f"SELECT property_id, invoice_id, {CUT_DATE} AS op_date FROM active_cut"),
+    "cut_orders_next": (("pending", "water_now", "active_cut"), f"""SELECT property_id, invoice_id, {LATER_CUT_DATE} AS op_date
+        FROM (SELECT property_id, invoice_id,
+          row_number() OVER (PARTITION BY property_id ORDER BY invoice_date, invoice_id) AS rn FROM pending
+          WHERE due_date + 10 < {LATER_CUT_DATE} AND property_id IN (SELECT property_id FROM water_now)
+            AND property_id NOT IN (SELECT property_id FROM active_cut)) t WHERE rn = 1"""),
+    "reconnections_day": (("active_cut",), f"""SELECT property_id, invoice_id, {LATER_CUT_DATE} AS op_date FROM active_cut
+        WHERE invoice_id % 3 = 0 AND invoice_id % 2 <> 0"""),
     "cut_orders_bulk": (("cycle",), "SELECT property_id, invoice_id, created_on, closed_on FROM cycle"),
     "fees_bulk": (("cycle",), """SELECT property_id, fee_invoice_id AS invoice_id, closed_on AS op_date,
         CAST(30000 AS DECIMAL(19,4)) AS fee FROM cycle WHERE closed_on IS NOT NULL"""),
@@ -367,6 +378,17 @@ QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
         CAST(o_totalprice AS DECIMAL(19,4)) AS value FROM orders WHERE o_orderstatus = 'P'"""),
     "xml_readings": (("reading",), """SELECT op_date, CAST(meter_id AS VARCHAR) AS meter_id, movement, value
         FROM reading"""),
+    "xml_positions": (("reading",), """SELECT op_date, CAST(row_number() OVER (PARTITION BY op_date, position // 24000
+        ORDER BY position) - 1 AS INTEGER) AS position, CAST(meter_id AS VARCHAR) AS meter_id, movement, value
+        FROM reading"""),
+    "load_rejects": (("sent",), """SELECT op_date, step, 50002 AS code, reason, count(*) AS n FROM (
+          SELECT CAST(NULL AS DATE) AS op_date, 'document' AS step, 'unreadable element' AS reason FROM sent WHERE line = 1
+          UNION ALL SELECT NULL, 'document', 'element without a readable date' FROM sent WHERE line = 2
+          UNION ALL SELECT NULL, 'payment', 'in an element without a readable date' FROM sent WHERE line = 2
+          UNION ALL SELECT op_date, 'payment', 'unreadable method_id' FROM sent WHERE line = 3) t
+        GROUP BY op_date, step, reason"""),
+    "load_survivors": (("sent",), """SELECT op_date, property_id, CASE WHEN line <> 3 THEN method_id END AS method_id,
+        reference FROM sent WHERE line > 2"""),
     "replay_invoices": (("gen_paid",), f"""SELECT property_id, invoice_id, invoice_date, due_date,
         {money('original_u')} AS original_total,
         {money('original_u + CASE WHEN paid_on IS NULL THEN 0 ELSE interest_u + fee_u END')} AS final_total,
@@ -384,7 +406,7 @@ QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
-QUERIES["stream_meter_balance"] = QUERIES["meter_balance"]
+QUERIES["stream_meter_balance"] = QUERIES["stream_meter_batches"] = QUERIES["meter_balance"]
 
 
 def sql(name: str) -> str:

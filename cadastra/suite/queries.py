@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 
@@ -21,6 +22,8 @@ from cadastra.sources.catalog import SUBTYPES, split_subtypes
 from cadastra.streaming.meters import MeterStream
 from cadastra.suite.star import AS_OF, Star, fee
 
+LATER_CUT_DATE = dt.date(1996, 6, 30)
+
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
 
@@ -278,6 +281,21 @@ def cut_orders_day(s: Star) -> DataFrame:
     return s.active_cuts
 
 
+@query
+def cut_orders_next(s: Star) -> DataFrame:
+    """Cut orders of a later date, for properties without an active cut."""
+    pending = s.invoices.where("state = 1")
+    return service.cut_orders_on(pending, s.water_now, s.active_cuts, F.lit(LATER_CUT_DATE))
+
+
+@query
+def reconnections_day(s: Star) -> DataFrame:
+    """Reconnection orders of a date: every third invoice is paid, every second cut has its order already."""
+    cuts = s.active_cuts
+    paid, ordered = s.invoices.where("invoice_id % 3 = 0"), cuts.where("invoice_id % 2 = 0")
+    return service.reconnections_on(cuts, paid, ordered, F.lit(LATER_CUT_DATE))
+
+
 @query
 def cut_orders_bulk(s: Star) -> DataFrame:
     return s.cycle.select("property_id", "invoice_id", "created_on", "closed_on")
@@ -486,6 +504,44 @@ def xml_readings(s: Star) -> DataFrame:
     return shredded(s.readings, "reading")
 
 
+#: Positions of the events that share an element.
+BLOCK = 24_000
+
+
+@query
+def xml_positions(s: Star) -> DataFrame:
+    """Readings in elements of several items: the position is the item's place in its element."""
+    block = F.floor(F.col("position") / BLOCK)
+    documents = operations.parse_documents(operations.write_documents(s.readings, "reading", block), "document")
+    return operations.shred(documents, "reading")
+
+
+def damaged_documents(s: Star) -> DataFrame:
+    """Payments as documents, by line number: 1 not well-formed, 2 undated, 3 with an unreadable method, others sound."""
+    texts = operations.write_documents(s.attempts, "payment")
+    document, line = F.col("document"), F.regexp_extract("document", r'numeroReferencia="[0-9]+-([0-9]+)"', 1).cast("int")
+    damaged = (
+        F.when(line == 1, F.regexp_replace(document, 'numeroFinca="([^"]*)"', "numeroFinca=$1"))
+        .when(line == 2, F.regexp_replace(document, 'fecha="[^"]*"', 'fecha="2025-13-05"'))
+        .when(line == 3, F.regexp_replace(document, 'tipoMedioPagoId="[^"]*"', 'tipoMedioPagoId="cash"'))
+        .otherwise(document)
+    )
+    return operations.parse_documents(texts.select(damaged.alias("document")), "document")
+
+
+@query
+def load_rejects(s: Star) -> DataFrame:
+    """What a load rejects of documents of which a fixed share is damaged."""
+    rejects = operations.load_rejects(damaged_documents(s))
+    return rejects.groupBy("op_date", "step", "code", "reason").agg(F.count("*").alias("n"))
+
+
+@query
+def load_survivors(s: Star) -> DataFrame:
+    """The payments of the same documents that reach the plans, unreadable attributes null."""
+    return operations.shred(damaged_documents(s), "payment").drop("position")
+
+
 # -- whole replay: generated invoices, payments against them, cuts on every operation date ----
 
 
@@ -546,3 +602,13 @@ def stream_meter_balance(s: Star) -> DataFrame:
     s.events = source.parquet(s.folder)
     stream.run(s.readings).awaitTermination()
     return stream.read("balance").select("meter_id", "op_date", "position", "balance")
+
+
+@query
+def stream_meter_batches(s: Star) -> DataFrame:
+    """The same balances from micro-batches by date, so that each goes on from the state of those before it."""
+    stream = MeterStream(s.spark, f"{work_dir(s.spark)}/meter-stream-{uuid.uuid4().hex}", compact=2)
+    edges = [dt.date(1900, 1, 1), dt.date(1996, 7, 1), dt.date(1998, 1, 1), dt.date(1999, 7, 1), dt.date(2100, 1, 1)]
+    for batch, (start, end) in enumerate(zip(edges, edges[1:], strict=False)):
+        stream.apply(s.readings.where((F.col("op_date") >= F.lit(start)) & (F.col("op_date") < F.lit(end))), batch)
+    return stream.read("balance").select("meter_id", "op_date", "position", "balance")

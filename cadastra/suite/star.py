@@ -17,7 +17,7 @@ from cadastra.functions.money import money
 from cadastra.operators import intervals, registry, service
 from cadastra.operators.payments import settle
 from cadastra.operators.skew import hot_keys
-from cadastra.session import small, tune
+from cadastra.session import small
 from cadastra.sources.catalog import Catalog
 
 # Dates of the as-of queries.
@@ -59,7 +59,7 @@ class Star:
     """Billing tables over one scale-factor folder."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark = tune(spark)
+        self.spark = spark
         self.folder = folder
 
     def read(self, name: str) -> DataFrame:

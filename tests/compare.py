@@ -74,7 +74,7 @@ def main() -> int:
                 continue
             problem, rows = difference(df, con, oracle[name])
         except Exception as error:  # report and go on to the next query
-            problem, rows = f"{type(error).__name__}: {str(error)[:600]}", 0
+            problem, rows = f"{type(error).__name__}: {str(error)[:900]}", 0
         bad += problem is not None
         print(f"{'ok' if problem is None else 'BAD':5} {name} {rows} rows {time.time() - start:.1f}s {problem or ''}", flush=True)
     print("differences:", bad)

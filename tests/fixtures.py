@@ -15,8 +15,15 @@ ITEMS = {
     "payment_methods": [(1, "Efectivo"), (2, "Tarjeta")],
     "amount_types": [(1, "Monto Fijo"), (2, "Monto Variable"), (3, "Porcentaje")],
 }
-PERIODS = [(1, "Mensual", 1, None), (2, "Trimestral", 3, None), (3, "Semestral", 6, None), (4, "Anual", 12, None)]
-PERIODS += [(5, "Único", 1, None), (6, "Interés Diario", 1, 30)]
+# The periods of the published catalog (id, name, months, days).
+PERIODS = [
+    (1, "Mensual", 1, None),
+    (2, "Trimestral", 3, None),
+    (3, "Semestral", 6, None),
+    (4, "Anual", 12, None),
+    (5, "Único", 1, None),
+    (6, "Interés Diario", 1, 30),
+]
 
 
 def element(name: str, attributes: dict) -> str:

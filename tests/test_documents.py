@@ -9,11 +9,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from cadastra.api import BillingDesk
+from cadastra.operators import payments
+from cadastra.plans.daily import run_day
+from cadastra.plans.replay import replay, replay_documents
 from cadastra.rules import Rules
+from cadastra.schemas import LOGS
 from cadastra.sources import operations
 from cadastra.sources.catalog import SUBTYPES, read_catalog, split_subtypes
 from cadastra.sources.store import Store
-from cadastra.streaming.days import ingest_days
+from cadastra.streaming.days import apply_batch, ingest_days
 from cadastra.streaming.meters import MeterStream
 from tests.fixtures import CATALOG, catalog_document
 
@@ -95,7 +99,8 @@ def test_stream_of_days_and_billing_desk(spark, catalog, tmp_path):
     run()
     assert store.last_day() == dt.date(2025, 2, 12)
     assert store.read("cut_open").count() == 1
-    assert store.read("reject").count() == 1  # F-0002 had nothing pending
+    # F-0002 had nothing pending, and its fiscal value was unreadable.
+    assert {(r["step"], r["code"]) for r in store.read("reject").collect()} == {("payment", 50014), ("fiscal", 50002)}
 
     desk = BillingDesk(store, catalog)
     on = dt.date(2025, 2, 14)
@@ -129,35 +134,123 @@ def test_stream_of_days_and_billing_desk(spark, catalog, tmp_path):
     assert paid["invoices"].first()["amount"] == row["total"]
     assert paid["lines"].count() == 7 and paid["rejects"].count() == 1
     after = BillingDesk(store, catalog)
+    # A repeated call pays nothing more and gives the same answer, also from a new desk.
+    for again in (desk, after):
+        repeat = again.pay(tries, on)
+        assert [repeat[k].count() for k in ("invoices", "lines", "rejects")] == [1, 7, 1]
+    assert store.read("payment").count() == 1
+    # Running the date's step leaves the payment alone.
+    run_day(store, operations.shred_all(parse(spark, PAY_DAY.replace("2025-02-12", "2025-02-14"))), on, catalog)
+    assert store.read("payment").count() == 1 and store.read("cut_close").count() == 1
     [row] = after.invoices("F-0001", on)[1]["invoices"].collect()
     assert (row["state"], row["paid_on"], row["total"]) == (2, on, paid["invoices"].first()["amount"])
     assert after.active_cuts.isEmpty()
     assert after.simulate_payment("F-0001", on)[0] == 50014
 
 
-def test_late_days_stop_the_batch(spark, catalog, tmp_path):
-    from cadastra.streaming.days import apply_batch
+def parse(spark, *texts):
+    return operations.parse_documents(spark.createDataFrame([(t,) for t in texts], "d string"), "d")
+
 
+def test_late_days_stop_the_batch(spark, catalog, tmp_path):
     store = Store(spark, str(tmp_path / "store")).create()
-    parse = lambda text: operations.parse_documents(spark.createDataFrame([(text,)], "d string"), "d")
-    apply_batch(store, parse(PAY_DAY), catalog, Rules())
-    apply_batch(store, parse(PAY_DAY), catalog, Rules())  # a retried batch
+    apply_batch(store, parse(spark, PAY_DAY), catalog, Rules())
+    apply_batch(store, parse(spark, PAY_DAY), catalog, Rules())  # a retried batch
     assert store.read("reject").count() == 1
     with pytest.raises(ValueError, match="comes before"):
-        apply_batch(store, parse(CUT_DAY), catalog, Rules())
+        apply_batch(store, parse(spark, CUT_DAY), catalog, Rules())
     with pytest.raises(ValueError, match="more than once"):
-        apply_batch(store, parse(PAY_DAY).unionAll(parse(PAY_DAY)), catalog, Rules())
+        apply_batch(store, parse(spark, PAY_DAY, PAY_DAY), catalog, Rules())
+
+
+UNDATED = PAY_DAY.replace("2025-02-12", "2025-13-05")
+BROKEN = PAY_DAY.replace('numeroFinca="F-0002"', "numeroFinca=F-0002")
+UNREADABLE = PAY_DAY.replace("2025-02-12", "2025-02-13").replace('PagoId="1"', 'PagoId="cash"')
+LOST = {
+    ("document", None, "unreadable element"),
+    ("document", None, "element without a readable date"),
+    ("payment", None, "in an element without a readable date"),
+    ("payment", dt.date(2025, 2, 13), "unreadable method_id"),
+    ("payment", dt.date(2025, 2, 13), "payment without property, date, method or reference"),
+    ("payment", dt.date(2025, 2, 12), "nothing pending"),
+}
+
+
+def rejected(store):
+    return sorted(((r["step"], r["op_date"], r["reason"]) for r in store.read("reject").collect()), key=repr)
+
+
+@pytest.mark.parametrize("source", ["column", "file"])
+def test_no_input_is_lost(spark, catalog, tmp_path, source):
+    texts = [PAY_DAY, UNDATED, BROKEN, UNREADABLE]
+    if source == "file":
+        (tmp_path / "o.xml").write_text(f"<Operaciones>{''.join(texts[:2] + texts[3:])}</Operaciones>", encoding="utf-8")
+        (tmp_path / "p.xml").write_text(f"<Operaciones>{BROKEN}</Operaciones>", encoding="utf-8")
+        documents = operations.read_documents(spark, str(tmp_path / "*.xml"))
+    else:
+        documents = parse(spark, *texts)
+    bulk = Store(spark, str(tmp_path / "bulk")).create()
+    replay_documents(bulk, documents, catalog)
+    assert rejected(bulk) == sorted(LOST, key=repr)
+    days = Store(spark, str(tmp_path / "days")).create()
+    for _ in range(2):  # a retried batch adds nothing
+        apply_batch(days, documents, catalog, Rules())
+        assert rejected(days) == sorted(LOST, key=repr)
+    with pytest.raises(ValueError, match="unreadable input"):
+        replay_documents(bulk, documents, catalog, Rules(strict_load=True))
+    with pytest.raises(ValueError, match="unreadable input"):
+        apply_batch(days, documents, catalog, Rules(strict_load=True))
+
+
+def test_attempts_are_paid_or_rejected(spark):
+    d = [dt.date(2025, 1, i) for i in range(1, 6)]
+    bills = [(f"i{k}", "F", d[0], d[4], D(5)) for k in range(2)]
+    invoices = spark.createDataFrame(bills, "invoice_id string, property_id string, invoice_date date, due_date date, original_total decimal(19,4)")
+    rows = [("F", d[1], 1, "a"), ("F", d[1], 1, "b"), ("F", d[2], 1, "c"), ("F", None, 1, "d"), (None, d[1], 1, "e"), ("F", d[1], None, "f"), ("F", d[1], 1, None), ("G", d[1], 1, "g")]
+    tries = spark.createDataFrame(rows, "property_id string, op_date date, method_id int, reference string")
+    settled, unmatched = payments.settle(invoices, tries)
+    paid = settled.where("paid_on IS NOT NULL").count()
+    assert paid + unmatched.count() + payments.incomplete_attempts(tries).count() == len(rows)
+
+
+def test_failed_replay_leaves_the_published_run(spark, catalog, tmp_path):
+    store = Store(spark, str(tmp_path / "store")).create()
+    replay_documents(store, parse(spark, FIRST_DAY), catalog)
+    before = {name: store.read(name).count() for name in LOGS}
+    events = operations.shred_all(parse(spark, CUT_DAY))
+    days = operations.dated(parse(spark, CUT_DAY, PAY_DAY)).select("op_date")
+    attempts = operations.shred_all(parse(spark, PAY_DAY))["payment"].withColumn("method_id", F.expr("raise_error('lost')").cast("int"))
+    with pytest.raises(Exception, match="lost"):
+        replay(store, events | {"payment": attempts}, days, catalog)
+    assert {name: Store(spark, store.path).read(name).count() for name in LOGS} == before
+
+
+def test_unfinished_desk_batch_does_not_count(spark, catalog, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path / "store")).create()
+    replay_documents(store, parse(spark, FIRST_DAY, CUT_DAY), catalog)
+    tries = spark.createDataFrame([("F-0001", 2, "R")], "property_id string, method_id int, reference string")
+    with monkeypatch.context() as patch:
+        patch.setattr(Store, "complete_batch", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            BillingDesk(store, catalog).pay(tries, dt.date(2025, 2, 14))
+    assert store.read("payment").count() == 0 and store.read("invoice_line").where("charge_id > 5").count() == 0
+    BillingDesk(store, catalog).pay(tries, dt.date(2025, 2, 14))
+    assert store.read("payment").count() == 1 and store.read("cut_close").count() == 1
 
 
-def test_meter_stream(spark, tmp_path):
-    stream = MeterStream(spark, str(tmp_path / "meters"))
+@pytest.mark.parametrize("compact", [1, 2, 16])
+def test_meter_stream(spark, tmp_path, compact):
+    stream = MeterStream(spark, str(tmp_path / "meters"), compact)
     schema = "meter_id bigint, op_date date, position bigint, movement int, value decimal(10,2)"
     d = [dt.date(2025, 1, i) for i in range(1, 5)]
     stream.apply(spark.createDataFrame([(1, d[0], 0, 1, D(10)), (1, d[1], 1, 3, D(5)), (2, d[1], 2, 3, D(1))], schema), 0)
-    second = spark.createDataFrame([(1, d[2], 3, 2, D(2)), (1, d[0], 4, 1, D(99)), (2, d[1], 5, 3, D(1))], schema)
+    second = spark.createDataFrame([(1, d[2], 3, 2, D(2)), (1, d[0], 4, 1, D(99)), (2, d[1], 5, 3, D(1)), (1, None, 6, 1, D(7))], schema)
     stream.apply(second, 1)
     stream.apply(second, 1)  # a retried batch
     got = {(r["meter_id"], r["position"]): r["balance"] for r in stream.read("balance").collect()}
     assert got == {(1, 0): 10, (1, 1): 15, (2, 2): 1, (1, 3): 13, (2, 5): 2}
-    assert [r["position"] for r in stream.read("late").select("position").collect()] == [4]
+    assert sorted(r["position"] for r in stream.read("late").collect()) == [4, 6]
     assert stream.read("closing").where(F.col("batch") == 1).count() == 2
+    stream.apply(spark.createDataFrame([(1, d[3], 7, 3, D(1)), (2, d[3], 8, 2, D(1)), (3, d[3], 9, 1, D(4))], schema), 2)
+    got = {r["position"]: r["balance"] for r in stream.read("balance").where("batch = 2").collect()}
+    assert got == {7: 14, 8: 1, 9: 4}
