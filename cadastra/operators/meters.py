@@ -18,29 +18,51 @@ def signed(movement: Column, value: Column) -> Column:
     )
 
 
-def day_effects(readings: DataFrame, key: str = "meter_id") -> DataFrame:
-    """One row per (key, date): ``base`` is the last value set that day (null if none), ``delta`` what follows it.
+#: Width, in positions, of the blocks that the readings of a meter's day are summed in.
+BLOCK = 65_536
+
+
+def _in_blocks(readings: DataFrame, key: str) -> DataFrame:
+    """Readings with ``_block``, the block's running total ``_total`` and what the last set adds to it, ``_rebase``.
 
-    The day turns a balance b into coalesce(base, b) + delta. Two partial aggregations, no window, so a meter with
-    any number of readings on one day is summed in parallel.
+    A window holds one block of one date, so a meter with any number of readings on one day is many tasks.
     """
-    rows = readings.where(F.col("value").isNotNull()).select(key, "op_date", "position", "movement", "value")
-    last_set = (
-        rows.where(F.col("movement") == SET)
-        .groupBy(key, "op_date")
-        .agg(F.max(F.struct("position", "value")).alias("_set"))
-        .select(key, "op_date", F.col("_set.position").alias("_set_at"), F.col("_set.value").cast(TOTAL).alias("base"))
+    block = F.coalesce(F.floor(F.col("position") / BLOCK).cast("bigint"), F.lit(-(1 << 62)).cast("bigint"))
+    rows = readings.withColumn("_block", block)
+    in_block = running([key, "op_date", "_block"], ["position"])
+    total = F.sum(signed(F.col("movement"), F.col("value"))).over(in_block).cast(TOTAL)
+    rebase = F.last(F.when(F.col("movement") == SET, F.col("value") - F.col("_total")), True).over(in_block)
+    return rows.withColumn("_total", total).withColumn("_rebase", rebase.cast(TOTAL))
+
+
+def _block_effects(rows: DataFrame, key: str) -> DataFrame:
+    """One row per block: a balance b becomes coalesce(base, b) + delta. Such pairs combine in any grouping."""
+    place = F.coalesce(F.col("position").cast("bigint"), F.lit(-(1 << 62)))
+    last = F.max_by(F.struct("_rebase", "_total"), place).alias("_last")
+    return (
+        rows.groupBy(key, "op_date", "_block")
+        .agg(last)
+        .select(key, "op_date", "_block", F.col("_last._rebase").alias("base"), F.coalesce("_last._total", F.lit(0)).cast(TOTAL).alias("delta"))
     )
-    after = F.col("_set_at").isNull() | (F.col("position") > F.col("_set_at"))
+
+
+def _folded(effects: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Effects of everything up to each row: ``_base`` and ``_delta``."""
+    before = running(keys, order)
+    total = F.sum("delta").over(before).cast(TOTAL)
+    rebase = F.last(F.when(F.col("base").isNotNull(), F.col("base") + F.col("delta") - F.col("_delta")), True).over(before)
+    return effects.withColumn("_delta", total).withColumn("_base", rebase.cast(TOTAL))
+
+
+def day_effects(readings: DataFrame, key: str = "meter_id") -> DataFrame:
+    """One row per (key, date): the day turns a balance b into coalesce(base, b) + delta, from the blocks of the day."""
+    rows = readings.where(F.col("value").isNotNull()).select(key, "op_date", "position", "movement", "value")
+    blocks = _folded(_block_effects(_in_blocks(rows, key), key), [key, "op_date"], ["_block"])
+    last = F.max_by(F.struct("_base", "_delta"), "_block").alias("_last")
     return (
-        rows.join(last_set, [key, "op_date"], "left")
-        .groupBy(key, "op_date")
-        .agg(
-            F.first("base").alias("base"),
-            F.sum(F.when(after, signed(F.col("movement"), F.col("value"))).otherwise(F.lit(0).cast(TOTAL)))
-            .cast(TOTAL)
-            .alias("delta"),
-        )
+        blocks.groupBy(key, "op_date")
+        .agg(last)
+        .select(key, "op_date", F.col("_last._base").alias("base"), F.col("_last._delta").alias("delta"))
     )
 
 
@@ -74,25 +96,14 @@ def property_balances(readings: DataFrame, properties: DataFrame) -> DataFrame:
 
 def reading_balances(readings: DataFrame) -> DataFrame:
     """Every reading with its meter's balance right after it, in (date, position) order, starting from 0."""
-    effects = day_effects(readings)
-    closing = day_balances(effects, "meter_id")
-    opening = closing.select(
-        "meter_id",
-        "op_date",
-        F.coalesce(F.lag("balance").over(Window.partitionBy("meter_id").orderBy("op_date")), F.lit(0))
-        .cast(TOTAL)
-        .alias("_opening"),
-    )
-    in_day = running(["meter_id", "op_date"], ["position"])
-    total = F.sum(signed(F.col("movement"), F.col("value"))).over(in_day).cast(TOTAL)
-    rebase = F.last(F.when(F.col("movement") == SET, F.col("value") - F.col("_total")), True).over(in_day)
+    rows = _in_blocks(readings, "meter_id")
+    order = ["op_date", "_block"]
+    closing = _folded(_block_effects(rows, "meter_id"), ["meter_id"], order)
+    balance = F.coalesce("_base", F.lit(0)) + F.col("_delta")
+    before = F.lag(balance).over(Window.partitionBy("meter_id").orderBy(*order))
+    opening = closing.select("meter_id", *order, F.coalesce(before, F.lit(0)).cast(TOTAL).alias("_opening"))
     return (
-        readings.withColumn("_total", total)
-        .withColumn("_rebase", rebase)
-        .join(opening, ["meter_id", "op_date"], "left")
-        .withColumn(
-            "balance",
-            (F.col("_total") + F.coalesce("_rebase", "_opening", F.lit(0))).cast(TOTAL),
-        )
-        .drop("_total", "_rebase", "_opening")
+        rows.join(opening, ["meter_id", *order], "left")
+        .withColumn("balance", (F.col("_total") + F.coalesce("_rebase", "_opening", F.lit(0))).cast(TOTAL))
+        .drop("_total", "_rebase", "_opening", "_block")
     )
