@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 from decimal import Decimal as D
 
 import pytest
@@ -96,6 +97,54 @@ def test_meter_balances(spark):
     assert dict(values(last, "property_id", "b")) == {"A": D(21), "B": D(1)}
 
 
+@pytest.mark.parametrize("width", [1, 7, 65_536])
+def test_a_hot_meter_day_is_summed_in_blocks(spark, monkeypatch, width):
+    """A third of all readings on one meter and date, against a plain loop; no window holds more than a block."""
+    monkeypatch.setattr(meters, "BLOCK", width)
+    rng = random.Random(width)
+    rows = []
+    for i in range(900):
+        hot = i % 3 == 0
+        on = day("2025-01-02") if hot else day("2025-01-01") + dt.timedelta(days=rng.randrange(4))
+        rows.append(("M" if hot else f"m{rng.randrange(5)}", on, i, rng.choice([1, 2, 3, 3, 2, 9]), D(rng.randrange(1000)) / 4))
+    df = spark.createDataFrame(rows, "meter_id string, op_date date, position int, movement int, value decimal(10,2)")
+    balances: dict[str, D] = {}
+    expected, closing = {}, {}
+    for meter, on, i, movement, value in sorted(rows, key=lambda r: (r[1], r[2])):
+        before = balances.get(meter, D(0))
+        balances[meter] = {1: value, 2: before - value, 3: before + value}.get(movement, before)
+        expected[i] = closing[(meter, on)] = balances[meter]
+    assert dict(values(meters.reading_balances(df), "position", "balance")) == expected
+    one = spark.createDataFrame([(m, m, day("2025-01-01")) for m in balances], "property_id string, meter_id string, op_date date")
+    found = {(m, on): b for m, on, b in values(meters.property_balances(df, one), "property_id", "op_date", "balance")}
+    assert found == closing
+    largest = meters._in_blocks(df, "meter_id").groupBy("meter_id", "op_date", "_block").count().agg(F.max("count")).first()[0]
+    assert largest <= width
+
+
+def test_calendar_with_a_stray_date(spark):
+    dates_ = [day(d) for d in ("1995-12-30", "1995-12-31", "1996-01-05", "1999-03-01")]
+    df = spark.createDataFrame([(d,) for d in [*dates_, dates_[0], None]], "d date")
+    near = dates.next_date_lookup(df, "d")
+    far = dates.next_date_lookup(df, "d", max_days=10)
+    few = dates.next_date_lookup(df, "d", max_dates=2)
+    expected = {(x, min(d for d in dates_ if d > x)) for x in (day("1995-12-29") + dt.timedelta(days=k) for k in range(1158))}
+    for calendar, earliest in (near, far, few):
+        assert set(values(calendar, "day", "next_date")) == expected
+        assert spark.range(1).select(earliest).first()[0] == day("1995-12-29")
+
+
+def test_many_hot_keys_are_joined_without_a_broadcast(spark, monkeypatch):
+    from cadastra.operators import skew
+
+    rows = spark.range(400).select((F.col("id") % 4).alias("k"), "id")
+    attributes = spark.range(6).select(F.col("id").alias("k"), (F.col("id") * 10).alias("a"))
+    expected = sorted(values(rows.join(attributes, "k"), "k", "id", "a"))
+    monkeypatch.setattr(skew, "HOT_KEYS", 2)
+    hot = skew.hot_keys(rows, "k", 30)
+    assert sorted(values(skew.spread_join(rows, attributes, "k", "id", hot), "k", "id", "a")) == expected
+
+
 def test_automatic_charges(spark):
     df = spark.createDataFrame([("a", 1, 1), ("b", 4, 5), ("c", 5, 2)], "p string, u int, z int")
     got = {p: set(c) for p, c in values(df, "p", registry.automatic_charge_ids(F.col("u"), F.col("z")))}
