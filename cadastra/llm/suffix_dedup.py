@@ -31,7 +31,7 @@ from cadastra.llm.difference_cover import repeated
 from cadastra.llm.tables import slices
 from cadastra.session import written
 
-LENGTH, GRAM = 200, 32
+LENGTH, GRAM = 200, 64
 #: Bytes of documents hashed at a time, and bytes of a buffer that is sorted.
 PART, BUFFER = 1 << 20, 3 << 19
 #: Copies a task remembers in order to collapse later ones.
@@ -47,7 +47,9 @@ _RUN_SQL = "key long, same long, doc_id long, text_hash long, first long, last l
 
 
 def _powers(n: int, base: int) -> np.ndarray:
-    return np.cumprod(np.concatenate([[1], np.full(n, base, np.uint64)]).astype(np.uint64), dtype=np.uint64)
+    factors = np.full(n + 1, base, np.uint64)
+    factors[0] = 1
+    return np.cumprod(factors, dtype=np.uint64)
 
 
 class _Hasher:
