@@ -42,10 +42,12 @@ def _let(value: Column, use) -> Column:
 
 
 def dictionary(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``word``: the corpus's ``DICTIONARY_WORDS`` most frequent words in lower case, counted over all texts."""
-    words = F.explode(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(rf"\p{{L}}{{{DICTIONARY_LETTERS},}}"), F.lit(0)))
+    """``word``: the corpus's ``DICTIONARY_WORDS`` most frequent words in lower case, of those met twice; counted over all texts."""
+    # Letters beside digits are parts of keys and numbers, no words.
+    word = rf"(?<![\p{{L}}\p{{N}}])\p{{L}}{{{DICTIONARY_LETTERS},}}(?![\p{{L}}\p{{N}}])"
+    words = F.explode(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(word), F.lit(0)))
     counted = docs.select(words.alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    return counted.orderBy(F.desc("n"), "word").limit(DICTIONARY_WORDS).select("word")
+    return counted.where("n > 1").orderBy(F.desc("n"), "word").limit(DICTIONARY_WORDS).select("word")
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
