@@ -64,23 +64,31 @@ def _repeated_words(words: Column) -> Column:
     return _let(words, of_words)
 
 
-def signals(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with a struct ``_signals``: counts of the whole text and ``base_failed``. A null text has no words."""
+def counts(text_col: str) -> Column:
+    """Struct of the counts of a whole text. A null text has no words."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     words = F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
     lines = F.filter(F.split(text, "\n", -1), lambda x: F.translate(x, SPACE, "") != "")
     without = lambda marks: F.length(text) - F.length(F.translate(text, marks, ""))
-    counted = F.struct(
-        F.size(words).cast("long").alias("n_words"),
+    counted = lambda x: F.struct(
+        F.size(x["words"]).cast("long").alias("n_words"),
         F.length(F.translate(text, SPACE, "")).cast("long").alias("word_chars"),
         without(SYMBOLS).cast("long").alias("n_symbols"),
-        _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-        F.size(lines).cast("long").alias("n_lines"),
-        _repeated_words(words).cast("long").alias("n_repeat_words"),
+        (F.size(x["lines"]) - F.size(F.array_distinct(x["lines"]))).cast("long").alias("n_dup_lines"),
+        F.size(x["lines"]).cast("long").alias("n_lines"),
+        _repeated_words(x["words"]).cast("long").alias("n_repeat_words"),
     )
+    return _let(F.struct(words.alias("words"), lines.alias("lines")), counted)
+
+
+def base_failed(s: Column) -> Column:
+    return (s["n_words"] < LEAST_WORDS) | (100 * s["n_repeat_words"] > MOST_REPEATED * s["n_words"])
+
+
+def signals(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` with a struct ``_signals``: the counts and ``base_failed``."""
     s = F.col("_signals")
-    failed = (s["n_words"] < LEAST_WORDS) | (100 * s["n_repeat_words"] > MOST_REPEATED * s["n_words"])
-    return docs.withColumn("_signals", counted).withColumn("_signals", s.withField("base_failed", failed))
+    return docs.withColumn("_signals", counts(text_col)).withColumn("_signals", s.withField("base_failed", base_failed(s)))
 
 
 def rejected_at(s: Column) -> Column:
@@ -141,13 +149,15 @@ def cutoffs(measured: DataFrame, labels: DataFrame, stratum_col: str, id_col: st
     return best.orderBy(F.desc("labelled"), "stratum").limit(MOST_STRATA).select("stratum", "level")
 
 
-def _with_verdict(measured: DataFrame, levels: DataFrame, stratum_col: str) -> DataFrame:
-    """``measured`` with ``_kept``. ``levels`` has ``MOST_STRATA`` rows at most."""
-    own = F.broadcast(levels.select(F.col("stratum").alias("_stratum"), F.col("level").alias("_level")))
-    s = F.col("_signals")
-    joined = measured.join(own, F.coalesce(F.col(stratum_col), F.lit("")) == F.col("_stratum"), "left")
-    kept = ~s["base_failed"] & (rejected_at(s) > F.coalesce("_level", F.lit(-1)))
-    return joined.withColumn("_kept", kept).drop("_stratum", "_level")
+def _with_level(docs: DataFrame, levels: DataFrame, stratum_col: str) -> DataFrame:
+    """``docs`` with ``_level``, that of their stratum or -1. ``levels`` has ``MOST_STRATA`` rows at most."""
+    own = F.broadcast(levels.select(F.col("stratum").alias("_stratum"), F.col("level").alias("_own_level")))
+    joined = docs.join(own, F.coalesce(F.col(stratum_col), F.lit("")) == F.col("_stratum"), "left")
+    return joined.withColumn("_level", F.coalesce("_own_level", F.lit(-1))).drop("_stratum", "_own_level")
+
+
+def _kept(s: Column) -> Column:
+    return ~base_failed(s) & (rejected_at(s) > F.col("_level"))
 
 
 def quality_verdicts(docs: DataFrame, labels: DataFrame, stratum_col: str = "lang", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -160,12 +170,13 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, stratum_col: str = "lan
     measured = written(signals(narrow).drop("text"))
     levels = written(cutoffs(measured, labels, "stratum"))
     s = F.col("_signals")
-    counts = [s[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")]
-    return _with_verdict(measured, levels, "stratum").select("doc_id", *counts, F.col("_kept").alias("kept"))
+    shown = [s[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")]
+    return _with_level(measured, levels, "stratum").select("doc_id", *shown, _kept(s).alias("kept"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, stratum_col: str = "lang", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows of ``docs`` that are kept, with the columns of ``docs``; no text is shuffled."""
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(stratum_col).cast("string").alias("stratum"), F.col(text_col).alias("text"))
-    levels = written(cutoffs(signals(narrow).drop("text"), labels, "stratum"))
-    return _with_verdict(signals(docs, text_col), levels, stratum_col).where("_kept").select(*docs.columns)
+    levels = written(cutoffs(written(signals(narrow).drop("text")), labels, "stratum"))
+    # The counts are bound inside the filter: as a column of their own they would be counted anew for each use in it.
+    return _with_level(docs, levels, stratum_col).where(_let(counts(text_col), _kept)).select(*docs.columns)
