@@ -85,7 +85,7 @@ def test_components_of_a_chain_and_a_star(spark):
 def test_one_of_each_group_stays(docs, rows):
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
-    classes = found(simhash.near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).distinct(), "doc_id")
+    classes = found(simhash.near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct(), "doc_id")
     assert sorted({(r["doc_id"],) for r in kept.collect()}, key=repr) == classes
     assert kept.count() == kept.select("doc_id", "text").distinct().count()
 
