@@ -85,14 +85,13 @@ def forest(a: np.ndarray, b: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray
     """Links from each of n nodes that is not the least of its component to that one."""
     root = np.arange(n)
     while len(a):
-        least = np.minimum(root[a], root[b])
-        np.minimum.at(root, root[a], least)
-        np.minimum.at(root, root[b], least)
-        root = root[root]
-        apart = root[a] != root[b]
+        # Both ends are roots here, so no pointer that stands for a dropped link is overwritten.
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while (root != root[root]).any():
+            root = root[root]
+        a, b = root[a], root[b]
+        apart = a != b
         a, b = a[apart], b[apart]
-    while (root != root[root]).any():
-        root = root[root]
     hung = np.flatnonzero(root != np.arange(n))
     return hung, root[hung]
 

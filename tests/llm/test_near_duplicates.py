@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 import re
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -69,6 +70,47 @@ def test_index_finds_the_components_of_all_pairs(spark, distance, longest):
     assert classes(lambda p: roots.get(simhash._signed(p), simhash._signed(p))) == classes(expected.get)
 
 
+def rooted(links: list[tuple[int, int]], n: int) -> list[int]:
+    """Least node of each node's component, by plain union-find."""
+    root = list(range(n))
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        low, high = sorted((top(a), top(b)))
+        root[high] = low
+    return [top(x) for x in range(n)]
+
+
+def test_forest_keeps_every_link():
+    rng = random.Random(8)
+    graphs = [(7, [(0, 6), (1, 2), (2, 3), (3, 4), (4, 5), (4, 6), (5, 6)]), (1, []), (2, [(1, 1)])]
+    for _ in range(2000):
+        n = rng.randint(2, 30)
+        names = rng.sample(range(n), n)
+        chain = [(names[k], names[k + 1]) for k in range(n - 1) if rng.random() < 0.8]
+        graphs.append((n, [*chain, *((rng.randrange(n), rng.randrange(n)) for _ in range(rng.randint(0, 5)))]))
+    for n, links in graphs:
+        a, b = (np.array([x[k] for x in links], np.int64) for k in (0, 1))
+        root = list(range(n))
+        for node, own in zip(*simhash.forest(a, b, n), strict=True):
+            root[node] = own
+        assert root == rooted(links, n), links
+
+
+def test_chain_through_lower_fingerprints(spark):
+    prints = [p << 32 for p in (0x780E0000, 0x80010707, 0xC0000606, 0xE0000006, 0xF0000000, 0xF4000800, 0xF8080000)]
+    # Upper and lower halves, so that the chain is met in either order of the bytes.
+    for group in (prints, [p >> 32 for p in prints]):
+        links = simhash.linked_fingerprints(spark.createDataFrame([(simhash._signed(p),) for p in group], "fingerprint long"), 4)
+        roots = {r["node"]: r["root"] for r in components(links).collect()}
+        found = {roots.get(simhash._signed(p), simhash._signed(p)) for p in group}
+        assert len(found) == len(set(reachable(group, 4).values())) == 1
+
+
 def test_distance_beyond_the_index():
     with pytest.raises(ValueError, match="0 to 7"):
         simhash.byte_masks(8)
