@@ -17,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadastra.session import written
+from cadastra.session import small, written
 
 #: White space between words, and characters that count as symbols.
 SPACE, SYMBOLS = " \t\n\x0b\f\r", "#*$%&|<>"
@@ -35,8 +35,6 @@ LADDER = [
     (0.01, 0.20, 0.15, 6.5, 4.25),
 ]
 RISK, DOUBT = 0.02, 0.05
-#: Labelled documents used at most (by a hash of the id), and strata that can have cutoffs (those with most labels).
-MOST_LABELLED, MOST_STRATA = 1_000_000, 1_000
 
 
 def _let(value: Column, use) -> Column:
@@ -122,11 +120,10 @@ def cutoffs(measured: DataFrame, labels: DataFrame, stratum_col: str, id_col: st
     """
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("good"))
     spread = F.pmod(F.pmod("doc_id", F.lit(1 << 31)) * F.lit(2654435761), F.lit(1 << 32))
-    used = known.where(spread <= F.lit((1 << 32) * min(1.0, MOST_LABELLED / max(known.count(), 1))))
     s = F.col("_signals")
     passed = measured.where(~s["base_failed"]).select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(stratum_col), F.lit("")).alias("stratum"), rejected_at(s).alias("at"))
     mixed = F.pmod(F.floor(spread / 64), F.lit(2)) == 1
-    counted = used.join(passed, "doc_id").groupBy("stratum", mixed.alias("holdout"), (F.col("good") == 1).alias("good"), "at").agg(F.count("*").alias("n"))
+    counted = known.join(passed, "doc_id").groupBy("stratum", mixed.alias("holdout"), (F.col("good") == 1).alias("good"), "at").agg(F.count("*").alias("n"))
     levels = F.explode(F.sequence(F.lit(0), F.lit(len(LADDER) - 1))).alias("level")
     hit, total = F.when(F.col("at") <= F.col("level"), F.col("n")).otherwise(0), F.col("n")
     of = lambda rows, x: F.coalesce(F.sum(F.when(rows, x)), F.lit(0))
@@ -143,15 +140,14 @@ def cutoffs(measured: DataFrame, labels: DataFrame, stratum_col: str, id_col: st
     n_strata = max(tested.select("stratum").distinct().count(), 1)
     sure = binomial_tail(F.col("k"), F.col("n"), RISK) <= F.lit(DOUBT / n_strata)
     judged = tested.withColumn("sure", sure & (F.col("n") > 0))
-    doubtful = judged.groupBy("stratum").agg(F.min(F.when(~F.col("sure"), F.col("level"))).alias("stop"), F.max("n").alias("labelled"))
+    doubtful = judged.groupBy("stratum").agg(F.min(F.when(~F.col("sure"), F.col("level"))).alias("stop"))
     certified = judged.join(doubtful, "stratum").where("stop is null or level < stop")
-    best = certified.groupBy("stratum").agg(F.max_by("level", F.struct(F.col("gain"), -F.col("level"))).alias("level"), F.max("labelled").alias("labelled"))
-    return best.orderBy(F.desc("labelled"), "stratum").limit(MOST_STRATA).select("stratum", "level")
+    return certified.groupBy("stratum").agg(F.max_by("level", F.struct(F.col("gain"), -F.col("level"))).alias("level"))
 
 
 def _with_level(docs: DataFrame, levels: DataFrame, stratum_col: str) -> DataFrame:
-    """``docs`` with ``_level``, that of their stratum or -1. ``levels`` has ``MOST_STRATA`` rows at most."""
-    own = F.broadcast(levels.select(F.col("stratum").alias("_stratum"), F.col("level").alias("_own_level")))
+    """``docs`` with ``_level``, that of their stratum or -1. ``levels`` is broadcast if its counted rows are few."""
+    own = small(levels.select(F.col("stratum").alias("_stratum"), F.col("level").alias("_own_level")))
     joined = docs.join(own, F.coalesce(F.col(stratum_col), F.lit("")) == F.col("_stratum"), "left")
     return joined.withColumn("_level", F.coalesce("_own_level", F.lit(-1))).drop("_stratum", "_own_level")
 
@@ -175,7 +171,7 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, stratum_col: str = "lan
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, stratum_col: str = "lang", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows of ``docs`` that are kept, with the columns of ``docs``; no text is shuffled."""
+    """Rows of ``docs`` that are kept, with the columns of ``docs``; no text is shuffled while the levels are few enough to broadcast."""
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(stratum_col).cast("string").alias("stratum"), F.col(text_col).alias("text"))
     levels = written(cutoffs(written(signals(narrow).drop("text")), labels, "stratum"))
     # The counts are bound inside the filter: as a column of their own they would be counted anew for each use in it.

@@ -80,6 +80,32 @@ def test_cutoffs_hold_the_risk_in_each_stratum(spark):
     assert kept.where(~F.col("text").contains("%") & ~F.col("kept")).count() == 0
 
 
+def test_all_labels_count_however_many(spark):
+    rows, marks = labelled(random.Random(9), 1200, 0.0)
+    others = spark.range(10**6, 6 * 10**6).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    docs = documents(spark, rows, "en")
+    found = rules.quality_verdicts(docs, labels_of(spark, marks).union(others))
+    kept = {r["doc_id"] for r in found.where("kept").collect()}
+    assert kept == {k for k, t in rows if "%" not in t}
+
+
+def test_every_stratum_can_have_a_level(spark):
+    strata = 1050
+    ids = spark.range(strata * 2000)
+    good = F.floor(F.col("id") / strata) % 10 < 8
+    parts = [F.lit(100).alias("n_words"), F.lit(500).alias("word_chars"), F.when(good, 0).otherwise(300).alias("n_symbols")]
+    parts += [F.lit(0).alias(c) for c in ("n_dup_lines", "n_lines", "n_repeat_words")] + [F.lit(False).alias("base_failed")]
+    measured = ids.select(F.col("id").alias("doc_id"), (F.col("id") % strata).cast("string").alias("stratum"), F.struct(*parts).alias("_signals"))
+    marks = ids.select(F.col("id").alias("doc_id"), good.cast("int").alias("quality"))
+    assert rules.cutoffs(measured, marks, "stratum").count() == strata
+
+
+def test_levels_too_many_to_broadcast(spark):
+    levels = spark.range(100_001).select(F.col("id").cast("string").alias("stratum"), (F.col("id") % 8).cast("int").alias("level"))
+    docs = spark.createDataFrame([(1, "100000"), (2, "3"), (3, "none"), (4, None)], "doc_id long, lang string")
+    assert {r["doc_id"]: r["_level"] for r in rules._with_level(docs, levels, "lang").collect()} == {1: 0, 2: 3, 3: -1, 4: -1}
+
+
 def test_sql_counterpart(spark):
     rng = random.Random(2)
     rows, marks = labelled(rng, 1500, 0.002)
