@@ -1,6 +1,7 @@
 """Secret scan whose findings a random forest sifts.
 
-Candidates are long runs of key characters with a digit among them, and shorter values assigned to a credential word. Most
+Candidates are long runs of key characters with a digit among them, and shorter values assigned to a credential word, with
+blanks around the sign or without. Most
 are no secrets: numbers, names, identifiers. The forest looks at a candidate's length, its changes between kinds of
 characters, how much of it the corpus's own dictionary explains, the path (source) and the neighbouring words, and is
 trained on labelled findings. Without labels from outside, ``weak_labels`` gives them: formats of known issuers and long
@@ -21,13 +22,22 @@ from pyspark.sql import functions as F
 from cadastra.session import written
 
 #: Credential words, formats of known issuers, words of paths that hold samples or settings.
-CREDENTIAL = r"(?i)pass(word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credential|bearer|private[_-]?key"
+CREDENTIAL = r"(?i)pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credential|bearer|private[_-]?key"
 KNOWN = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_(live|test)_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}|eyJ[A-Za-z0-9_-]{16,})"
 SAMPLE_PATH, SETTING_PATH = r"(?i)test|example|sample|mock|fixture|doc", r"(?i)\.env|conf|cfg|\.ini|ya?ml|json|properties|\.pem|secret"
 
 #: Shortest run that is a candidate anywhere, and behind an assignment to a credential word.
 LONG, SHORT = 16, 8
 RUN = r"[A-Za-z0-9+/_\-]{16,}={0,2}"
+#: A credential word with what may follow it in a name, an assignment sign, and a value: up to a quote, a blank or the next
+#: assignment of a list; punctuation at its end counts only before a quote.
+_NAME, _SIGN = rf"(?:{CREDENTIAL})[\w.\-]*[\"'`\])}}]*", r"(?::=|=>|==|=|:)"
+_STOP = r"""(?![,;&?|]["'`]?[\w.\-]+["'`]?[=:])"""
+_CHAR = rf"""(?:{_STOP}[^\s"'`])"""
+VALUE = rf"""({_CHAR}{{{SHORT},}}(?=["'`])|{_CHAR}{{{SHORT - 1},}}{_STOP}[^\s"'`).,;:!?\]}}>])"""
+_OPEN = r"""["'`(\[{]*"""
+NAMED_BEFORE, NAME_BEFORE = rf"{_NAME}\s*{_SIGN}{_OPEN}$", rf"{_NAME}$"
+INSIDE, SIGNED, WHOLE = rf"{_NAME}{_SIGN}{_OPEN}{VALUE}", rf"^{_SIGN}{_OPEN}{VALUE}", rf"^{_OPEN}{VALUE}"
 #: Words of the dictionary, the most frequent of the corpus, and their shortest length.
 DICTIONARY_WORDS, DICTIONARY_LETTERS = 4096, 3
 #: Labelled findings of each kind that the forest is trained on at most, chosen by a hash.
@@ -56,17 +66,24 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def found(w: Column) -> Column:
         at = lambda i: F.coalesce(F.get(w, i), F.lit(""))
-        assigned = lambda i: at(i - 1).isin("=", ":", ":=", "=>") & at(i - 2).rlike(CREDENTIAL)
-        wanted = lambda i: (F.length(at(i)) >= SHORT) & ((F.length(at(i)) >= LONG) & at(i).rlike(RUN) | assigned(i))
+        before = lambda i: F.concat_ws(" ", at(i - 2), at(i - 1))
+        ends = lambda x: x.rlike(rf"{_SIGN}{_OPEN}$")
+        apart = lambda i: at(i - 1).isin("=", ":", ":=", "=>") & at(i - 2).rlike(CREDENTIAL)
+        named = lambda i: apart(i) | ends(at(i - 1)) & before(i).rlike(NAMED_BEFORE)
+        signed = lambda i: at(i).rlike(SIGNED) & at(i - 1).rlike(NAME_BEFORE)
+        inside = lambda i: (at(i).contains("=") | at(i).contains(":")) & at(i).rlike(INSIDE)
+        wanted = lambda i: (F.length(at(i)) >= SHORT) & ((F.length(at(i)) >= LONG) & at(i).rlike(RUN) | named(i) | signed(i) | inside(i))
         shown = lambda i: F.struct(
-            i.alias("place"), at(i).alias("word"), F.concat_ws(" ", at(i - 2), at(i - 1)).alias("before"), at(i + 1).alias("after"), assigned(i).alias("named")
+            i.alias("place"), at(i).alias("word"), before(i).alias("before"), at(i + 1).alias("after"), named(i).alias("named"), signed(i).alias("signed")
         )
         return F.transform(F.filter(F.sequence(F.lit(0), F.size(w) - 1), wanted), shown)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(path_col), F.lit("")).alias("path"), F.inline(_let(words, found)))
-    value = F.regexp_extract("word", r"""^["'`(]*([^"'`]*?)["'`).,;:!?]*$""", 1)
     runs = F.regexp_extract_all("word", F.lit(RUN), F.lit(0))
-    exploded = rows.select("*", F.posexplode(F.when(F.size(runs) > 0, runs).otherwise(F.array(value))).alias("nth", "finding"))
+    one = lambda when, value: F.when(F.col(when), F.array(value)).otherwise(F.array())
+    whole, plain = F.regexp_extract("word", WHOLE, 1), F.regexp_extract("word", r"""^["'`(]*([^"'`]*?)["'`).,;:!?]*$""", 1)
+    values = F.concat(one("named", F.when(whole != "", whole).otherwise(plain)), one("signed", F.regexp_extract("word", SIGNED, 1)), F.regexp_extract_all("word", F.lit(INSIDE), F.lit(1)))
+    exploded = rows.select("*", F.posexplode(F.array_distinct(F.concat(runs, values))).alias("nth", "finding"))
     own = F.expr("substring_index(word, finding, 1)")
     return exploded.where((F.length("finding") >= SHORT) & F.col("finding").rlike("[0-9]")).select(
         "doc_id",
@@ -75,7 +92,7 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "nth",
         "finding",
         F.concat_ws(" ", "before", own, "after").alias("around"),
-        (F.concat_ws(" ", "before", own).rlike(r"""[=:]\s*["'`(]*$""")).alias("assigned"),
+        (F.concat_ws(" ", "before", own).rlike(r"""[=:]>?\s*["'`(\[{]*$""")).alias("assigned"),
         own.rlike(r"""["'`]$""").alias("quoted"),
     )
 

@@ -73,6 +73,31 @@ def test_candidates(spark, text, findings):
     assert sorted(r["finding"] for r in secrets.candidates(frame(spark, [(1, text, None)])).collect()) == sorted(findings)
 
 
+SPELLINGS = ["password=hunter2abc9", "password: hunter2abc9", '"password": "hunter2abc9"', "PASSWORD=Tr0ub4dor&3"]
+MORE = ['{"password":"hunter2abc9"}', '{"password": "hunter2abc9"}', "password =hunter2abc9", "db_password := 'hunter2abc9',", "?password=hunter2abc9&user=bob", "password => hunter2abc9."]
+
+
+@pytest.mark.parametrize("spelling", SPELLINGS + MORE)
+def test_short_values_are_candidates_however_the_sign_stands(spark, spelling):
+    value = "Tr0ub4dor&3" if "Tr0" in spelling else "hunter2abc9"
+    rows = secrets.candidates(frame(spark, [(1, f"we set {spelling} there", None)])).collect()
+    assert [(r["finding"], r["assigned"]) for r in rows] == [(value, True)]
+
+
+def test_short_values_are_redacted(spark):
+    rows, _ = corpus(5, 300)
+    texts = {1000 + k: f"we set {s} there" for k, s in enumerate(SPELLINGS)}
+    clean = secrets.redact(frame(spark, [*rows, *((k, t, None) for k, t in texts.items())]))
+    left = {r["doc_id"]: r["text"] for r in clean.where("doc_id >= 1000").collect()}
+    assert left == {k: t.replace("hunter2abc9", "[SECRET]").replace("Tr0ub4dor&3", "[SECRET]") for k, t in texts.items()}
+
+
+def test_several_values_in_a_word(spark):
+    docs = frame(spark, [(1, "url?token=abcd1234x&secret=efgh5678y,password:Ab3!1234567890abcdefXYZ", None)])
+    found = {r["finding"] for r in secrets.candidates(docs).collect()}
+    assert found == {"abcd1234x", "efgh5678y", "Ab3!1234567890abcdefXYZ", "1234567890abcdefXYZ"}
+
+
 def test_entropy_and_changes(spark):
     docs = frame(spark, [(1, "x aaaa1111BBBB++++ y", "a/b/test.py")])
     row = secrets.with_features(secrets.candidates(docs), secrets.dictionary(docs)).first()
