@@ -156,6 +156,8 @@ def train(labelled: DataFrame):
 def scan(docs: DataFrame, labelled: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
     """``doc_id, place, nth, finding, score, is_secret`` per candidate in the texts of ``docs``.
 
+    A finding in a known issuer's format is a secret whatever its score.
+
     ``labelled`` has findings with ``FEATURES`` and ``label``; without it the candidates are labelled by their formats. If
     only one label is met there is no forest, and the labels decide. ``place`` counts the words of a text from 0, ``nth`` the
     candidates in a word. Null texts have no candidates, null paths are ''. Repeated rows and null ids give their findings
@@ -169,7 +171,7 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, id_col: str = "doc_
     else:
         vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(measured)
         scored = forest.transform(vectors).withColumn("score", vector_to_array("probability")[1])
-    return scored.select("doc_id", "place", "nth", "finding", "score", (F.col("score") >= 0.5).alias("is_secret"))
+    return scored.select("doc_id", "place", "nth", "finding", "score", ((F.col("score") >= 0.5) | F.col("finding").rlike(KNOWN)).alias("is_secret"))
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]", id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
