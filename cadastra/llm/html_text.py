@@ -5,7 +5,9 @@ the whole body. The sum of its children's densities is a node's density sum; the
 the article. The least density on the path from it up to the body is the threshold: a subtree counts as content if its
 density reaches it. Of an article or main element that holds the core, all is content.
 
-Elements that are furniture by their name, role, class or id are no part of the tree.
+Elements that are furniture by their name or role are no part of the tree. Those that are by a word of their class or id
+neither, unless they turn out to hold the article: most of the unlinked text of all article and main elements or, on a page
+without, of the body. A discussion may be longer than its article, so on such a page it stays only if nothing else is left.
 """
 
 from __future__ import annotations
@@ -57,6 +59,9 @@ _WORDS = frozenset(
     " sidebar footer cookie cookies consent gdpr notice alert popup modal overlay newsletter subscribe subscription signup login share sharing social"
     " related recommended recommendations comment comments commentlist disqus respond replies pagination pager toolbar widget skip".split()
 )
+#: Words of discussions, and parts of a class that tell about a word and not what the element is (has-sidebar, comments-open).
+_DISCUSSION = frozenset("comment comments commentlist disqus respond replies".split())
+_ABOUT = re.compile(r"(?<![a-z])(?:has|no|not|with|without)[-_]+[a-z]+(?:[-_]+[a-z]+)*|[a-z]+(?:[-_]+status)?[-_]+(?:open|closed|enabled|disabled)(?![a-z])")
 
 
 def _attributes(rest: str) -> dict[str, str]:
@@ -66,16 +71,18 @@ def _attributes(rest: str) -> dict[str, str]:
     return found
 
 
-def _furniture(tag: str, rest: str, in_article: bool) -> bool:
+def _furniture(tag: str, rest: str, in_article: bool) -> tuple[bool, frozenset[str]]:
+    """Whether an element is furniture whatever it holds, and the words of its class or id that say so otherwise."""
+    none: frozenset[str] = frozenset()
     if tag in _FURNITURE or tag == "header" and not in_article:
-        return True
-    if tag in ("html", "body", "article", "main") and not re.search(r"comment", rest, re.I) or not rest.strip(" /\t\n\r"):
-        return False
+        return True, none
+    if tag in ("html", "body", "main") or tag == "article" and not re.search(r"comment", rest, re.I) or not rest.strip(" /\t\n\r"):
+        return False, none
     own = _attributes(rest)
     if "hidden" in own or own.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", own.get("style", ""), re.I):
-        return True
-    named = re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", f"{own.get('class', '')} {own.get('id', '')}").lower())
-    return own.get("role", "").lower() in _ROLES or not _WORDS.isdisjoint(named)
+        return True, none
+    names = re.sub(r"([a-z])([A-Z])", r"\1-\2", f"{own.get('class', '')} {own.get('id', '')}").lower()
+    return own.get("role", "").lower() in _ROLES, _WORDS.intersection(re.findall(r"[a-z]+", _ABOUT.sub(" ", names)))
 
 
 class _Page:
@@ -83,14 +90,47 @@ class _Page:
 
     def __init__(self, source: str):
         self.tag, self.parent, self.cut = ["#"], [-1], [False]
+        self.named: list[frozenset[str]] = [frozenset()]  # furniture words of the node's class or id
         self.events: list[tuple[int, str] | None] = []  # (node, text), or None at the edge of a block
         self._open = [0]
         self._read(source)
+        if any(self.named):
+            self._cut_named()
 
     def _text(self, text: str) -> None:
         if text and not self.cut[self._open[-1]]:
             self.events.append((self._open[-1], html.unescape(text) if "&" in text else text))
 
+    def _cut_named(self) -> None:
+        """Cut what a class or id calls furniture, but not what holds the article."""
+        n = len(self.tag)
+        in_link, in_article, in_named = [False] * n, [False] * n, [False] * n
+        for k in range(1, n):
+            up = self.parent[k]
+            in_link[k] = in_link[up] or self.tag[k] == "a"
+            in_named[k] = in_named[up] or bool(self.named[k])
+            in_article[k] = not self.named[k] and (in_article[up] or self.tag[k] in ("article", "main"))
+        # Unlinked characters of each subtree: all, those of articles, and those in no named element.
+        plain, article, free = [0] * n, [0] * n, 0
+        for event in self.events:
+            if event and not in_link[event[0]] and not self.cut[event[0]]:
+                size = len("".join(event[1].split()))
+                plain[event[0]] += size
+                article[event[0]] += size * in_article[event[0]]
+                free += size * (not in_named[event[0]])
+        for k in range(n - 1, 0, -1):
+            plain[self.parent[k]] += plain[k]
+            article[self.parent[k]] += article[k]
+        for k in range(1, n):
+            if self.named[k] and not self.cut[k]:
+                holds = 2 * article[k] > article[0] if article[0] else 2 * plain[k] > plain[0]
+                if not self.named[k].isdisjoint(_DISCUSSION):
+                    most = 2 * plain[k] > plain[0]
+                    holds = most and (not free or self.tag[k] == "article" and not article[0] or bool(article[0]) and holds)
+                self.cut[k] = not holds
+            self.cut[k] = self.cut[k] or self.cut[self.parent[k]]
+        self.events = [e for e in self.events if e is None or not self.cut[e[0]]]
+
     def _close(self, ends: set[str], stops: set[str]) -> None:
         for k in range(len(self._open) - 1, 0, -1):
             tag = self.tag[self._open[k]]
@@ -119,7 +159,9 @@ class _Page:
         inside = any(self.tag[n] in ("article", "main") for n in self._open) if tag == "header" else False
         self.tag.append(tag)
         self.parent.append(above)
-        self.cut.append(self.cut[above] or _furniture(tag, rest, inside))
+        furniture, named = _furniture(tag, rest, inside)
+        self.cut.append(self.cut[above] or furniture)
+        self.named.append(named)
         self._open.append(len(self.tag) - 1)
 
     def _end(self, tag: str) -> None:

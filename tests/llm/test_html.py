@@ -29,6 +29,24 @@ def test_article_without_furniture(holder):
     assert main_text(page(holder.format(ARTICLE))) == TEXT
 
 
+WRAPPERS = ["<div class='site has-sidebar'>{}</div>", "<div id='page' class='no-sidebar'>{}</div>", "<div class='content-with-comments'>{}</div>", "<section class='related-science'>{}</section>"]
+
+
+@pytest.mark.parametrize("wrapper", [*WRAPPERS, "<div class='widget'><div class='social'>{}</div></div>", "<div class='post comments-open'>{}</div>"])
+@pytest.mark.parametrize("holder", ["<article>{}</article>", "<main>{}</main>", "<div class=story>{}</div>"])
+def test_wrapper_named_like_furniture(wrapper, holder):
+    body = FURNITURE + holder.format(ARTICLE + f"<p>{PROSE * 3}</p>") + "<div class=related>Read next: the mayor speaks</div><footer>All rights reserved.</footer>"
+    assert main_text(f"<html><body>{wrapper.format(body)}</body></html>") == f"{TEXT}\n{(PROSE * 3).strip()}"
+
+
+def test_discussion_longer_than_its_article():
+    talk = f"<div class=comments><p>{PROSE * 9}</p><article class=comment><p>{PROSE * 9}</p></article></div>"
+    cards = f"<section class=related><article><p>{PROSE}</p></article></section>"
+    assert main_text(f"<body><article>{ARTICLE}</article>{cards}{talk}</body>") == TEXT
+    assert main_text(f"<body><div class=story>{ARTICLE}</div>{talk}</body>") == TEXT
+    assert main_text(f"<body class='single no-comments'><div class=story>{ARTICLE}</div></body>") == TEXT
+
+
 def test_sections_of_an_article_all_count():
     sections = "".join(f"<section><h2>Part {k}</h2><p>{PROSE * k}</p></section>" for k in range(1, 5))
     assert main_text(page(f"<article>{sections}</article>")).count("Part") == 4
