@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cadastra.llm import sql
+from cadastra.llm import byte_bpe, sql
+from cadastra.llm.alignment import align_documents
 from cadastra.llm.bloom_digest import fingerprint_documents
+from cadastra.llm.hard_negatives import hard_negatives
 from cadastra.llm.html_text import extract_pages
 from cadastra.llm.packing import pack_documents
 from cadastra.llm.quality_rules import quality_verdicts
@@ -21,10 +24,11 @@ from cadastra.llm.token_counts import count_tokens
 from cadastra.llm.token_files import token_files
 
 BYTE_BPE, WORD_BPE, PIECE_BPE = "byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"
+MULTI_BPE = "byte_bpe_multi_50k.tiktoken"
 END_ID = 2
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {"op7_quality_rules": sql.quality_verdicts()}
+SQL: dict[str, str] = {"op7_quality_rules": sql.quality_verdicts(), "op11_hard_negatives": sql.hard_negatives()}
 
 
 def query(run: Callable[[SparkSession, str], DataFrame]):
@@ -84,3 +88,19 @@ def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduplicated(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label").cast("long"))
+    return hard_negatives(table(spark, sf_dir, "embeddings"), label=label)
+
+
+@query
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(MULTI_BPE), public_tokenizers.PATTERN)
+
+
+@query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECE_BPE))

@@ -54,3 +54,33 @@ chosen AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND lvl > coalesce(level, -1) AS kept
 FROM measured LEFT JOIN chosen USING (stratum)
 """
+
+
+def hard_negatives(scale: int = 256, every: int = 50, positives: int = 5, negatives: int = 3, low: int = 50, high: int = 95) -> str:
+    """Counterpart of ``op11_hard_negatives``: every row takes part for itself, told apart by ``k``."""
+    return f"""
+    WITH v AS (
+        SELECT row_number() OVER () AS k, vec_id,
+               CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label::BIGINT END AS label,
+               list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)) AS q
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), s AS (
+        SELECT a.k, a.vec_id AS anchor_id, a.label AS anchor_label, r.vec_id, r.label,
+               list_dot_product(a.q, r.q)::BIGINT AS score
+        FROM v a, v r WHERE a.vec_id % {every} = 0
+    ), p AS (
+        SELECT k, anchor_id, anchor_label, vec_id AS positive_id, score AS positive_score,
+               row_number() OVER (PARTITION BY k ORDER BY score DESC, vec_id) AS place
+        FROM s WHERE label = anchor_label AND vec_id <> anchor_id
+        QUALIFY place <= {positives}
+    ), n AS (
+        SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+               row_number() OVER (PARTITION BY p.k, p.place ORDER BY s.score DESC, s.vec_id) AS rank
+        FROM p JOIN s ON s.k = p.k
+        WHERE s.label <> p.anchor_label AND {low} * p.positive_score <= 100 * s.score AND 100 * s.score <= {high} * p.positive_score
+    )
+    SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score
+    FROM n WHERE rank <= {negatives}
+    """
