@@ -120,6 +120,8 @@ class Aligner:
         self._bytes = vocabularies.bytes_a, vocabularies.bytes_b
         self._size = [np.array([len(t) for t in tokens], np.int64) for tokens in self._bytes]
         self._pairs = vocabularies.pairs
+        #: Ids of A before another of A, ids of A at their group's end, the same of B.
+        self._shown = [f"{k}{sign}" for ids, signs in zip(self._bytes, (",|", ",;"), strict=True) for sign in signs for k in range(len(ids))]
 
     def align_all(self, texts: list[str]) -> list[tuple[int, int, int, bytes, str]]:
         """(tokens of A, of B, groups, links as packed places among the possible pairs, digest of the groups) per text."""
@@ -134,16 +136,19 @@ class Aligner:
         ids_a, ids_b = np.array(a, np.int64), np.array(b, np.int64)
         _, last_a, last_b = np.intersect1d(np.cumsum(self._size[0][ids_a]), np.cumsum(self._size[1][ids_b]), assume_unique=True, return_indices=True)
         links = np.searchsorted(self._pairs, ids_a[last_a] << 32 | ids_b[last_b])
-        return len(a), len(b), len(last_a), links.astype("<u4").tobytes(), _digest(a, b, last_a.tolist(), last_b.tolist())
-
-
-def _digest(a: list[int], b: list[int], last_a: list[int], last_b: list[int]) -> str:
-    """SHA-256 of the groups as ``a1,a2|b1;a3|b2,b3``."""
-    text_a, text_b, groups, at_a, at_b = list(map(str, a)), list(map(str, b)), [], 0, 0
-    for end_a, end_b in zip(last_a, last_b, strict=True):
-        groups.append(",".join(text_a[at_a : end_a + 1]) + "|" + ",".join(text_b[at_b : end_b + 1]))
-        at_a, at_b = end_a + 1, end_b + 1
-    return hashlib.sha256(";".join(groups).encode()).hexdigest()
+        return len(a), len(b), len(last_a), links.astype("<u4").tobytes(), self._digest(ids_a, ids_b, last_a, last_b)
+
+    def _digest(self, a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> str:
+        """SHA-256 of the groups as ``a1,a2|b1;a3|b2,b3``; each id is written with the sign behind it."""
+        in_group = [np.diff(last, prepend=-1) for last in (last_a, last_b)]
+        before = [np.cumsum(in_group[1]) - in_group[1], np.cumsum(in_group[0])]
+        places = [np.arange(len(ids)) + np.repeat(other, own) for ids, own, other in zip((a, b), in_group, before, strict=True)]
+        n_a, n_b = map(len, self._size)
+        shown = np.empty(len(a) + len(b), np.int64)
+        shown[places[0]], shown[places[1]] = a, b + 2 * n_a
+        shown[places[0][last_a]] += n_a
+        shown[places[1][last_b]] += n_b
+        return hashlib.sha256("".join(map(self._shown.__getitem__, shown.tolist()))[:-1].encode()).hexdigest()
 
 
 def _on_worker(vocabularies: Vocabularies) -> Aligner:
