@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,6 +30,10 @@ from cadastra.llm.tables import record, slices
 from cadastra.session import written
 
 MARK = "▁"
+#: Fixed value: how byte-level vocabularies split a text into words.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Characters that every version of Unicode, and so every library, takes for the same kind.
+_SETTLED = re.compile(r"[\t\n -~¡-¬®-ɏΑ-ΡΣ-ωА-я]*")
 _WORKER: dict = {}
 TEXTS = pa.schema(
     [("digest", pa.binary()), ("copies", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64())]
@@ -57,6 +62,20 @@ def bytes_of_a(vocabulary: str) -> list[bytes]:
     return tokens
 
 
+def ranks_of_a(vocabulary: str, tokens: list[bytes]) -> dict[bytes, int] | None:
+    """Tokens with their ranks, if the merges in their order are the tokens in the order of their ids, and words are split as ``WORDS``."""
+    rules = json.loads(vocabulary)
+    model, before = rules["model"], rules.get("pre_tokenizer") or {}
+    plain = before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space") and not rules.get("normalizer")
+    if not plain or model.get("dropout") or model.get("ignore_merges") or model.get("unk_token") or model.get("end_of_word_suffix"):
+        return None
+    merged = [model["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+    bytes_ = [k for k, t in enumerate(tokens) if len(t) == 1]
+    if merged != sorted(set(merged)) or len(bytes_) != 256 or max(bytes_) > merged[0]:
+        return None
+    return {tokens[k]: k for k in [*bytes_, *merged]}
+
+
 def bytes_of_b(model: bytes) -> list[bytes]:
     """Bytes of each id of a SentencePiece model: the mark as a space, byte pieces as their byte."""
     from sentencepiece import sentencepiece_model_pb2 as pb
@@ -105,17 +124,24 @@ class Vocabularies:
 
 
 class Aligner:
-    """Both libraries of one worker process."""
+    """Both vocabularies in one worker process.
+
+    A's words are encoded from its ranks, which is several times faster than its own library and gives the same ids where
+    both take every character for the same kind; texts with any other character go to the library.
+    """
 
     def __init__(self, vocabularies: Vocabularies):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from sentencepiece import SentencePieceProcessor
+        from tiktoken import Encoding
         from tokenizers import Tokenizer
 
         self._a = Tokenizer.from_str(vocabularies.a)
         self._a.encode_special_tokens = True
         self._a.no_truncation()
         self._a.no_padding()
+        ranks = ranks_of_a(vocabularies.a, vocabularies.bytes_a)
+        self._ranked = ranks and Encoding("a", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
         self._b = SentencePieceProcessor(model_proto=vocabularies.b)
         self._bytes = vocabularies.bytes_a, vocabularies.bytes_b
         self._size = [np.array([len(t) for t in tokens], np.int64) for tokens in self._bytes]
@@ -125,10 +151,16 @@ class Aligner:
 
     def align_all(self, texts: list[str]) -> list[tuple[int, int, int, bytes, str]]:
         """(tokens of A, of B, groups, links as packed places among the possible pairs, digest of the groups) per text."""
-        of_a = [e.ids for e in self._a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-        of_b = self._b.encode(texts, num_threads=1)
+        of_a, of_b = self.encode_a([" " + t for t in texts]), self._b.encode(texts, num_threads=1)
         return [self.align(t, a, b) for t, a, b in zip(texts, of_a, of_b, strict=True)]
 
+    def encode_a(self, texts: list[str]) -> list[list[int]]:
+        if self._ranked and all(map(_SETTLED.fullmatch, texts)):
+            return [self._ranked.encode_ordinary(t) for t in texts]
+        if len(texts) > 1:
+            return [ids for t in texts for ids in self.encode_a([t])]
+        return [e.ids for e in self._a.encode_batch_fast(texts, add_special_tokens=False)]
+
     def align(self, text: str, a: list[int], b: list[int]) -> tuple[int, int, int, bytes, str]:
         whole = (" " + text).encode()
         if not text or any(b"".join(map(tokens.__getitem__, ids)) != whole for tokens, ids in zip(self._bytes, (a, b), strict=True)):

@@ -8,9 +8,12 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from cadastra.llm.alignment import Vocabularies, align_documents, possible_pairs
+from cadastra.llm.alignment import Aligner, Vocabularies, align_documents, possible_pairs, ranks_of_a
+from cadastra.llm.pieces import vocabulary_text
 from tests.llm.conftest import found
 
 PATH_A, PATH_B = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
@@ -87,6 +90,22 @@ def test_possible_pairs_bound_what_can_meet():
     assert (np.diff(both.pairs) > 0).all()
 
 
+LIBRARY = Tokenizer.from_file(PATH_A)
+LIBRARY.encode_special_tokens = True
+ALIGNER = Aligner(Vocabularies.read(PATH_A, PATH_B))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.sampled_from(list("aeinst'sThé ²½ßǆΩя,.-!#09  \n\t")) | st.characters(max_codepoint=0x24F), max_size=60), max_size=4))
+def test_ids_of_a_are_the_librarys(texts):
+    assert ALIGNER._ranked is not None
+    assert ALIGNER.encode_a(texts) == [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_other_vocabularies_go_to_the_library():
+    assert ranks_of_a(vocabulary_text(public_tokenizers.path("word_bpe_49k.json")), []) is None
+
+
 def test_nothing(nothing, spark):
     assert align_documents(nothing, PATH_A, PATH_B).count() == 0
     only = spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string")
