@@ -7,6 +7,7 @@ Without an id the inquiry answers for all properties or invoices at once.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import replace
 from decimal import Decimal
 from functools import cached_property
@@ -22,6 +23,7 @@ from cadastra.plans.replay import paid_rows, payment_lines
 from cadastra.rules import Rules
 from cadastra.schemas import LOGS
 from cadastra.sources.catalog import Catalog
+from cadastra.sources.commits import Conflict
 from cadastra.sources.store import DESK, Store
 
 Answer = tuple[int, dict[str, DataFrame]]
@@ -34,6 +36,8 @@ class BillingDesk:
         self.store = store
         self.catalog = catalog
         self.rules = rules
+        # Read first: what is committed while the tables are opened makes a payment start over.
+        self.version, self.seen = store.version(), store.last_day()
         self.tables = {table: store.read(table) for table in LOGS}
 
     # -- state ----------------------------------------------------------------------------
@@ -152,28 +156,40 @@ class BillingDesk:
     def pay(self, attempts: DataFrame, on: dt.date, batch: str | None = None) -> dict[str, DataFrame]:
         """Pay the oldest pending invoices with a batch of attempts (property_id, method_id, reference) at ``on``.
 
-        Returns the paid invoices, their lines and the rejected attempts. The batch is written aside and counts from
-        its marker on, which is written last. ``batch`` names it; without a name its attempts and date do. A batch
-        that is complete is not paid again: its rows are returned. Make a new desk to see the result in inquiries.
-        Runs after the date's day step, which leaves desk payments alone when it is run again.
+        Returns the paid invoices, their lines and the rejected attempts. The batch is written aside and counts from its
+        commit on; later replays keep it. ``batch`` names it; without a name its attempts and date do. A batch that is
+        committed is not paid again: its rows are returned. What was committed since this desk was made is taken into
+        account: the batch is worked out again on the newer state until no other commit comes first. Make a new desk to
+        see the result in inquiries.
         """
         tries = attempts.withColumn("op_date", F.lit(on)).select(*payments.ATTEMPT)
-        t, store = self.tables, self.store
         batch = batch or _batch_name(tries, on)
-        if not store.batches().where(F.col("batch") == batch).isEmpty():
-            return self._paid({name: store.batch(name, batch) for name in DESK})
+        desk = self
+        while (folder := self.store.find_batch(batch)) is None:
+            if desk.version != self.store.version():
+                desk = BillingDesk(self.store, self.catalog, self.rules)
+            try:
+                return desk._paid(desk._commit(tries, on, batch))
+            except Conflict:
+                continue
+        return self._paid({name: self.store.batch(name, folder) for name in DESK})
+
+    def _commit(self, tries: DataFrame, on: dt.date, batch: str) -> dict[str, DataFrame]:
+        """Write the results of a batch on this desk's state and commit them."""
+        t, store, folder = self.tables, self.store, uuid.uuid4().hex
+        store.write_batch("attempt", folder, tries)
         pending = state.pending(t["invoice"], t["payment"])
         pending = pending.join(tries.select("property_id").distinct(), "property_id", "left_semi")
         settled, unmatched = payments.settle_batch(pending, tries, F.lit(on), self.rules)
         closing = fee_closings(settled, self.water, self.active_cuts, self.catalog.reconnection_fee())
-        paid = store.write_batch("payment", batch, paid_rows(settled, closing))
+        paid = store.write_batch("payment", folder, paid_rows(settled, closing))
         cuts = closing.select(F.lit(on).alias("op_date"), "property_id", F.col("cut_id").alias("invoice_id"))
-        closed = store.write_batch("cut_close", batch, cuts)
-        extra = store.write_batch("invoice_line", batch, payment_lines(paid, self.catalog.charges))
+        closed = store.write_batch("cut_close", folder, cuts)
+        extra = store.write_batch("invoice_line", folder, payment_lines(paid, self.catalog.charges))
         incomplete = payments.incomplete_attempts(tries)
-        rejects = store.write_batch("reject", batch, payments.payment_rejects(unmatched).unionByName(incomplete))
-        store.complete_batch(batch, on)
-        return self._paid({"payment": paid, "cut_close": closed, "invoice_line": extra, "reject": rejects})
+        rejects = store.write_batch("reject", folder, payments.payment_rejects(unmatched).unionByName(incomplete))
+        store.complete_batch(batch, folder, self.seen or on, self.version)
+        return {"payment": paid, "cut_close": closed, "invoice_line": extra, "reject": rejects}
 
     def _paid(self, rows: dict[str, DataFrame]) -> dict[str, DataFrame]:
         """The answer of a payment: paid invoices, all their lines, rejects."""

@@ -20,34 +20,50 @@ def valid_attempts(attempts: DataFrame) -> DataFrame:
     return attempts.select(*ATTEMPT).where(complete).distinct()
 
 
-def incomplete_attempts(attempts: DataFrame) -> DataFrame:
-    """Rejects for attempts that lack a key or a date."""
+def incomplete_attempts(attempts: DataFrame, *more: str | Column) -> DataFrame:
+    """Rejects for attempts that lack a key or a date, with ``more`` columns."""
     return attempts.where(" OR ".join(f"{column} IS NULL" for column in ATTEMPT)).select(
         "op_date",
         F.lit("payment").alias("step"),
         F.lit(R.NOTHING_PENDING).alias("code"),
         F.concat_ws("/", F.col("property_id").cast("string"), "reference").alias("key"),
         F.lit("payment without property, date, method or reference").alias("reason"),
+        *more,
     )
 
 
 DAY = ["property_id", "op_date", "phase"]
+#: What a desk's attempt carries besides ``ATTEMPT``: its batch, the batch's number, the last operation date the desk had seen.
+DESK_ATTEMPT = [*ATTEMPT, "batch", "number", "seen"]
+
+
+def with_desk(attempts: DataFrame, desk: DataFrame) -> DataFrame:
+    """Valid attempts of the documents and of the desk in one table.
+
+    A desk's attempt takes its turn after the operation date the desk had seen, which is ``op_date`` here; ``made_on`` is
+    the date it bears. Attempts of one batch that are equal count once.
+    """
+    complete = " AND ".join(f"{column} IS NOT NULL" for column in ATTEMPT)
+    made = desk.select(*DESK_ATTEMPT).where(complete).distinct().withColumnRenamed("op_date", "made_on").withColumnRenamed("seen", "op_date")
+    return attempts.withColumn("made_on", F.col("op_date")).unionByName(made, allowMissingColumns=True)
 
 
 def settlement_rows(invoices: DataFrame, attempts: DataFrame) -> DataFrame:
-    """Attempts (phase 0) and invoices (phase 1) in one table, numbered inside (property, date, phase).
+    """Attempts (phase 0; the desk's 2) and invoices (phase 1) in one table, numbered inside (property, date, phase).
 
-    Payments of a date run before its invoices. Numbering stays inside one day, so a property with any share of
+    Payments of a date run before its invoices, those of the desk after them in the order of the batches. Numbering stays inside one day, so a property with any share of
     the rows is spread over its dates. Rows without property or date are left out here already: otherwise the join
     with the ledger infers that filter for one of its two inputs only, and their shuffle is not shared.
     """
-    events = attempts.withColumn("phase", F.lit(0)).unionByName(
+    desk = "batch" in attempts.columns
+    phase = F.when(F.col("batch").isNull(), 0).otherwise(2) if desk else F.lit(0)
+    events = attempts.withColumn("phase", phase).unionByName(
         invoices.withColumnRenamed("invoice_date", "op_date")
         .where("property_id IS NOT NULL AND op_date IS NOT NULL")
         .withColumn("phase", F.lit(1)),
         allowMissingColumns=True,
     )
-    in_day = Window.partitionBy(*DAY).orderBy("reference", "method_id", "invoice_id")
+    in_day = Window.partitionBy(*DAY).orderBy(*(["number"] if desk else []), "reference", "method_id", "invoice_id")
     return events.withColumn("in_day", F.row_number().over(in_day)).withColumn(
         "sibling_due", F.lead("due_date").over(in_day)
     )
@@ -59,18 +75,20 @@ def settlement_ledger(rows: DataFrame) -> DataFrame:
     With A attempts and I invoices so far, the attempts rejected so far are R = max over days of (A - I), floored
     at 0, and A - R have paid. Columns:
 
-    * phase 0: ``before`` (attempts that paid on earlier days) and ``pays`` (how many of today's do);
-    * phase 1: ``before`` (invoices of earlier days) and ``next_due`` (due date of the next invoice day).
+    * phases 0 and 2: ``before`` (attempts that paid earlier) and ``pays`` (how many of these do);
+    * phase 1: ``before`` (invoices of earlier days), ``next_due`` and ``next_day`` (due date and date of the next invoice day).
     """
     days = rows.groupBy(*DAY).agg(F.count(F.lit(1)).alias("n"), F.min("due_date").alias("due_date"))
     ordered = running(["property_id"], ["op_date", "phase"])
     sorted_days = Window.partitionBy("property_id").orderBy("op_date", "phase")
-    is_attempt = F.col("phase") == 0
+    is_attempt = F.col("phase") != 1
+    following = "lead({}) IGNORE NULLS OVER (PARTITION BY property_id ORDER BY op_date, phase)"
     sums = days.withColumns(
         {
             "tried": F.sum(F.when(is_attempt, F.col("n")).otherwise(0)).over(ordered),
             "issued": F.sum(F.when(is_attempt, 0).otherwise(F.col("n"))).over(ordered),
-            "next_due": F.expr("lead(due_date) IGNORE NULLS OVER (PARTITION BY property_id ORDER BY op_date, phase)"),
+            "next_due": F.expr(following.format("due_date")),
+            "next_day": F.expr(following.format("CASE WHEN phase = 1 THEN op_date END")),
         }
     )
     rejected = F.greatest(F.max(F.col("tried") - F.col("issued")).over(ordered), F.lit(0))
@@ -83,41 +101,58 @@ def settlement_ledger(rows: DataFrame) -> DataFrame:
             F.when(is_attempt, F.col("paid_before")).otherwise(F.col("issued") - F.col("n")).alias("before"),
             (F.col("paid") - F.col("paid_before")).alias("pays"),
             "next_due",
+            "next_day",
         )
     )
 
 
-def settle(invoices: DataFrame, attempts: DataFrame, rules: Rules = Rules()) -> tuple[DataFrame, DataFrame]:
+def settle(
+    invoices: DataFrame, attempts: DataFrame, rules: Rules = Rules(), desk: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Match payment attempts to invoices, oldest invoice first.
 
     ``invoices``: invoice_id, property_id, invoice_date, due_date, original_total. ``attempts``: see ``ATTEMPT``.
     Returns (settled, rejects): ``settled`` is every invoice with paid_on, method_id, reference and interest (null
     while unpaid); ``rejects`` are the attempts that found nothing pending. An attempt sees the invoices dated
     before it.
+
+    ``desk`` (``DESK_ATTEMPT``) are attempts made at the desk: each sees the invoices up to the date the desk had seen.
+    Both results then also carry ``batch`` and ``settled_on``, the operation date after which a payment took its turn;
+    ``next_due`` is that of an invoice that was there when the desk paid.
     """
-    numbered = settlement_rows(invoices, valid_attempts(attempts))
+    tries = valid_attempts(attempts)
+    made, date = ([], "op_date") if desk is None else (["batch", "settled_on"], "made_on")
+    numbered = settlement_rows(invoices, tries if desk is None else with_desk(tries, desk))
     rows = numbered.join(settlement_ledger(numbered), DAY)
     pays = (F.col("phase") == 1) | (F.col("in_day") <= F.col("pays"))
     # An attempt and the invoice it pays share (property, rank); the attempt sorts first.
-    pair = Window.partitionBy("property_id", "rank").orderBy("phase")
+    pair = Window.partitionBy("property_id", "rank").orderBy(F.col("phase") == 1)
+    of_desk = {} if desk is None else {"batch": F.lag("batch").over(pair), "settled_on": F.lag("op_date").over(pair)}
+    next_due = F.col("next_due")
+    if desk is not None:
+        next_due = F.when(F.col("batch").isNull() | (F.col("next_day") <= F.col("settled_on")), next_due)
     interest = late_interest(F.col("original_total"), F.col("due_date"), F.col("paid_on"), rules)
     settled = (
         rows.where(pays)
         .withColumn("rank", F.col("before") + F.col("in_day"))
         .withColumns(
             {
-                "paid_on": F.lag("op_date").over(pair),
+                "paid_on": F.lag(date).over(pair),
                 "method_id": F.lag("method_id").over(pair),
                 "reference": F.lag("reference").over(pair),
+                **of_desk,
             }
         )
         .where("phase = 1")
-        .withColumn("next_due", F.coalesce("sibling_due", "next_due"))
+        .withColumn("next_due", F.coalesce(F.col("sibling_due"), next_due))
         .withColumn("interest", F.when(F.col("paid_on").isNotNull(), interest))
         .withColumnRenamed("op_date", "invoice_date")
-        .select(*invoices.columns, "rank", "next_due", "paid_on", "method_id", "reference", "interest")
+        .select(*invoices.columns, "rank", "next_due", "paid_on", "method_id", "reference", "interest", *made)
     )
-    rejects = rows.where("phase = 0 AND in_day > pays").select(*ATTEMPT)
+    rejects = rows.where("phase <> 1 AND in_day > pays")
+    if desk is not None:
+        rejects = rejects.withColumnRenamed("op_date", "settled_on").withColumnRenamed("made_on", "op_date")
+    rejects = rejects.select(*ATTEMPT, *made)
     check_strict(rejects, rules)
     return settled, rejects
 
@@ -130,14 +165,15 @@ def check_strict(rejects: DataFrame, rules: Rules) -> None:
             raise ValueError(f"payment without a pending invoice on {first} (code {R.NOTHING_PENDING})")
 
 
-def payment_rejects(rejects: DataFrame) -> DataFrame:
-    """Unmatched attempts in the shape of the reject table."""
+def payment_rejects(rejects: DataFrame, *more: str | Column) -> DataFrame:
+    """Unmatched attempts in the shape of the reject table, with ``more`` columns."""
     return rejects.select(
         "op_date",
         F.lit("payment").alias("step"),
         F.lit(R.NOTHING_PENDING).alias("code"),
         F.concat_ws("/", F.col("property_id").cast("string"), "reference").alias("key"),
         F.lit("nothing pending").alias("reason"),
+        *more,
     )
 
 

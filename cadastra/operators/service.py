@@ -86,27 +86,35 @@ def service_steps(
     the date find the cut already closed. One pass over ``settled``, pre-aggregated before the shuffle. ``hot`` are
     the hot properties (``hot_keys`` of the invoices); leave it out for generated invoices, of which a property has
     at most one per date.
+
+    A payment of the desk (``batch`` and ``settled_on`` in ``settled``) comes after the cuts of the operation date the desk
+    had seen and before anything of the next one: its steps are of phase 2 of that date.
     """
+    if "batch" not in settled.columns:
+        settled = settled.withColumn("batch", F.lit(None).cast("string")).withColumn("settled_on", F.col("paid_on"))
+    at_desk = F.col("batch").isNotNull()
     calendar, earliest = next_date_lookup(gates, "op_date")
     ready = F.greatest(F.date_add("due_date", rules.grace_days), F.date_sub("from_date", 1), earliest)
     opens = (F.col("next_date") < F.col("to_date")) & (
-        F.col("paid_on").isNull() | (F.col("paid_on") > F.col("next_date"))
+        F.col("paid_on").isNull()
+        | (F.col("settled_on") > F.col("next_date"))
+        | (at_desk & (F.col("settled_on") == F.col("next_date")))
     )
-    closes = active_on(F.col("paid_on")) & (F.col("next_due").isNull() | (F.col("next_due") >= F.col("paid_on")))
+    closes = active_on(F.col("settled_on")) & (F.col("next_due").isNull() | (F.col("next_due") >= F.col("paid_on")))
     step = F.array_compact(
         F.array(
-            F.when(closes, F.struct(F.col("paid_on").alias("op_date"), F.lit(0).alias("phase"))),
+            F.when(closes, F.struct(F.col("settled_on").alias("op_date"), F.when(at_desk, 2).otherwise(0).alias("phase"))),
             F.when(opens, F.struct(F.col("next_date").alias("op_date"), F.lit(1).alias("phase"))),
         )
     )
-    needed = settled.select("property_id", "invoice_id", "rank", "due_date", "next_due", "paid_on")
+    needed = settled.select("property_id", "invoice_id", "rank", "due_date", "next_due", "paid_on", "settled_on", "batch")
     return (
         spread_join(needed, water, "property_id", "invoice_id", hot)
         .withColumn("day", ready)
         .join(calendar, "day", "left")
-        .select("property_id", "invoice_id", "rank", "paid_on", F.explode(step).alias("_step"))
+        .select("property_id", "invoice_id", "rank", "paid_on", "settled_on", "batch", F.explode(step).alias("_step"))
         .groupBy("property_id", "_step.op_date", "_step.phase")
-        .agg(F.min(F.struct("rank", "invoice_id", "paid_on")).alias("_first"))
+        .agg(F.min(F.struct("rank", "invoice_id", "paid_on", "settled_on", "batch")).alias("_first"))
         .select("property_id", "op_date", "phase", "_first.*")
     )
 
@@ -122,16 +130,20 @@ def service_cycle(
     """All cuts of the history: (property_id, invoice_id, created_on, closed_on, fee_invoice_id, fee, paid_on).
 
     A cut opens at the first open step while none is active and closes at the first close step after it. Without a
-    fee (``None``) no cut is ever closed. Payments of a date come before its cuts.
+    fee (``None``) no cut is ever closed. Payments of a date come before its cuts. Also ``settled_on`` and ``batch`` of
+    the payment of the cut's invoice, ``closed_after`` and ``closed_batch`` of the payment that closed it.
     """
     steps = service_steps(settled, water, gates, rules, hot)
     if fee is None:
         steps, fee = steps.where("phase = 1"), F.lit(None)
     order = Window.partitionBy("property_id").orderBy("op_date", "phase")
     effective = (
-        steps.withColumn("_previous", F.coalesce(F.lag("phase").over(order), F.lit(0)))
-        .where("phase <> _previous")
-        .withColumn("closed_on", F.lead("op_date").over(order))
+        steps.withColumn("_opens", F.col("phase") == 1)
+        .withColumn("_previous", F.coalesce(F.lag("_opens").over(order), F.lit(False)))
+        .where("_opens <> _previous")
+        .withColumn("closed_on", F.lead("paid_on").over(order))
+        .withColumn("closed_after", F.lead("op_date").over(order))
+        .withColumn("closed_batch", F.lead("batch").over(order))
         .withColumn("fee_invoice_id", F.lead("invoice_id").over(order))
     )
     return effective.where("phase = 1").select(
@@ -142,6 +154,10 @@ def service_cycle(
         "fee_invoice_id",
         F.when(F.col("closed_on").isNotNull(), money(fee)).alias("fee"),
         "paid_on",
+        "settled_on",
+        "batch",
+        "closed_after",
+        "closed_batch",
     )
 
 
@@ -165,8 +181,18 @@ def fees(cycle: DataFrame) -> DataFrame:
     )
 
 
-def reconnection_orders(cycle: DataFrame) -> DataFrame:
-    """Reconnection orders: dated when the cut's invoice is paid, unless the cut was closed by then."""
-    return cycle.where("paid_on IS NOT NULL AND (closed_on IS NULL OR paid_on < closed_on)").select(
-        "property_id", "invoice_id", F.col("paid_on").alias("op_date")
+def reconnection_orders(cycle: DataFrame, dates: DataFrame | None = None) -> DataFrame:
+    """Reconnection orders: dated when the cut's invoice is paid, unless the cut was closed by then.
+
+    An invoice paid at the desk is found paid on the next of the operation ``dates``.
+    """
+    if dates is None:
+        found = cycle.withColumn("_turn", F.col("settled_on"))
+    else:
+        calendar, earliest = next_date_lookup(dates, "op_date")
+        turn = F.when(F.col("batch").isNull(), F.col("settled_on")).otherwise(F.col("next_date"))
+        found = cycle.withColumn("day", F.greatest("settled_on", earliest)).join(calendar, "day", "left").withColumn("_turn", turn)
+    later = (F.col("closed_after") > F.col("_turn")) | ((F.col("closed_after") == F.col("_turn")) & F.col("closed_batch").isNotNull())
+    return found.where(F.col("_turn").isNotNull() & (F.col("closed_after").isNull() | later)).select(
+        "property_id", "invoice_id", F.col("_turn").alias("op_date")
     )

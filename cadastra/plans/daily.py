@@ -37,10 +37,12 @@ def run_day(
 ) -> dict[str, DataFrame]:
     """Apply the events dated ``day`` and write the date's rows of every table.
 
-    Reads only earlier dates, so a date that failed half way is simply run again; payments of the desk stay. Dates must
-    come in order. ``rejects`` are what the load could not read; those of the date are written with it.
+    Reads only what was known before the date, so a date that failed half way is simply run again; payments of the desk
+    stay. The date counts from its commit on, which fails with ``Conflict`` if anything was committed since the step began:
+    then it is run again. Dates must come in order. ``rejects`` are what the load could not read; those of the date are written with it.
     """
     check_load(rejects, rules)
+    begun = store.version()
     last = store.last_day()
     if last is not None and last > day:
         raise ValueError(f"{day} comes before the last complete date {last}")
@@ -124,4 +126,5 @@ def run_day(
         all_rejects(unmatched, today["payment"], None if rejects is None else rejects.where(F.col("op_date") == on)),
     )
     put("op_day", gate)
+    store.complete_day(day, begun)
     return written

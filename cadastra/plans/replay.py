@@ -51,7 +51,8 @@ def charge_log(spans: DataFrame) -> DataFrame:
 
 
 def paid_rows(settled: DataFrame, fees: DataFrame) -> DataFrame:
-    """Payment rows: amount is original total plus interest plus fee."""
+    """Payment rows: amount is original total plus interest plus fee. Those of the desk keep ``batch`` and ``seen``."""
+    made = [F.col("batch"), F.col("settled_on").alias("seen")] if "batch" in settled.columns else []
     charged = fees.select("invoice_id", "fee")
     return (
         settled.where("paid_on IS NOT NULL")
@@ -66,23 +67,25 @@ def paid_rows(settled: DataFrame, fees: DataFrame) -> DataFrame:
             "interest",
             "fee",
             money(F.col("original_total") + F.col("interest") + F.col("fee")).alias("amount"),
+            *made,
         )
     )
 
 
 def payment_lines(paid: DataFrame, charges: DataFrame) -> DataFrame:
-    """Interest and fee lines added by payments, each only when positive."""
+    """Interest and fee lines added by payments, each only when positive. Those of the desk keep ``batch`` and ``seen``."""
+    made = [c for c in ("batch", "seen") if c in paid.columns]
     ids = charges.where(F.col("name").isin(R.LATE_INTEREST, R.RECONNECTION)).select("name", "charge_id")
     extras = F.array(
         F.struct(F.lit(R.LATE_INTEREST).alias("name"), F.col("interest").alias("amount"), F.lit(R.INTEREST_TEXT).alias("description")),
         F.struct(F.lit(R.RECONNECTION).alias("name"), F.col("fee").alias("amount"), F.lit(R.RECONNECTION_TEXT).alias("description")),
     )
     return (
-        paid.select("op_date", "invoice_id", F.explode(extras).alias("_extra"))
-        .select("op_date", "invoice_id", "_extra.*")
+        paid.select("op_date", "invoice_id", *made, F.explode(extras).alias("_extra"))
+        .select("op_date", "invoice_id", *made, "_extra.*")
         .where("amount > 0")
         .join(ids, "name", "left")
-        .select("op_date", "invoice_id", "charge_id", "amount", "description")
+        .select("op_date", "invoice_id", "charge_id", "amount", "description", *made)
     )
 
 
@@ -111,7 +114,8 @@ def replay_tables(
 ) -> dict[str, DataFrame]:
     """All tables of the store. ``keep(name, df)`` may write a table and return it read back; ``cut`` may
     do the same for the two shared intermediate results (settled invoices and the cut cycle). ``rejects`` are what
-    the load of the events could not read."""
+    the load of the events could not read. ``events`` may have the desk's attempts as ``desk`` (``payments.DESK_ATTEMPT``);
+    their results are tables of their own, ``desk/payment`` and so on, with ``batch`` and ``seen``."""
     t: dict[str, DataFrame] = {}
 
     def put(name: str, df: DataFrame) -> DataFrame:
@@ -143,18 +147,29 @@ def replay_tables(
     invoice = put("invoice", invoice)
 
     issued = invoice.withColumnRenamed("op_date", "invoice_date")
-    settled, unmatched = payments.settle(issued, events["payment"], rules)
+    settled, unmatched = payments.settle(issued, events["payment"], rules, events.get("desk"))
     settled = cut(settled)
     water = service.water_intervals(listed, catalog.uses, spans, catalog.charges, rules)
     gates = days.where("gate").select("op_date")
     cycle = cut(service.service_cycle(settled, water, gates, catalog.reconnection_fee(), rules))
     put("cut_open", cycle.select(F.col("created_on").alias("op_date"), "property_id", "invoice_id"))
-    put(
-        "cut_close",
-        cycle.where("closed_on IS NOT NULL").select(F.col("closed_on").alias("op_date"), "property_id", "invoice_id"),
+    closed = cycle.where("closed_on IS NOT NULL").select(
+        F.col("closed_on").alias("op_date"), "property_id", "invoice_id", F.col("closed_batch").alias("batch"), F.col("closed_after").alias("seen")
     )
-    put("reconnection", service.reconnection_orders(cycle))
-    paid = put("payment", paid_rows(settled, service.fees(cycle)))
+    paid = paid_rows(settled, service.fees(cycle))
+    if "desk" in events:
+        paid = cut(paid)
+        put("reconnection", service.reconnection_orders(cycle, days))
+        refused = payments.payment_rejects(unmatched, "batch", F.col("settled_on").alias("seen"))
+        refused = refused.unionByName(payments.incomplete_attempts(events["desk"], "batch", "seen"))
+        mine = {"payment": paid, "cut_close": closed, "invoice_line": payment_lines(paid, catalog.charges), "reject": refused}
+        for name, rows in mine.items():
+            put(f"desk/{name}", rows.where("batch IS NOT NULL"))
+        paid, closed, unmatched = (df.where("batch IS NULL") for df in (paid, closed, unmatched))
+    else:
+        put("reconnection", service.reconnection_orders(cycle))
+    put("cut_close", closed.drop("batch", "seen"))
+    paid = put("payment", paid.drop("batch", "seen"))
     put("invoice_line", base_lines.unionByName(payment_lines(paid, catalog.charges)))
     put(
         "reject",
@@ -187,7 +202,8 @@ def replay(
     """Replay into a new run of ``store``, which is published when all its tables are there.
 
     Each table is written once and read back by the steps after it; a replay that fails leaves the published run as it
-    was. ``dates`` has one row per date element; a date that occurs twice stops the load. Undated rows are passed over.
+    was. Attempts of the desk's batches take part, each after the operation date its desk had seen; a commit made while the
+    replay runs, of the desk or another, makes it fail with ``Conflict`` instead of being lost. ``dates`` has one row per date element; a date that occurs twice stops the load. Undated rows are passed over.
     """
     check_load(rejects, rules)
     dates = dates.where("op_date IS NOT NULL")
@@ -195,6 +211,9 @@ def replay(
     if twice:
         raise ValueError(f"operation dates listed more than once: {sorted(str(r['op_date']) for r in twice)}")
     run = store.new_run()
+    desk = store.desk_attempts(run.based_on + 1)
+    if desk is not None:
+        events = {**events, "desk": desk}
     tables = replay_tables(events, dates, catalog, rules, run.write_all, written, rejects)
     store.publish(run)
     return tables
