@@ -175,16 +175,20 @@ class BillingDesk:
         return self._paid({name: self.store.batch(name, folder) for name in DESK})
 
     def _commit(self, tries: DataFrame, on: dt.date, batch: str) -> dict[str, DataFrame]:
-        """Write the results of a batch on this desk's state and commit them."""
-        t, store, folder = self.tables, self.store, uuid.uuid4().hex
+        """Write the results of a batch on this desk's state and commit them; reads the snapshot, not the history."""
+        t, store, folder = self.store.state(), self.store, uuid.uuid4().hex
+        if store.version() != self.version:
+            raise Conflict("the store has changed since this desk was made")
         store.write_batch("attempt", folder, tries)
         pending = state.pending(t["invoice"], t["payment"])
         pending = pending.join(tries.select("property_id").distinct(), "property_id", "left_semi")
         settled, unmatched = payments.settle_batch(pending, tries, F.lit(on), self.rules)
-        closing = fee_closings(settled, self.water, self.active_cuts, self.catalog.reconnection_fee())
+        c, cuts = self.catalog, state.active_cuts(t["cut_open"], t["cut_close"])
+        water = service.must_have_water(t["property"], c.uses, state.assignments(t["charge_log"]), c.charges, self.rules)
+        closing = fee_closings(settled, water, cuts, c.reconnection_fee())
         paid = store.write_batch("payment", folder, paid_rows(settled, closing))
-        cuts = closing.select(F.lit(on).alias("op_date"), "property_id", F.col("cut_id").alias("invoice_id"))
-        closed = store.write_batch("cut_close", folder, cuts)
+        closed = closing.select(F.lit(on).alias("op_date"), "property_id", F.col("cut_id").alias("invoice_id"))
+        closed = store.write_batch("cut_close", folder, closed)
         extra = store.write_batch("invoice_line", folder, payment_lines(paid, self.catalog.charges))
         incomplete = payments.incomplete_attempts(tries)
         rejects = store.write_batch("reject", folder, payments.payment_rejects(unmatched).unionByName(incomplete))

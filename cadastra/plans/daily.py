@@ -11,8 +11,8 @@ from cadastra.operators import billing, intervals, meters, payments, registry, s
 from cadastra.plans import state
 from cadastra.plans.replay import Events, all_rejects, billed_tables, charge_log, check_load, gate_days, paid_rows, payment_lines
 from cadastra.rules import Rules
-from cadastra.schemas import LOGS
 from cadastra.sources.catalog import Catalog
+from cadastra.sources.commits import Conflict
 from cadastra.sources.store import Store
 
 
@@ -34,19 +34,21 @@ def run_day(
     catalog: Catalog,
     rules: Rules = Rules(),
     rejects: DataFrame | None = None,
+    snapshot_every: int = 8,
 ) -> dict[str, DataFrame]:
     """Apply the events dated ``day`` and write the date's rows of every table.
 
     Reads only what was known before the date, so a date that failed half way is simply run again; payments of the desk
     stay. The date counts from its commit on, which fails with ``Conflict`` if anything was committed since the step began:
-    then it is run again. Dates must come in order. ``rejects`` are what the load could not read; those of the date are written with it.
+    then it is run again. Dates must come in order. It reads the last snapshot of the state and at most ``snapshot_every``
+    dates after it, whatever the history, and writes the next snapshot when there are that many. ``rejects`` are what the load could not read; those of the date are written with it.
     """
     check_load(rejects, rules)
     begun = store.version()
     last = store.last_day()
     if last is not None and last > day:
         raise ValueError(f"{day} comes before the last complete date {last}")
-    past = {table: store.read(table, before=day) for table in LOGS}
+    past = store.state(before=day)
     today = {kind: df.where(F.col("op_date") == F.lit(day)) for kind, df in events.items()}
     on = F.lit(day)
     written: dict[str, DataFrame] = {}
@@ -127,4 +129,16 @@ def run_day(
     )
     put("op_day", gate)
     store.complete_day(day, begun)
+    since = store.days_since_snapshot()
+    if since is None or since >= snapshot_every:
+        write_snapshot(store)
     return written
+
+
+def write_snapshot(store: Store) -> None:
+    """Compact the state after the last complete date; if something else is committed meanwhile, a later date does it."""
+    begun = store.version()
+    try:
+        store.write_snapshot(state.compacted(store.state()), begun)
+    except Conflict:
+        pass

@@ -74,3 +74,37 @@ def properties(t: Tables) -> DataFrame:
         .withColumn("water_mark", F.coalesce("water_mark", F.lit(0)).cast("decimal(28,2)"))
         .drop("value")
     )
+
+
+def compacted(t: Tables) -> dict[str, DataFrame]:
+    """Logs without the rows that no later date needs; what a later date works out from them stays the same.
+
+    Kept are listed persons and properties, the last open of each open ownership, the steps of charges (two per pair), the
+    last fiscal value, balance and consumption mark of a property, pending invoices, cuts that are active, and payments and
+    reconnections of invoices kept. Everything is one aggregate or join by property or invoice.
+    """
+    cuts = active_cuts(t["cut_open"], t["cut_close"])
+    marked = t["invoice"].where("water_mark IS NOT NULL").groupBy("property_id")
+    marks = marked.agg(F.max_by(F.struct(*t["invoice"].columns), "op_date").alias("_last")).select("_last.*")
+    unpaid = t["invoice"].join(t["payment"], "invoice_id", "left_anti").select(*t["invoice"].columns)
+    invoice = unpaid.unionByName(marks).dropDuplicates(["invoice_id"])
+    settled = marks.select("invoice_id").unionByName(cuts.select("invoice_id")).distinct()
+    opened = intervals.ownership_intervals(t["ownership_log"]).where("end_date IS NULL")
+    return {
+        "person": t["person"],
+        "property": t["property"],
+        "ownership_log": opened.select(F.col("start_date").alias("op_date"), "property_id", "document", F.lit(intervals.OPEN).alias("action")),
+        "charge_log": t["charge_log"],
+        "fiscal_log": last_row(t["fiscal_log"]),
+        "balance_log": last_row(t["balance_log"]),
+        "invoice": invoice,
+        "payment": t["payment"].join(settled, "invoice_id", "left_semi"),
+        "cut_open": cuts.select(*t["cut_open"].columns),
+        "cut_close": t["cut_close"].limit(0),
+        "reconnection": t["reconnection"].join(cuts.select("property_id", "invoice_id"), ["property_id", "invoice_id"], "left_semi"),
+    }
+
+
+def last_row(log: DataFrame) -> DataFrame:
+    """The row of each property's last date."""
+    return log.groupBy("property_id").agg(F.max_by(F.struct(*log.columns), "op_date").alias("_last")).select("_last.*")

@@ -7,6 +7,9 @@ its commit on. Every commit is made against the state its writer has read (see `
 Payments of the desk belong to the store, not to a run. A batch is a folder with its attempts and its results, named by a
 commit that also says which operation date the desk had seen. A replay takes the attempts of all batches into account, each
 after that date, and keeps their results in its run; results of later batches are read from their own folders.
+
+Snapshots hold the logs without what no later date needs. They are versions of their own: the day step and the desk read the
+last one and the dates after it, so their cost goes with the state and not with the history.
 """
 
 from __future__ import annotations
@@ -21,8 +24,14 @@ from pyspark.sql import types as T
 from cadastra import schemas
 from cadastra.sources.commits import CommitLog
 
-#: Tables that the desk writes to, and what it was asked.
+#: Tables that the desk writes to.
 DESK = ("payment", "cut_close", "invoice_line", "reject")
+#: Logs that the next day's step reads.
+STATE = (
+    "person", "property", "ownership_log", "charge_log", "fiscal_log", "balance_log",
+    "invoice", "payment", "cut_open", "cut_close", "reconnection",
+)
+#: What a desk was asked.
 ATTEMPTS = "property_id string, method_id int, reference string, op_date date"
 #: Commits of batches: the name a caller gave, the folder, the commit's number, and the last operation date seen.
 BATCHES = "batch string, folder string, number int, seen date"
@@ -107,6 +116,61 @@ class Store:
             desk = desk.where(F.col("seen") < F.lit(before))
         return df.unionByName(desk.select(*df.columns))
 
+    def state(self, before: dt.date | None = None) -> dict[str, DataFrame]:
+        """The logs that a day step or the desk needs, history left out: the last snapshot and what came after it.
+
+        With ``before``, as known before that operation date. A snapshot holds the rows of the logs that still matter
+        (``plans.state.compacted``), so that whatever is worked out from these logs is what the whole logs give. Without a
+        snapshot these are the whole logs.
+        """
+        found = self._snapshot(before)
+        if found is None:
+            return {table: self.read(table, before) for table in STATE}
+        number, day, folder = found
+        later = self.batches(number + 1)
+        tables = {}
+        for table in STATE:
+            schema = schemas.LOGS[table]
+            held = self.spark.read.schema(schema).parquet(f"{self.location('snapshots')}/{folder}/{table}")
+            since = self.spark.read.schema(schema).parquet(self.location(table)).where(F.col("op_date") > F.lit(day))
+            last = self.last_day()
+            since = since.where(F.col("op_date") <= F.lit(last) if before is None else F.col("op_date") < F.lit(before))
+            tables[table] = held.unionByName(since)
+            if table in DESK and later is not None:
+                rows = self._of_batches(table, later if before is None else later.where(F.col("seen") < F.lit(before)))
+                tables[table] = tables[table].unionByName(rows.select(*held.columns))
+        return tables
+
+    def _snapshot(self, before: dt.date | None = None) -> tuple[int, dt.date, str] | None:
+        """(commit, date, folder) of the last snapshot of the published run that no later run of a day has overtaken."""
+        published, _ = self._published()
+        entries = self._commits.entries()
+        redone = dt.date.max
+        for k in range(len(entries) - 1, published, -1):
+            entry = entries[k]
+            if entry["action"] == "day":
+                redone = min(redone, dt.date.fromisoformat(entry["op_date"]))
+            elif entry["action"] == "snapshot":
+                day = dt.date.fromisoformat(entry["op_date"])
+                if day < redone and (before is None or day < before):
+                    return k, day, entry["folder"]
+        return None
+
+    def days_since_snapshot(self) -> int | None:
+        """Complete dates after the last snapshot, None if there is none."""
+        found = self._snapshot()
+        if found is None:
+            return None
+        later = self._commits.entries()[found[0] :]
+        return len({e["op_date"] for e in later if e["action"] == "day"})
+
+    def write_snapshot(self, tables: dict[str, DataFrame], based_on: int) -> None:
+        """Write the compacted state of the last complete date and let it count, if nothing was committed since ``based_on``."""
+        folder, day = uuid.uuid4().hex, self.last_day()
+        for table in STATE:
+            self._shaped(table, tables[table]).write.parquet(f"{self.location('snapshots')}/{folder}/{table}")
+        self._commits.append({"action": "snapshot", "run": self.run, "op_date": day.isoformat(), "folder": folder}, based_on + 1)
+
     def batches(self, first: int = 0, end: int | None = None) -> DataFrame | None:
         """Commits of batches (``BATCHES``) with numbers from ``first`` to before ``end``; None if there is none."""
         rows = [

@@ -194,6 +194,47 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         LEFT JOIN ranked f ON f.property_id = t.property_id AND f.rank = t.fee_rank WHERE t.phase = 1"""),
 }
 
+# Payments of the desk beside those of the documents: after the date's invoices, in the order of the batches.
+CTES |= {
+    "turn": (("attempt",), """SELECT property_id, op_date AS made_on, method_id, reference, NULL::VARCHAR AS batch,
+          NULL::INTEGER AS number, op_date AS turn, 0 AS phase FROM attempt
+        UNION ALL SELECT DISTINCT o_custkey, CAST(l_shipdate AS DATE) + CAST(l_orderkey % 40 AS INTEGER),
+          CAST(1 + l_partkey % 2 AS INTEGER), concat(l_orderkey, '-', l_linenumber), concat('desk ', l_linenumber),
+          l_linenumber::INTEGER, CAST(l_shipdate AS DATE), 2
+          FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'A'"""),
+    "turn_backlog": (("turn", "invoice"), """SELECT *, greatest(max(n - issued) OVER (PARTITION BY property_id ORDER BY n), 0)
+          AS backlog FROM (SELECT t.*, coalesce(i.issued, 0) AS issued, row_number() OVER (PARTITION BY t.property_id
+            ORDER BY turn, phase, number, reference, method_id) AS n
+          FROM turn t ASOF LEFT JOIN (SELECT property_id, invoice_date, sum(count(*)) OVER (PARTITION BY property_id
+              ORDER BY invoice_date) AS issued FROM invoice GROUP BY property_id, invoice_date) i
+            ON t.property_id = i.property_id AND turn - CASE phase WHEN 0 THEN 1 ELSE 0 END >= i.invoice_date) b"""),
+    "turn_tried": (("turn_backlog",), """SELECT *, backlog > coalesce(lag(backlog) OVER (PARTITION BY property_id
+        ORDER BY n), 0) AS rejected FROM turn_backlog"""),
+    "desk_settled": (("ranked", "turn_tried"), """SELECT r.*, lead(invoice_date) OVER (PARTITION BY r.property_id
+          ORDER BY r.rank) AS next_date, t.made_on AS paid_on, t.turn AS settled_on, t.method_id, t.reference, t.batch
+        FROM ranked r LEFT JOIN turn_tried t
+          ON t.property_id = r.property_id AND NOT t.rejected AND t.n - t.backlog = r.rank"""),
+    "desk_step": (("desk_settled", "water_span", "gate"), """SELECT property_id, op_date, 1 AS phase, min(rank) AS rank,
+          NULL::DATE AS paid_on, NULL::VARCHAR AS batch FROM
+          (SELECT s.*, g.op_date FROM (SELECT s.*, to_date, greatest(due_date + 10, from_date - 1) AS ready
+              FROM desk_settled s JOIN water_span USING (property_id)) s
+            ASOF JOIN gate g ON s.ready < g.op_date WHERE g.op_date < s.to_date) c
+          WHERE paid_on IS NULL OR settled_on > op_date OR (batch IS NOT NULL AND settled_on = op_date)
+          GROUP BY property_id, op_date
+        UNION ALL SELECT property_id, settled_on, CASE WHEN batch IS NULL THEN 0 ELSE 2 END, rank, paid_on, batch
+          FROM desk_settled JOIN water_span USING (property_id)
+          WHERE paid_on IS NOT NULL AND from_date <= settled_on AND settled_on < to_date
+            AND (next_due IS NULL OR next_due >= paid_on OR (batch IS NOT NULL AND next_date > settled_on))"""),
+    "desk_toggle": (("desk_step",), """SELECT * FROM (SELECT *, coalesce(lag(phase = 1) OVER (PARTITION BY property_id
+        ORDER BY op_date, phase, rank), false) AS before FROM desk_step) t WHERE (phase = 1) <> before"""),
+    "desk_cycle": (("desk_toggle", "ranked"), """SELECT t.property_id, c.invoice_id, t.op_date AS created_on, t.closed_on,
+          f.invoice_id AS fee_invoice_id, t.closed_batch FROM (SELECT *, lead(paid_on) OVER w AS closed_on,
+          lead(rank) OVER w AS fee_rank, lead(batch) OVER w AS closed_batch FROM desk_toggle
+          WINDOW w AS (PARTITION BY property_id ORDER BY op_date, phase, rank)) t
+        JOIN ranked c ON c.property_id = t.property_id AND c.rank = t.rank
+        LEFT JOIN ranked f ON f.property_id = t.property_id AND f.rank = t.fee_rank WHERE t.phase = 1"""),
+}
+
 # The same settlement over the invoices the replay generates, with cuts on every operation date.
 CTES["gen_invoice"] = (("bill_day", "line"), """SELECT d.property_id, d.op_date AS invoice_date,
         concat(d.property_id, '-', strftime(d.op_date, '%Y%m%d')) AS invoice_id, d.op_date + 15 AS due_date,
@@ -298,6 +339,11 @@ QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
         {money(interest('original_u', 'due_date', 'paid_on'))} AS interest FROM settled WHERE paid_on IS NOT NULL"""),
     "payment_rejects": (("tried",), """SELECT op_date, 'payment' AS step, 50014 AS code,
         concat(property_id, '/', reference) AS key, 'nothing pending' AS reason FROM tried WHERE rejected"""),
+    "desk_settlement": (("desk_settled",), f"""SELECT property_id, invoice_id, paid_on, settled_on, method_id, reference, batch,
+        {money(interest('original_u', 'due_date', 'paid_on'))} AS interest FROM desk_settled WHERE paid_on IS NOT NULL"""),
+    "desk_rejects": (("turn_tried",), """SELECT property_id, made_on AS op_date, method_id, reference, batch,
+        turn AS settled_on FROM turn_tried WHERE rejected"""),
+    "desk_cuts": (("desk_cycle",), "SELECT * FROM desk_cycle"),
     "payment_batch_positional": (("attempt", "pending"), f"""SELECT a.property_id, a.op_date, a.reference, a.method_id,
         p.invoice_id, {money(interest('original_u', 'due_date', 'op_date'))} AS interest,
         {money(f"final_u + {interest('original_u', 'due_date', 'op_date')}")} AS amount

@@ -273,6 +273,25 @@ def payment_batch_positional(s: Star) -> DataFrame:
     return matched.select("property_id", "op_date", "reference", "method_id", "invoice_id", "interest", "amount")
 
 
+@query
+def desk_settlement(s: Star) -> DataFrame:
+    """Payments of the documents and of the desk, each in its turn, against the same invoices."""
+    paid = s.desk_settled[0].where("paid_on IS NOT NULL")
+    return paid.select("property_id", "invoice_id", "paid_on", "settled_on", "method_id", "reference", "batch", "interest")
+
+
+@query
+def desk_rejects(s: Star) -> DataFrame:
+    return s.desk_settled[1]
+
+
+@query
+def desk_cuts(s: Star) -> DataFrame:
+    """Cuts of the history with payments of the desk, which come after the cuts of the date the desk had seen."""
+    cycle = service.service_cycle(s.desk_settled[0], s.water_history, s.gates, fee())
+    return cycle.select("property_id", "invoice_id", "created_on", "closed_on", "fee_invoice_id", "closed_batch")
+
+
 # -- water service ----------------------------------------------------------------------------
 
 
@@ -598,8 +617,8 @@ def property_balances(s: Star) -> DataFrame:
 def stream_meter_balance(s: Star) -> DataFrame:
     """Running balances computed by a stream over the event files (one micro-batch when there is one file)."""
     stream = MeterStream(s.spark, f"{work_dir(s.spark)}/meter-stream-{uuid.uuid4().hex}")
-    source = s.spark.readStream.schema(s.read("events").schema).option("pathGlobFilter", "events.parquet")
-    s.events = source.parquet(s.folder)
+    # A pattern, since a stream takes a plain path for a folder: this one is a file or a folder of part files.
+    s.events = s.spark.readStream.schema(s.read("events").schema).parquet(f"{s.folder}/{{events.parquet}}")
     stream.run(s.readings).awaitTermination()
     return stream.read("balance").select("meter_id", "op_date", "position", "balance")
 

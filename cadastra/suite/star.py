@@ -248,18 +248,33 @@ class Star:
 
     @cached_property
     def attempts(self) -> DataFrame:
-        key = F.col("l_orderkey").cast("string")
-        lines = (
-            self.read("lineitem")
-            .where(F.col("l_returnflag") == "R")
-            .select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
+        return self.shipped("R").select("property_id", F.col("shipped_on").alias("op_date"), "method_id", "reference")
+
+    @cached_property
+    def desk_attempts(self) -> DataFrame:
+        """Payments made at the desk after the date of shipment, dated up to 39 days ahead; a batch per line number."""
+        return self.shipped("A").select(
+            "property_id",
+            F.date_add("shipped_on", (F.col("l_orderkey") % 40).cast("int")).alias("op_date"),
+            "method_id",
+            "reference",
+            F.concat(F.lit("desk "), F.col("l_linenumber").cast("string")).alias("batch"),
+            F.col("l_linenumber").cast("int").alias("number"),
+            F.col("shipped_on").alias("seen"),
         )
+
+    def shipped(self, flag: str) -> DataFrame:
+        """Lines of a return flag, read as payments of the order's customer."""
+        lines = self.read("lineitem").where(F.col("l_returnflag") == flag).select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
         owners = self.read("orders").select("o_orderkey", "o_custkey")
+        number = F.col("l_linenumber").cast("string")
         return lines.join(owners, F.col("l_orderkey") == F.col("o_orderkey")).select(
             F.col("o_custkey").alias("property_id"),
-            day("l_shipdate").alias("op_date"),
+            day("l_shipdate").alias("shipped_on"),
             (1 + F.col("l_partkey") % 2).cast("int").alias("method_id"),
-            F.concat(key, F.lit("-"), F.col("l_linenumber").cast("string")).alias("reference"),
+            F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), number).alias("reference"),
+            "l_orderkey",
+            "l_linenumber",
         )
 
     # -- derived state --------------------------------------------------------------------
@@ -283,6 +298,10 @@ class Star:
     def settled(self) -> tuple[DataFrame, DataFrame]:
         return settle(self.invoices, self.attempts)
 
+    @cached_property
+    def desk_settled(self) -> tuple[DataFrame, DataFrame]:
+        return settle(self.invoices, self.attempts, desk=self.desk_attempts)
+
     @cached_property
     def cycle(self) -> DataFrame:
         hot = hot_keys(self.invoices, "property_id")

@@ -6,6 +6,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from cadastra.api import BillingDesk
 from cadastra.operators import payments, service
@@ -54,12 +55,12 @@ def test_of_two_publishers_one_fails(spark, tmp_path):
 
 def test_payments_of_the_desk_outlive_a_replay(spark, catalog, tmp_path):
     """Days with desk payments between them, also dated ahead and back; then the same documents replayed as a whole."""
-    dates = sorted([*MONTH_ENDS, dt.date(2024, 3, 20)])
+    dates = [*MONTH_ENDS[:3], dt.date(2024, 4, 20), MONTH_ENDS[-1]]
     ev, dates = random_events(n_properties=60, seed=5, dates=dates, pay=0.3)
     events, days = frames(spark, ev, dates)
     store, rnd = Store(spark, str(tmp_path / "days")).create(), random.Random(3)
     for k, day in enumerate(dates):
-        run_day(store, events, day, catalog)
+        run_day(store, events, day, catalog, snapshot_every=2)
         for turn in range(2 if k else 0):
             asked = [(f"F-{rnd.randrange(60):04d}", 1, f"D{rnd.randrange(3)}") for _ in range(25)] + [("F-none", 1, "D"), ("F-0001", None, "D")]
             on = day + dt.timedelta(days=rnd.choice([0, 0, 3, 45, -20]))
@@ -72,7 +73,7 @@ def test_payments_of_the_desk_outlive_a_replay(spark, catalog, tmp_path):
 
     replay(store, events, days, catalog)
     assert state_of(store) == before
-    # A second replay and a payment after it go on from there.
+    # A payment after the replay goes on from there, and a replay keeps that as well.
     tries = spark.createDataFrame([(f"F-{k:04d}", 2, "after") for k in range(60)], ASKED)
     answer = BillingDesk(store, catalog).pay(tries, dates[-1])
     n = answer["invoices"].count()
@@ -134,3 +135,22 @@ def test_desk_attempts_take_their_turn(spark):
     water = spark.createDataFrame([("F", d[0], dt.date(9999, 1, 1))], "property_id string, from_date date, to_date date")
     cycle = service.service_cycle(settled, water, gates, None)
     assert service.reconnection_orders(cycle, gates).count() == 0
+
+
+def test_a_day_reads_one_snapshot_and_the_dates_after_it(spark, catalog, tmp_path):
+    ev, dates = random_events(n_properties=8, seed=9, dates=MONTH_ENDS[:4], pay=0.5)
+    events, _ = frames(spark, ev, dates)
+    store = Store(spark, str(tmp_path / "s")).create()
+    for day in dates[:3]:
+        run_day(store, events, day, catalog, snapshot_every=1)
+    read = {r[0] for df in store.state(before=dates[3]).values() for r in df.select(F.input_file_name()).distinct().collect()}
+    assert read and all("/snapshots/" in path for path in read)
+    held = {name: df.count() for name, df in store.state().items()}
+    whole = {name: store.read(name).count() for name in held}
+    assert held["balance_log"] < whole["balance_log"] and held["invoice"] < whole["invoice"] and held["payment"] < whole["payment"]
+    # A date that is run again overtakes its snapshot.
+    snapshot = store._snapshot()
+    assert snapshot[1] == dates[2]
+    commits = store.version()
+    run_day(store, events, dates[2], catalog, snapshot_every=99)
+    assert store._snapshot()[1] == dates[1] and store.version() == commits + 1

@@ -76,8 +76,9 @@ def test_days_equal_bulk(spark, catalog, tmp_path):
         assert rows(bulk[name], columns) == Counter(expected[name]), name
     store = Store(spark, str(tmp_path / "days")).create()
     for d in dates:
-        run_day(store, events, d, catalog)
-    run_day(store, events, dates[-1], catalog)  # running a date again changes nothing
+        run_day(store, events, d, catalog, snapshot_every=2)
+    assert store.days_since_snapshot() == 0  # the last date's snapshot, after those of the first and third
+    run_day(store, events, dates[-1], catalog)  # running a date again changes nothing, and reads the snapshot before it
     for name, columns in COLUMNS.items():
         assert rows(store.read(name), columns) == rows(bulk[name], columns), name
     assert store.last_day() == dates[-1]
