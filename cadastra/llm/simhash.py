@@ -52,15 +52,17 @@ def fingerprint(text: bytes, shingle: int) -> int:
     return int(np.packbits(counts * 2 > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fingerprint`` (as a signed long) of whole texts; a null text has no words."""
+def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text", digests: bool = False) -> DataFrame:
+    """``doc_id, fingerprint`` (as a signed long) of whole texts; a null text has no words. ``digests`` adds ``text_hash``, xxhash64."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             found = np.array([fingerprint(t, shingle) for t in utf8_of(batch.column(1))], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], names=["doc_id", "fingerprint"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found), *batch.columns[2:]], names=["doc_id", "fingerprint", "text_hash"][: batch.num_columns])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(each, "doc_id long, fingerprint long")
+    more = [F.xxhash64(text_col).alias("text_hash")] if digests else []
+    whole = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *more)
+    return whole.mapInArrow(each, "doc_id long, fingerprint long" + (", text_hash long" if digests else ""))
 
 
 def byte_masks(distance: int) -> list[int]:
@@ -194,19 +196,33 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, id_col
     id unless all ids of the component are null. Empty table: no rows. Other columns are ignored.
     """
     prints = written(fingerprints(docs, shingle, id_col, text_col))
+    own = _groups(prints, distance, longest).select("fingerprint", "component_id")
+    shown = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
+    return prints.join(own, "fingerprint").select("doc_id", shown.alias("fingerprint"), "component_id")
+
+
+def _groups(prints: DataFrame, distance: int, longest: int) -> DataFrame:
+    """``fingerprint, component_id, root`` of each distinct fingerprint; ``root`` is one of its component."""
     distinct = written(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first")))
     roots = components(linked_fingerprints(distinct, distance, longest))
     placed = distinct.join(roots, distinct.fingerprint == roots.node, "left").select("fingerprint", "first", F.coalesce("root", "fingerprint").alias("root"))
     placed = written(placed)
     least = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    own = placed.join(least, "root").select("fingerprint", "component_id")
-    shown = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
-    return prints.join(own, "fingerprint").select("doc_id", shown.alias("fingerprint"), "component_id")
+    return placed.join(least, "root").select("fingerprint", "component_id", "root")
 
 
 def keep_one(docs: DataFrame, shingle: int = 4, distance: int = 4, id_col: str = "doc_id", text_col: str = "text", longest: int = LONGEST_LIST) -> DataFrame:
-    """Rows of ``docs`` with the least id of each group of near-duplicates; of rows of one id and equal texts, one."""
-    found = near_duplicates(docs, shingle, distance, id_col, text_col, longest)
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_first")).distinct()
-    kept = docs.join(first, F.col(id_col).cast("long").eqNullSafe(F.col("_first")), "left_semi")
-    return kept.withColumn("_text_hash", F.xxhash64(text_col)).dropDuplicates([id_col, "_text_hash"]).drop("_text_hash")
+    """One row of ``docs`` for each group of near-duplicates: that of the least id, of several of that id the one of the least text hash.
+
+    An id that is there with unrelated texts is in several groups and stays once for each in which it is the least. Null ids
+    are greater than others. Equal rows count once. A null text has no words. Columns keep their names and order, whatever
+    these are; an empty table stays empty.
+    """
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    own_id, own_text = (names[docs.columns.index(c)] for c in (id_col, text_col))
+    rows = docs.toDF(*names)
+    prints = written(fingerprints(rows, shingle, own_id, own_text, digests=True))
+    found = prints.join(_groups(prints, distance, longest), "fingerprint").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    first = found.groupBy("root", "doc_id").agg(F.min("text_hash").alias("text_hash")).select("doc_id", "text_hash").distinct()
+    same = F.col(own_id).cast("long").eqNullSafe(F.col("doc_id")) & (F.xxhash64(own_text) == F.col("text_hash"))
+    return rows.join(first, same, "left_semi").dropDuplicates([own_id, own_text]).toDF(*docs.columns)

@@ -132,6 +132,18 @@ def test_one_of_each_group_stays(docs, rows):
     assert kept.count() == kept.select("doc_id", "text").distinct().count()
 
 
+def test_one_row_of_a_group_stays_whatever_the_ids(spark):
+    a, b, near = "one two three four five six", "seven eight nine ten eleven", "One two three four five six"
+    rows = [(0, b), (1, a), (1, b), (2, a), (1, near), (None, a), (None, "alone it is here"), (None, "alone it is here"), (5, None), (4, "")]
+    schema = "doc_id long, text string, _text_hash long, _first long, fingerprint string, root long, text_hash long, component_id int"
+    df = spark.createDataFrame([(i, t, 1, 2, "x", 3, 4, 5) for i, t in rows], schema).repartition(4)
+    kept = simhash.keep_one(df)
+    assert kept.columns == df.columns
+    got = sorted(((r["doc_id"], (r["text"] or "").lower()) for r in kept.collect()), key=repr)
+    assert got == sorted([(0, b), (1, a), (None, "alone it is here"), (4, "")], key=repr)
+    assert kept.where("_text_hash = 1 AND _first = 2 AND root = 3 AND text_hash = 4 AND component_id = 5").count() == 4
+
+
 def test_nothing(nothing):
     assert simhash.near_duplicates(nothing).count() == 0
     assert simhash.keep_one(nothing).count() == 0
