@@ -30,6 +30,8 @@ from cadastra.llm.tables import slices, texts_of
 MARK = "▁"
 _WORD = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
 _WORKER: dict = {}
+#: Texts whose new words are sorted together: the more of them, the more prefixes are shared.
+BATCH_ROWS = 1024
 
 
 @dataclass(frozen=True)
@@ -68,7 +70,15 @@ class Encoder:
         self.vocabulary, self.longest = vocabulary, max(map(len, self.of), default=1)
         #: An unknown character is the state -1 - its code point; it never joins a neighbour.
         self._apart = Memory(lambda pair: self._stay(pair >> 32, pair & 0xFFFFFFFF), 500_000)
-        self._whole = Memory(lambda piece: self.merged(self._text(piece)) == [piece], 500_000)
+        #: When a piece is made: the better its score, the earlier; equal scores at the same time.
+        order = {score: k for k, score in enumerate(sorted({vocabulary.scores[k] for k in self.of.values()}, reverse=True))}
+        self._made = [order.get(score, -1) for score in vocabulary.scores]
+        self._halves: dict[str, tuple[str, str] | None] = {}
+        #: Lengths of the pieces of two characters or more, longest first, by their last two characters.
+        lengths: dict[str, set[int]] = {}
+        for piece in self.of:
+            lengths.setdefault(piece[-2:], set()).add(len(piece))
+        self._lengths = {end: sorted(n, reverse=True) for end, n in lengths.items() if len(end) == 2}
         self._below = min(vocabulary.scores, default=0.0) - 10.0
         self.words = Memory(lambda word: next(self.encoded([word])))
         texts = [(p or "").replace(MARK, " ").encode() for p in vocabulary.pieces]
@@ -90,20 +100,57 @@ class Encoder:
             k = min(joined)[1]
             parts[k : k + 2] = [parts[k] + parts[k + 1]]
 
+    def halves(self, piece: str) -> tuple[str, str] | None:
+        """The two parts the merges make a piece from last; None for a single character and for what they never make."""
+        if len(piece) == 1:
+            return None
+        if piece not in self._halves:
+            made = self._made[self.of[piece]]
+            self._halves[piece] = next(
+                (
+                    (a, b)
+                    for a, b in ((piece[:k], piece[k:]) for k in range(1, len(piece)))
+                    if all(len(x) == 1 or x in self.of and self._made[self.of[x]] < made and self.halves(x) for x in (a, b)) and self._neighbours(a, b, made)
+                ),
+                None,
+            )
+        return self._halves[piece]
+
+    def _neighbours(self, a: str, b: str, before: float = float("inf")) -> bool:
+        """Whether merges that come before ``before`` leave the parts ``a`` and ``b`` side by side.
+
+        Their last merges are undone, the latest first, along the border. Two parts that meet there stand until the merge
+        undone last, so a merge of the two that comes earlier joins them; of equal ones the leftmost comes first.
+        """
+        of, made = self.of, self._made
+        while True:
+            joined = of.get(a + b)
+            if joined is not None and made[joined] < before:
+                return False
+            if len(a) == 1 and len(b) == 1:
+                return True
+            if len(b) == 1 or len(a) > 1 and made[of[a]] > made[of[b]]:
+                before, a = made[of[a]], self.halves(a)[1]
+            else:
+                before, b = made[of[b]] + 1, self.halves(b)[0]
+
     def _stay(self, left: int, right: int) -> bool:
-        return self.merged(self._text(left) + self._text(right)) == [left, right]
+        a, b = self._text(left), self._text(right)
+        return all(len(x) == 1 or self.halves(x) for x in (a, b)) and self._neighbours(a, b)
 
     def _extend_merged(self, word: str, i: int, state: list[int], start: list[int], _: list[float]) -> None:
         of, apart = self.of, self._apart
-        for a in range(i - self.longest if i > self.longest else 0, i):
-            part = word[a:i]
-            if part in of:
-                piece, left = of[part], state[a]
-                if self._whole[piece] if a == 0 else left < 0 or apart[left << 32 | piece]:
-                    state.append(piece)
-                    start.append(a)
-                    return
-        state.append(-1 - ord(word[i - 1]))
+        for n in self._lengths.get(word[i - 2 : i], ()) if i > 1 else ():
+            if n <= i:
+                a = i - n
+                piece = of.get(word[a:i])
+                if piece is not None:
+                    left = state[a]
+                    if self.halves(word[a:i]) if a == 0 else apart[left << 32 | piece] if left >= 0 else self.halves(word[a:i]):
+                        state.append(piece)
+                        start.append(a)
+                        return
+        state.append(of.get(word[i - 1], -1 - ord(word[i - 1])))
         start.append(i - 1)
 
     def _extend_best(self, word: str, i: int, state: list[int], start: list[int], best: list[float]) -> None:
@@ -200,7 +247,7 @@ def round_trip(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_co
 
     def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _on_worker(vocabulary.value)
-        for batch in slices(batches):
+        for batch in slices(batches, BATCH_ROWS):
             texts = texts_of(batch.column(1))
             ids = encoder.encode_all(texts)
             back = [encoder.decode(np.frombuffer(x, "<u4").tolist()) for x in ids]
