@@ -14,9 +14,7 @@ text's multiplicity, and the corpus-wide counts are broadcast again. Measures re
 from __future__ import annotations
 
 import hashlib
-import json
 import os
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,14 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadastra.llm.pieces import vocabulary_text
+from cadastra.llm.ranked import Ranked, bytes_of_ids
 from cadastra.llm.tables import record, slices
 from cadastra.session import written
 
 MARK = "▁"
-#: Fixed value: how byte-level vocabularies split a text into words.
-WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Characters that every version of Unicode, and so every library, takes for the same kind.
-_SETTLED = re.compile(r"[\t\n -~¡-¬®-ɏΑ-ΡΣ-ωА-я]*")
 _WORKER: dict = {}
 TEXTS = pa.schema(
     [("digest", pa.binary()), ("copies", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64())]
@@ -42,40 +37,6 @@ TEXTS = pa.schema(
 TEXTS_SQL = "digest binary, copies long, n_a long, n_b long, n_groups long, links binary, groups_sha256 string"
 
 
-def byte_level_letters() -> list[str]:
-    """The letter a byte-level vocabulary writes for each byte: printable ones stand for themselves, the others move up from U+0100."""
-    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    moved = iter(range(256, 512))
-    return [chr(b) if b in shown else chr(next(moved)) for b in range(256)]
-
-
-def bytes_of_a(vocabulary: str) -> list[bytes]:
-    """Bytes of each id of a byte-level vocabulary: its entry with the letters read back; added tokens as they stand."""
-    rules = json.loads(vocabulary)
-    byte = {letter: bytes([b]) for b, letter in enumerate(byte_level_letters())}
-    entries, added = rules["model"]["vocab"], {t["id"]: t["content"].encode() for t in rules["added_tokens"]}
-    tokens = [b""] * (max([*entries.values(), *added]) + 1)
-    for entry, k in entries.items():
-        tokens[k] = added[k] if k in added else b"".join(map(byte.__getitem__, entry))
-    for k, content in added.items():
-        tokens[k] = content
-    return tokens
-
-
-def ranks_of_a(vocabulary: str, tokens: list[bytes]) -> dict[bytes, int] | None:
-    """Tokens with their ranks, if the merges in their order are the tokens in the order of their ids, and words are split as ``WORDS``."""
-    rules = json.loads(vocabulary)
-    model, before = rules["model"], rules.get("pre_tokenizer") or {}
-    plain = before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space") and not rules.get("normalizer")
-    if not plain or model.get("dropout") or model.get("ignore_merges") or model.get("unk_token") or model.get("end_of_word_suffix"):
-        return None
-    merged = [model["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
-    bytes_ = [k for k, t in enumerate(tokens) if len(t) == 1]
-    if merged != sorted(set(merged)) or len(bytes_) != 256 or max(bytes_) > merged[0]:
-        return None
-    return {tokens[k]: k for k in [*bytes_, *merged]}
-
-
 def bytes_of_b(model: bytes) -> list[bytes]:
     """Bytes of each id of a SentencePiece model: the mark as a space, byte pieces as their byte."""
     from sentencepiece import sentencepiece_model_pb2 as pb
@@ -118,30 +79,24 @@ class Vocabularies:
         a = vocabulary_text(path_a)
         with open(path_b, "rb") as file:
             b = file.read()
-        bytes_a, bytes_b = bytes_of_a(a), bytes_of_b(b)
+        bytes_a, bytes_b = bytes_of_ids(a), bytes_of_b(b)
         key = hashlib.sha256(a.encode() + b).hexdigest()
         return Vocabularies(key, a, b, bytes_a, bytes_b, possible_pairs(bytes_a, bytes_b))
 
 
 class Aligner:
-    """Both vocabularies in one worker process.
-
-    A's words are encoded from its ranks, which is several times faster than its own library and gives the same ids where
-    both take every character for the same kind; texts with any other character go to the library.
-    """
+    """Both vocabularies in one worker process. A's ids come from its ranks where that is safe (``ranked``), else from its library."""
 
     def __init__(self, vocabularies: Vocabularies):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from sentencepiece import SentencePieceProcessor
-        from tiktoken import Encoding
         from tokenizers import Tokenizer
 
         self._a = Tokenizer.from_str(vocabularies.a)
         self._a.encode_special_tokens = True
         self._a.no_truncation()
         self._a.no_padding()
-        ranks = ranks_of_a(vocabularies.a, vocabularies.bytes_a)
-        self._ranked = ranks and Encoding("a", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
+        self._ranked = Ranked(vocabularies.a, special_strings=False)
         self._b = SentencePieceProcessor(model_proto=vocabularies.b)
         self._bytes = vocabularies.bytes_a, vocabularies.bytes_b
         self._size = [np.array([len(t) for t in tokens], np.int64) for tokens in self._bytes]
@@ -155,11 +110,7 @@ class Aligner:
         return [self.align(t, a, b) for t, a, b in zip(texts, of_a, of_b, strict=True)]
 
     def encode_a(self, texts: list[str]) -> list[list[int]]:
-        if self._ranked and all(map(_SETTLED.fullmatch, texts)):
-            return [self._ranked.encode_ordinary(t) for t in texts]
-        if len(texts) > 1:
-            return [ids for t in texts for ids in self.encode_a([t])]
-        return [e.ids for e in self._a.encode_batch_fast(texts, add_special_tokens=False)]
+        return [self._ranked.ids(t) if self._ranked.takes(t) else self._a.encode(t, add_special_tokens=False).ids for t in texts]
 
     def align(self, text: str, a: list[int], b: list[int]) -> tuple[int, int, int, bytes, str]:
         whole = (" " + text).encode()

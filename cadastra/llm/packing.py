@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadastra.llm.pieces import on_worker, vocabulary_text
+from cadastra.llm.ranked import ranked_on_worker
 from cadastra.llm.tables import record, slices, texts_of
 from cadastra.session import written
 
@@ -41,12 +42,12 @@ def token_pieces(docs: DataFrame, vocabulary_path: str, end_id: int, size: int,
     vocabulary = vocabulary_text(vocabulary_path)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard = on_worker(vocabulary), TaskContext.get().partitionId()
+        encoder, ranked, shard = on_worker(vocabulary), ranked_on_worker(vocabulary), TaskContext.get().partitionId()
         end, met = np.array([end_id], "<u4").tobytes(), [0] * (size + 1)
         for batch in slices(batches):
             rows = []
             for owner, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
-                ids = memoryview(encoder.ids(text) + end)
+                ids = memoryview((ranked.packed(text) if ranked.takes(text) else encoder.ids(text)) + end)
                 points = cut_points(len(ids) // 4, size)
                 for k, (a, b) in enumerate(zip(points, points[1:], strict=False)):
                     rows.append((owner, k, a, b - a, zlib.crc32(ids[4 * a : 4 * b]), shard, met[b - a]))

@@ -12,8 +12,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from cadastra.llm.alignment import Aligner, Vocabularies, align_documents, possible_pairs, ranks_of_a
+from cadastra.llm.alignment import Aligner, Vocabularies, align_documents, possible_pairs
 from cadastra.llm.pieces import vocabulary_text
+from cadastra.llm.ranked import Ranked
 from tests.llm.conftest import found
 
 PATH_A, PATH_B = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
@@ -98,12 +99,16 @@ ALIGNER = Aligner(Vocabularies.read(PATH_A, PATH_B))
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.text(st.sampled_from(list("aeinst'sThé ²½ßǆΩя,.-!#09  \n\t")) | st.characters(max_codepoint=0x24F), max_size=60), max_size=4))
 def test_ids_of_a_are_the_librarys(texts):
-    assert ALIGNER._ranked is not None
+    assert ALIGNER._ranked.takes("Plain text, über alles.")
     assert ALIGNER.encode_a(texts) == [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
 
 
-def test_other_vocabularies_go_to_the_library():
-    assert ranks_of_a(vocabulary_text(public_tokenizers.path("word_bpe_49k.json")), []) is None
+def test_what_goes_to_the_library():
+    byte, word = (Ranked(vocabulary_text(public_tokenizers.path(n)), special_strings=True) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
+    assert not word.takes("text") and byte.takes("text") and byte.takes("")
+    assert not any(byte.takes(t) for t in ["a <|endoftext|> b", "\u2028", "中", "a\x85b", "soft\xadhyphen"])
+    assert Ranked(vocabulary_text(PATH_A), special_strings=False).takes("a <|endoftext|> b")
+    assert ALIGNER.encode_a(["\u2028中\x85 text"]) == [LIBRARY.encode("\u2028中\x85 text", add_special_tokens=False).ids]
 
 
 def test_nothing(nothing, spark):
