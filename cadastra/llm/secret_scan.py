@@ -175,10 +175,16 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, id_col: str = "doc_
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]", id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
-    """Rows of ``docs`` with every secret in the text replaced by ``mark``; other columns as they are."""
+    """Rows of ``docs`` with every secret in the text replaced by ``mark``; other columns as they are, whatever their names.
+
+    A secret found in one row of an id goes from all rows of that id. Null texts stay null, an empty table stays empty.
+    """
     found = scan(docs, None, id_col, text_col, path_col).where("is_secret").select("doc_id", "finding").distinct()
     # Longer ones first, so that none is cut by one that it holds; a text's own secrets are as many as fit into it.
     secrets = found.groupBy(F.col("doc_id").alias("_id")).agg(F.reverse(F.array_sort(F.collect_set(F.struct(F.length("finding").alias("n"), "finding")))).alias("_secrets"))
-    joined = docs.join(secrets, F.col(id_col).cast("long").eqNullSafe(F.col("_id")), "left")
-    clean = F.aggregate("_secrets", F.col(text_col), lambda text, s: F.replace(text, s["finding"], F.lit(mark)))
-    return joined.withColumn(text_col, F.when(F.col("_secrets").isNull(), F.col(text_col)).otherwise(clean)).select(*docs.columns)
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    own_id, own_text = (F.col(names[docs.columns.index(c)]) for c in (id_col, text_col))
+    joined = docs.toDF(*names).join(secrets, own_id.cast("long").eqNullSafe(F.col("_id")), "left")
+    clean = F.aggregate("_secrets", own_text, lambda text, s: F.replace(text, s["finding"], F.lit(mark)))
+    text = F.when(F.col("_secrets").isNull(), own_text).otherwise(clean)
+    return joined.select(*[text.alias(n) if c == text_col else F.col(n) for n, c in zip(names, docs.columns, strict=True)]).toDF(*docs.columns)

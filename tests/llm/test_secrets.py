@@ -135,3 +135,13 @@ def test_nothing(spark):
 def test_dictionary_counts_all_texts(spark):
     docs = frame(spark, [(1, "Haus haus tree", None), (2, "tree an haus", None), (3, None, None)])
     assert {r["word"] for r in secrets.dictionary(docs).orderBy(F.col("word")).collect()} == {"haus", "tree"}
+
+
+def test_redaction_leaves_columns_of_any_name(spark):
+    key = "AKIA" + "Q7ZD4MX2RT9BW1LP"
+    rows = [(1, f"the key is {key} here", "a", 1, "s"), (2, None, "b", 2, "s"), (None, "nothing here", "c", 3, "s")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _secrets string, _id int, source string")
+    clean = secrets.redact(df)
+    assert clean.columns == df.columns
+    got = {r["_id"]: (r["doc_id"], r["text"], r["_secrets"]) for r in clean.collect()}
+    assert got == {1: (1, "the key is [SECRET] here", "a"), 2: (2, None, "b"), 3: (None, "nothing here", "c")}
