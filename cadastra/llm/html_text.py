@@ -3,7 +3,8 @@
 Every node of a page's tree has a density: its characters per tag, scaled by how much of them stands in links, here and in
 the whole body. The sum of its children's densities is a node's density sum; the node with the greatest one is the core of
 the article. The least density on the path from it up to the body is the threshold: a subtree counts as content if its
-density reaches it. Of an article or main element that holds the core, all is content.
+density reaches it. Of an article or main element that holds the core, all is content but its menus: blocks under the
+threshold that hold three links or more and next to no other text.
 
 Elements that are furniture by their name or role are no part of the tree. Those that are by a word of their class or id
 neither, unless they turn out to hold the article: most of the unlinked text of all article and main elements or, on a page
@@ -15,6 +16,8 @@ from __future__ import annotations
 import html
 import math
 import re
+from bisect import bisect_left
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -23,13 +26,11 @@ from pyspark.sql import functions as F
 
 from cadastra.llm.tables import slices, texts_of
 
-_TOKEN = re.compile(
-    r"""<!--.*?(?:--!?>|\Z)"""
-    r"""|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
-    r"""|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*+)(?P<rest2>[^>]*+)>"""
-    r"""|<[!?/][^>]*+>""",
-    re.S,
-)
+#: A comment, the start of a tag, or another declaration.
+_TOKEN = re.compile(r"""<!--.*?(?:--!?>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)|<[!?/][^>]*+>""", re.S)
+#: The rest of a tag with its quoted values.
+_REST = re.compile(r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>""")
+_MARK = re.compile(r"""[>"']""")
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|([^\s=/>"']+)""")
 _UNENDED = re.compile(r"<[a-zA-Z/!?]")
 
@@ -52,7 +53,7 @@ _ENDS = {
 }
 _KEEPS_P = {"table", "td", "th", "caption", "button", "object", "html"}
 #: Elements, roles and words of a class or id that mark furniture.
-_FURNITURE = frozenset("nav footer aside form button select datalist dialog noscript template svg math canvas object audio video menu search head".split())
+_FURNITURE = frozenset("nav footer aside form button select datalist dialog noscript template svg canvas audio video menu search head".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
 _WORDS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu menubar breadcrumb breadcrumbs"
@@ -61,7 +62,7 @@ _WORDS = frozenset(
 )
 #: Words of discussions, and parts of a class that tell about a word and not what the element is (has-sidebar, comments-open).
 _DISCUSSION = frozenset("comment comments commentlist disqus respond replies".split())
-_ABOUT = re.compile(r"(?<![a-z])(?:has|no|not|with|without)[-_]+[a-z]+(?:[-_]+[a-z]+)*|[a-z]+(?:[-_]+status)?[-_]+(?:open|closed|enabled|disabled)(?![a-z])")
+_ABOUT = re.compile(r"(?<![a-z])(?:has|no|not|with|without)[-_]+[a-z]+(?:[-_]+[a-z]+)*|(?<![a-z])[a-z]++(?:[-_]+status)?[-_]+(?:open|closed|enabled|disabled)(?![a-z])")
 
 
 def _attributes(rest: str) -> dict[str, str]:
@@ -93,6 +94,8 @@ class _Page:
         self.named: list[frozenset[str]] = [frozenset()]  # furniture words of the node's class or id
         self.events: list[tuple[int, str] | None] = []  # (node, text), or None at the edge of a block
         self._open = [0]
+        self._places: defaultdict[str, list[int]] = defaultdict(list)  # places in _open, by tag
+        self._walls = [0]  # and of blocks and cells
         self._read(source)
         if any(self.named):
             self._cut_named()
@@ -131,37 +134,46 @@ class _Page:
             self.cut[k] = self.cut[k] or self.cut[self.parent[k]]
         self.events = [e for e in self.events if e is None or not self.cut[e[0]]]
 
-    def _close(self, ends: set[str], stops: set[str]) -> None:
-        for k in range(len(self._open) - 1, 0, -1):
-            tag = self.tag[self._open[k]]
-            if tag in ends:
-                del self._open[k:]
-                return
-            if tag in stops:
-                return
+    def _last(self, tags: set[str]) -> int:
+        """Place of the last open element of ``tags``; 0 if none is open."""
+        return max((self._places[t][-1] for t in tags if self._places[t]), default=0)
+
+    def _close(self, ends: set[str], wall: int) -> None:
+        """Close the last open element of ``ends`` with all it holds, unless an element that stops it stands behind it."""
+        place = self._last(ends)
+        if place and place >= wall:
+            for node in self._open[place:]:
+                self._places[self.tag[node]].pop()
+            del self._open[place:]
+            while self._walls[-1] >= place:
+                self._walls.pop()
 
     def _start(self, tag: str, rest: str) -> None:
         if tag in _BLOCK:
             self.events.append(None)
-            self._close({"p"}, _KEEPS_P)
+            self._close({"p"}, self._last(_KEEPS_P) if self._places["p"] else 0)
         if tag in _ENDS:
-            self._close(*_ENDS[tag])
+            ends, stops = _ENDS[tag]
+            self._close(ends, self._last(stops))
         if tag in ("br", "td", "th", "wbr"):
             self._text("" if tag == "wbr" else " ")
         if tag in _VOID:
             return
-        if tag in ("html", "body") and any(self.tag[n] == tag for n in self._open):
+        if tag in ("html", "body") and self._places[tag]:
             return
         above = self._open[-1]
         if tag == "body":
-            self._close({"head"}, set())
+            self._close({"head"}, 0)
             above = self._open[-1]
-        inside = any(self.tag[n] in ("article", "main") for n in self._open) if tag == "header" else False
+        inside = bool(self._places["article"] or self._places["main"])
         self.tag.append(tag)
         self.parent.append(above)
         furniture, named = _furniture(tag, rest, inside)
         self.cut.append(self.cut[above] or furniture)
         self.named.append(named)
+        self._places[tag].append(len(self._open))
+        if tag in _BLOCK or tag in ("td", "th"):
+            self._walls.append(len(self._open))
         self._open.append(len(self.tag) - 1)
 
     def _end(self, tag: str) -> None:
@@ -169,30 +181,57 @@ class _Page:
             self.events.append(None)
         if tag not in ("html", "body"):
             # An inline end tag does not reach out of its block.
-            self._close({tag}, set() if tag in _BLOCK else _BLOCK | {"td", "th"})
+            self._close({tag}, 0 if tag in _BLOCK else self._walls[-1])
 
     def _read(self, source: str) -> None:
-        at = 0
-        while (m := _TOKEN.search(source, at)) is not None:
+        """Tags in page order. Each is read a bounded number of times, whatever its quotes, so the work grows with the page."""
+        at, last, ends = 0, source.rfind(">"), None
+        while (m := _TOKEN.search(source, at)) is not None and m.start() < last:
             self._text(source[at : m.start()])
             at = m.end()
-            tag = (m["tag"] or m["tag2"] or "").lower()
-            if not tag:
+            if not m["tag"]:
                 continue
-            if m["end"] or m["end2"]:
+            tag, begin = m["tag"].lower(), at
+            if ends is None:
+                rest = _REST.match(source, begin)
+                if rest is None:  # a quote never ends; from here on ends of tags are looked up
+                    ends = _tag_ends(source, begin)
+                else:
+                    at = rest.end()
+            if ends is not None:
+                place = bisect_left(ends[0], begin)
+                at = ends[1][place] if place < len(ends[1]) and ends[1][place] else source.index(">", begin) + 1
+            if m["end"]:
                 self._end(tag)
             elif tag in _RAW:
                 end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(source, at)
                 at = end.end() if end else len(source)
             else:
-                self._start(tag, m["rest"] or m["rest2"] or "")
+                self._start(tag, source[begin : at - 1])
         rest = source[at:]
         unended = _UNENDED.search(rest)
         self._text(rest[: unended.start()] if unended else rest)
 
 
-def _densities(page: _Page) -> tuple[list[float], list[float], int]:
-    """Density and density sum of each node, and the body."""
+def _tag_ends(source: str, begin: int) -> tuple[list[int], list[int]]:
+    """Places of quotes and > from ``begin`` on, and the end of a tag whose first such mark this is; 0 if its quotes leave none."""
+    places = [m.start() for m in _MARK.finditer(source, begin)]
+    ends = [0] * len(places)
+    plain = double = single = 0  # the end from here on: outside of quotes, within double ones, within single ones
+    for k in range(len(places) - 1, -1, -1):
+        mark = source[places[k]]
+        if mark == ">":
+            plain = places[k] + 1
+        elif mark == '"':
+            plain, double = double, plain
+        else:
+            plain, single = single, plain
+        ends[k] = plain
+    return places, ends
+
+
+def _densities(page: _Page) -> tuple[list[float], list[float], list[bool], int]:
+    """Density and density sum of each node, whether it is a block of links, and the body."""
     n = len(page.tag)
     chars, tags, link_chars, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
     in_link = [False] * n
@@ -221,13 +260,14 @@ def _densities(page: _Page) -> tuple[list[float], list[float], int]:
             density[k] = c / t * (math.log(max(c / lc * t / lt, 1)) / math.log(base) if base > 1 + 1e-9 else 1.0)
             if k:
                 sums[page.parent[k]] += density[k]
-    return density, sums, body
+    menu = [page.tag[k] in _BLOCK and link_tags[k] >= 3 and 5 * link_chars[k] > 4 * chars[k] for k in range(n)]
+    return density, sums, menu, body
 
 
 def main_text(source: str) -> str:
     """Main text of one page: blocks in page order, each in one line; empty if the page has none."""
     page = _Page(source)
-    density, sums, body = _densities(page)
+    density, sums, menu, body = _densities(page)
     n = len(page.tag)
     inside = [False] * n
     for k in range(n):
@@ -236,13 +276,13 @@ def main_text(source: str) -> str:
     path = [core]
     while path[-1] != body:
         path.append(page.parent[path[-1]])
-    threshold = min(density[k] for k in path)
+    threshold, on_path = min(density[k] for k in path), set(path)
     holder = next((k for tag in ("article", "main") for k in reversed(path) if page.tag[k] == tag), None)
     content = [False] * n
     for k in range(n):
         if inside[k] and not page.cut[k]:
-            above = k > 0 and content[page.parent[k]]
-            own = k == holder if holder is not None else k in (core, body) and (k == core or not sums[k]) or density[k] >= threshold and k not in path
+            above = k > 0 and content[page.parent[k]] and not (holder is not None and menu[k] and density[k] < threshold and k not in on_path)
+            own = k == holder if holder is not None else k in (core, body) and (k == core or not sums[k]) or density[k] >= threshold and k not in on_path
             content[k] = above or own
     if not sums[core]:
         content[body] = True

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import time
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -52,6 +54,32 @@ def test_sections_of_an_article_all_count():
     assert main_text(page(f"<article>{sections}</article>")).count("Part") == 4
 
 
+def test_menu_inside_an_article():
+    links = "".join(f"<li><a href='/{k}'>Story {k} of the week</a></li>" for k in range(6))
+    assert main_text(page(f"<article>{ARTICLE}<div><ul>{links}</ul></div></article>")) == TEXT
+    sources = "".join(f"<li><a href='/{k}'>Report {k}</a>, printed by the water office of the county</li>" for k in range(6))
+    assert main_text(page(f"<article>{ARTICLE}<ul>{sources}</ul></article>")).count("printed by") == 6
+    pair = "<p><a href=a>The first part</a> and <a href=b>the second part</a></p>"
+    assert main_text(page(f"<article>{ARTICLE}{pair}</article>")) == f"{TEXT}\nThe first part and the second part"
+
+
+def test_formula_in_an_article():
+    assert main_text(page(f"<article>{ARTICLE}<p>Depth <math><mi>d</mi><mo>=</mo><mn>3</mn></math> m</p></article>")) == f"{TEXT}\nDepth d=3 m"
+
+
+LONG = 400_000
+
+
+@pytest.mark.parametrize(
+    "unit", ["<div>", "<span><div>x</div>", '<a b="', "<a '>'", "<li><div>", "<p><button><div>", "<table><tr><td>", "<script>", "<a", "<!--", "<body><header>", "<i></b>"]
+)
+def test_work_grows_with_the_page(unit):
+    """A quadratic reading of these pages takes minutes."""
+    start = time.process_time()
+    main_text(unit * (LONG // len(unit)) + "end")
+    assert time.process_time() - start < 10
+
+
 def test_short_article_beside_a_long_footer():
     assert main_text(f"<body><article><h1>Oh.</h1><p><b>Oh no.<br></article><footer>{PROSE * 5}</footer>") == "Oh.\nOh no."
 
