@@ -15,8 +15,8 @@ from cadastra.functions.money import money, zero
 from cadastra.operators import billing, intervals, meters, payments, registry, service
 from cadastra.rules import Rules
 from cadastra.sources.catalog import Catalog
-from cadastra.sources.operations import dated, duplicate_dates, load_rejects, shred_all
-from cadastra.session import written
+from cadastra.session import scope, written
+from cadastra.sources.operations import all_events, dates_of, duplicate_dates, rejects_of, stored_rows
 from cadastra.sources.store import Store
 
 Events = Mapping[str, DataFrame]
@@ -214,12 +214,14 @@ def replay(
     desk = store.desk_attempts(run.based_on + 1)
     if desk is not None:
         events = {**events, "desk": desk}
-    tables = replay_tables(events, dates, catalog, rules, run.write_all, written, rejects)
-    store.publish(run)
+    with scope(store.spark):
+        tables = replay_tables(events, dates, catalog, rules, run.write_all, written, rejects)
+        store.publish(run)
     return tables
 
 
 def replay_documents(store: Store, documents: DataFrame, catalog: Catalog, rules: Rules = Rules()) -> dict[str, DataFrame]:
-    """Replay operations documents; what cannot be read goes to ``reject``, or stops the load by rule."""
-    dates = dated(documents).select("op_date")
-    return replay(store, shred_all(documents), dates, catalog, rules, load_rejects(documents))
+    """Replay operations documents, which are parsed once; what cannot be read goes to ``reject``, or stops the load by rule."""
+    with scope(documents.sparkSession):
+        rows = stored_rows(documents)
+        return replay(store, all_events(rows), dates_of(rows), catalog, rules, rejects_of(rows))

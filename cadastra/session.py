@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,11 +44,36 @@ def work_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
-def written(df: DataFrame) -> DataFrame:
-    """``df`` written as parquet in the work folder and read back: short lineage, column pruning, statistics."""
+_SCOPE: ContextVar[str | None] = ContextVar("scope", default=None)
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """What ``written`` writes inside goes when the block ends, also by an error; of nested ones the outermost counts.
+
+    For steps whose results are stored elsewhere by then. A driver that is lost leaves the folder ``scope-...``.
+    """
+    if _SCOPE.get():
+        yield
+        return
+    path = f"{work_dir(spark)}/scope-{uuid.uuid4().hex}"
+    token = _SCOPE.set(path)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def written(df: DataFrame, *by: str) -> DataFrame:
+    """``df`` written as parquet in the work folder and read back: short lineage, column pruning, statistics.
+
+    With columns ``by``, rows lie in one folder per value and the others are not opened by a filter on them.
+    """
     spark = df.sparkSession
-    path = f"{work_dir(spark)}/cut-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    path = f"{_SCOPE.get() or work_dir(spark)}/cut-{uuid.uuid4().hex}"
+    df.write.partitionBy(*by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

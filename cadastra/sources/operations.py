@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cadastra import schemas
+from cadastra.session import written
 
 LOAD_FAILED = 50002
 
@@ -91,99 +92,105 @@ def stream_documents(spark: SparkSession, path: str, files_per_batch: int = 100)
     )
 
 
-def sound(documents: DataFrame) -> DataFrame:
-    """Elements that are well-formed; the others are rejected whole."""
-    return documents.where(F.col(CORRUPT).isNull())
-
-
 def dated(documents: DataFrame) -> DataFrame:
     """Well-formed elements with ``op_date``, null where the date cannot be read."""
-    return sound(documents).withColumn("op_date", F.col("_fecha").try_cast("date"))
+    return documents.where(F.col(CORRUPT).isNull()).withColumn("op_date", F.col("_fecha").try_cast("date"))
 
 
-def raw_section(documents: DataFrame, kind: str) -> DataFrame:
-    """Items of one section as text columns with date and document position."""
-    section, item, attributes = SECTIONS[kind]
-    exploded = dated(documents).select("op_date", F.posexplode(f"{section}.{item}").alias("position", "item"))
-    return exploded.select(
-        "op_date", "position", *[F.col(f"item._{xml}").alias(name) for name, xml in attributes.items()]
+def rows_of(documents: DataFrame) -> DataFrame:
+    """Every element and every item of every section as one row, so that a document is parsed once for all that is read of it.
+
+    ``kind`` is the section, or ``document`` for the element itself; ``position`` is the item's place in its section. The
+    attributes of all sections are text columns, null where a section has none of that name. ``reason`` tells why a load
+    cannot take the row, or not all of it; it is null for sound ones. Rows of a broken element are the element alone, without
+    a date; its ``key`` is a digest.
+    """
+    names = sorted({name for _, _, attributes in SECTIONS.values() for name in attributes})
+    none = F.lit(None).cast("string")
+
+    def row(kind: str, position: Column, key: Column, values: dict[str, Column]) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), position.alias("position"), key.alias("key"), *[values.get(n, none).alias(n) for n in names])
+
+    def items(kind: str) -> Column:
+        section, item, attributes = SECTIONS[kind]
+
+        def one(x: Column, position: Column) -> Column:
+            return row(kind, position, position.cast("string"), {name: x[f"_{xml}"] for name, xml in attributes.items()})
+
+        return F.transform(f"{section}.{item}", one)
+
+    broken = F.col(CORRUPT).isNotNull()
+    op_date = F.when(~broken, F.col("_fecha").try_cast("date"))
+    key = F.when(broken, F.sha2(CORRUPT, 256)).otherwise(F.coalesce("_fecha", F.lit("")))
+    element = F.array(row(DOCUMENT, F.lit(None).cast("int"), key, {}))
+    all_items = F.flatten(F.array_compact(F.array(element, *[F.when(~broken, items(kind)) for kind in SECTIONS])))
+    rows = documents.select(op_date.alias("op_date"), broken.alias("broken"), F.explode(all_items).alias("row")).select("op_date", "broken", "row.*")
+
+    bad = F.lit(None).cast("array<string>")
+    for kind in SECTIONS:
+        unread = [F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), F.lit(f.name)) for f in _attributes(kind)]
+        bad = F.when(F.col("kind") == kind, F.array_compact(F.array(*unread))).otherwise(bad)
+    of_element = F.col("kind") == DOCUMENT
+    reason = (
+        F.when(F.col("broken"), "unreadable element")
+        .when(of_element & F.col("op_date").isNull(), "element without a readable date")
+        .when(F.col("op_date").isNull(), "in an element without a readable date")
+        .when(F.size(bad) > 0, F.concat(F.lit("unreadable "), F.array_join(bad, ", ")))
     )
+    return rows.withColumn("reason", reason).drop("broken")
 
 
-def shred(documents: DataFrame, kind: str) -> DataFrame:
+def _attributes(kind: str) -> list[T.StructField]:
+    return [f for f in schemas.EVENTS[kind].fields if f.name not in ("op_date", "position")]
+
+
+def events_of(rows: DataFrame, kind: str) -> DataFrame:
     """Typed events of one section; items of undated elements are rejects, not events."""
-    raw = raw_section(documents, kind).where("op_date IS NOT NULL")
-    return raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schemas.EVENTS[kind].fields])
+    mine = rows.where((F.col("kind") == kind) & F.col("op_date").isNotNull())
+    typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in _attributes(kind)]
+    return mine.select("op_date", F.col("position").cast("int").alias("position"), *typed)
 
 
-def shred_all(documents: DataFrame) -> dict[str, DataFrame]:
-    return {kind: shred(documents, kind) for kind in SECTIONS}
+def dates_of(rows: DataFrame) -> DataFrame:
+    """The date of every element that has one, as often as it is listed."""
+    return rows.where((F.col("kind") == DOCUMENT) & F.col("op_date").isNotNull()).select("op_date")
 
 
-def operation_dates(documents: DataFrame) -> DataFrame:
-    return dated(documents).select("op_date").where("op_date IS NOT NULL").distinct()
+def rejects_of(rows: DataFrame) -> DataFrame:
+    """Everything a load cannot take in: broken and undated elements, items of the latter, unreadable attributes."""
+    return rows.where("reason IS NOT NULL").select(
+        "op_date", F.col("kind").alias("step"), F.lit(LOAD_FAILED).alias("code"), "key", "reason"
+    )
 
 
-def duplicate_dates(dates: DataFrame) -> DataFrame:
-    """Dates that occur more than once; a load accepts each date once."""
-    return dates.groupBy("op_date").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+def stored_rows(documents: DataFrame) -> DataFrame:
+    """``rows_of`` written by kind and read back: one parse, then each reader opens the folder of its section only."""
+    return written(rows_of(documents), "kind")
 
 
-def malformed(documents: DataFrame) -> DataFrame:
-    """Rejects for attributes that are present but cannot be read as their type."""
-    found = None
-    for kind in SECTIONS:
-        schema = schemas.EVENTS[kind]
-        raw = raw_section(documents, kind)
-        bad = F.array_compact(
-            F.array(
-                *[
-                    F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), F.lit(f.name))
-                    for f in schema.fields
-                    if f.name not in ("op_date", "position")
-                ]
-            )
-        )
-        rows = raw.where("op_date IS NOT NULL").withColumn("_bad", bad).where(F.size("_bad") > 0)
-        rejects = rows.select(
-            "op_date",
-            F.lit(kind).alias("step"),
-            F.lit(LOAD_FAILED).alias("code"),
-            F.col("position").cast("string").alias("key"),
-            F.concat(F.lit("unreadable "), F.array_join("_bad", ", ")).alias("reason"),
-        )
-        found = rejects if found is None else found.unionByName(rejects)
-    return found
-
-
-def _reject(op_date: Column, step: Column, key: Column, reason: Column) -> list[Column]:
-    code = F.lit(LOAD_FAILED).alias("code")
-    return [op_date.alias("op_date"), step.alias("step"), code, key.alias("key"), reason.alias("reason")]
-
-
-def undated(documents: DataFrame) -> DataFrame:
-    """Rejects for elements without a readable date, and for each of their items."""
-    none = F.lit(None).cast("date")
-    lost = dated(documents).where("op_date IS NULL")
-    found = lost.select(*_reject(none, F.lit(DOCUMENT), F.coalesce("_fecha", F.lit("")), F.lit("element without a readable date")))
-    for kind in SECTIONS:
-        items = raw_section(documents, kind).where("op_date IS NULL")
-        rejects = _reject(none, F.lit(kind), F.col("position").cast("string"), F.lit("in an element without a readable date"))
-        found = found.unionByName(items.select(*rejects))
-    return found
+def shred(documents: DataFrame, kind: str) -> DataFrame:
+    return events_of(rows_of(documents), kind)
+
 
+def all_events(rows: DataFrame) -> dict[str, DataFrame]:
+    return {kind: events_of(rows, kind) for kind in SECTIONS}
 
-def broken(documents: DataFrame) -> DataFrame:
-    """Rejects for elements that are no well-formed XML; the key is a digest of the element."""
-    lost = documents.where(F.col(CORRUPT).isNotNull())
-    # A file source answers no query on its corrupt column alone, hence the second one.
-    key = F.sha2(F.coalesce(CORRUPT, "_fecha"), 256)
-    return lost.select(*_reject(F.lit(None).cast("date"), F.lit(DOCUMENT), key, F.lit("unreadable element")))
+
+def shred_all(documents: DataFrame) -> dict[str, DataFrame]:
+    return all_events(rows_of(documents))
 
 
 def load_rejects(documents: DataFrame) -> DataFrame:
-    """Everything a load cannot take in: broken and undated elements, items of the latter, unreadable attributes."""
-    return broken(documents).unionByName(undated(documents)).unionByName(malformed(documents))
+    return rejects_of(rows_of(documents))
+
+
+def operation_dates(documents: DataFrame) -> DataFrame:
+    return dates_of(rows_of(documents)).distinct()
+
+
+def duplicate_dates(dates: DataFrame) -> DataFrame:
+    """Dates that occur more than once; a load accepts each date once."""
+    return dates.groupBy("op_date").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
 
 
 def parse_documents(text: DataFrame, column: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import pathlib
 from decimal import Decimal as D
 
 import pytest
@@ -14,6 +15,7 @@ from cadastra.plans.daily import run_day
 from cadastra.plans.replay import replay, replay_documents
 from cadastra.rules import Rules
 from cadastra.schemas import LOGS
+from cadastra.session import work_dir
 from cadastra.sources import operations
 from cadastra.sources.catalog import SUBTYPES, read_catalog, split_subtypes
 from cadastra.sources.store import Store
@@ -81,7 +83,7 @@ def test_operations_document(spark, tmp_path):
     assert events["property"].where("property_id = 'F-0002'").first()["fiscal_value"] == D(6000000)
     assert operations.operation_dates(documents).count() == 3
     assert operations.duplicate_dates(documents.unionAll(documents).transform(operations.dated)).count() == 3
-    bad = operations.malformed(documents).collect()
+    bad = operations.load_rejects(documents).collect()
     assert [(r["step"], r["reason"]) for r in bad] == [("fiscal", "unreadable value")]
 
 
@@ -202,6 +204,41 @@ def test_no_input_is_lost(spark, catalog, tmp_path, source):
         apply_batch(days, documents, catalog, Rules(strict_load=True))
 
 
+def test_documents_are_parsed_once(spark, catalog, tmp_path):
+    parsed = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            parsed.add(batch.num_rows)
+            yield batch
+
+    texts = spark.createDataFrame([(t,) for t in (FIRST_DAY, CUT_DAY, PAY_DAY, UNREADABLE, BROKEN)], "d string")
+    documents = operations.parse_documents(texts.mapInArrow(count, "d string"), "d")
+    store = Store(spark, str(tmp_path / "store")).create()
+    replay_documents(store, documents, catalog)
+    assert parsed.value == 5
+    assert store.read("person").count() == 2
+    left = [p.name for p in pathlib.Path(work_dir(spark).removeprefix("file:")).glob("scope-*")]
+    assert left == []
+
+
+def test_rows_of_a_load_add_up(spark):
+    """Every item is an event or, without a date, a reject; sections are read apart from each other."""
+    documents = parse(spark, FIRST_DAY, CUT_DAY, PAY_DAY, UNDATED, UNREADABLE, BROKEN)
+    rows = operations.stored_rows(documents)
+    items = rows.where("kind <> 'document'").count()
+    events = operations.all_events(rows)
+    lost = operations.rejects_of(rows).where("op_date IS NULL AND step <> 'document'").count()
+    assert items == sum(df.count() for df in events.values()) + lost
+    assert (rows.where("kind = 'document'").count(), operations.dates_of(rows).count()) == (6, 4)
+    for kind, df in events.items():
+        assert sorted(map(repr, df.collect())) == sorted(map(repr, operations.shred(documents, kind).collect()))
+    plan = events["payment"]._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(kind" in plan
+    empty = operations.stored_rows(documents.limit(0))
+    assert (operations.rejects_of(empty).count(), operations.dates_of(empty).count(), operations.events_of(empty, "charge").count()) == (0, 0, 0)
+
+
 def test_attempts_are_paid_or_rejected(spark):
     d = [dt.date(2025, 1, i) for i in range(1, 6)]
     bills = [(f"i{k}", "F", d[0], d[4], D(5)) for k in range(2)]
