@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from cadastra import rules as R
 from cadastra.functions.money import late_interest, money, zero
-from cadastra.operators.ledger import number_by_day, running
+from cadastra.operators.ledger import in_blocks, number_by_day, running
 from cadastra.rules import Rules
 
 ATTEMPT = ["property_id", "op_date", "method_id", "reference"]
@@ -32,7 +32,8 @@ def incomplete_attempts(attempts: DataFrame, *more: str | Column) -> DataFrame:
     )
 
 
-DAY = ["property_id", "op_date", "phase"]
+#: A step of the ledger: a wide date's attempts are several blocks, one after the other.
+STEP = ["property_id", "op_date", "phase", "block"]
 #: What a desk's attempt carries besides ``ATTEMPT``: its batch, the batch's number, the last operation date the desk had seen.
 DESK_ATTEMPT = [*ATTEMPT, "batch", "number", "seen"]
 
@@ -49,41 +50,45 @@ def with_desk(attempts: DataFrame, desk: DataFrame) -> DataFrame:
 
 
 def settlement_rows(invoices: DataFrame, attempts: DataFrame) -> DataFrame:
-    """Attempts (phase 0; the desk's 2) and invoices (phase 1) in one table, numbered inside (property, date, phase).
+    """Attempts (phase 0; the desk's 2) and invoices (phase 1) in one table, numbered inside (property, date, phase, block).
 
-    Payments of a date run before its invoices, those of the desk after them in the order of the batches. Numbering stays inside one day, so a property with any share of
-    the rows is spread over its dates. Rows without property or date are left out here already: otherwise the join
-    with the ledger infers that filter for one of its two inputs only, and their shuffle is not shared.
+    Payments of a date run before its invoices, those of the desk after them in the order of the batches. Numbering stays
+    inside one block of a day, so a property with any share of the rows is spread over its dates, and a date over blocks
+    of its attempts; invoices have one block, as a property is billed once a date. Rows without property or date are left
+    out here already: otherwise the join with the ledger infers that filter for one of its two inputs only, and their
+    shuffle is not shared.
     """
     desk = "batch" in attempts.columns
     phase = F.when(F.col("batch").isNull(), 0).otherwise(2) if desk else F.lit(0)
-    events = attempts.withColumn("phase", phase).unionByName(
+    order = [*(["number"] if desk else []), "reference", "method_id"]
+    tries = in_blocks(attempts.withColumn("phase", phase), ["property_id", "op_date", "phase"], order, "block")
+    events = tries.unionByName(
         invoices.withColumnRenamed("invoice_date", "op_date")
         .where("property_id IS NOT NULL AND op_date IS NOT NULL")
-        .withColumn("phase", F.lit(1)),
+        .withColumns({"phase": F.lit(1), "block": F.lit(0)}),
         allowMissingColumns=True,
     )
-    in_day = Window.partitionBy(*DAY).orderBy(*(["number"] if desk else []), "reference", "method_id", "invoice_id")
-    return events.withColumn("in_day", F.row_number().over(in_day)).withColumn(
-        "sibling_due", F.lead("due_date").over(in_day)
+    in_step = Window.partitionBy(*STEP).orderBy(*order, "invoice_id")
+    return events.withColumn("in_step", F.row_number().over(in_step)).withColumn(
+        "sibling_due", F.lead("due_date").over(in_step)
     )
 
 
 def settlement_ledger(rows: DataFrame) -> DataFrame:
-    """One row per (property, date, phase): how many attempts pay, and where invoice ranks start.
+    """One row per (property, date, phase, block): how many attempts pay, and where invoice ranks start.
 
-    With A attempts and I invoices so far, the attempts rejected so far are R = max over days of (A - I), floored
-    at 0, and A - R have paid. Columns:
+    With A attempts and I invoices so far, the attempts rejected so far are R = max over steps of (A - I), floored
+    at 0, and A - R have paid. Of the attempts of a step the first pay. Columns:
 
     * phases 0 and 2: ``before`` (attempts that paid earlier) and ``pays`` (how many of these do);
     * phase 1: ``before`` (invoices of earlier days), ``next_due`` and ``next_day`` (due date and date of the next invoice day).
     """
-    days = rows.groupBy(*DAY).agg(F.count(F.lit(1)).alias("n"), F.min("due_date").alias("due_date"))
-    ordered = running(["property_id"], ["op_date", "phase"])
-    sorted_days = Window.partitionBy("property_id").orderBy("op_date", "phase")
+    steps = rows.groupBy(*STEP).agg(F.count(F.lit(1)).alias("n"), F.min("due_date").alias("due_date"))
+    ordered = running(["property_id"], STEP[1:])
+    sorted_steps = Window.partitionBy("property_id").orderBy(*STEP[1:])
     is_attempt = F.col("phase") != 1
-    following = "lead({}) IGNORE NULLS OVER (PARTITION BY property_id ORDER BY op_date, phase)"
-    sums = days.withColumns(
+    following = f"lead({{}}) IGNORE NULLS OVER (PARTITION BY property_id ORDER BY {', '.join(STEP[1:])})"
+    sums = steps.withColumns(
         {
             "tried": F.sum(F.when(is_attempt, F.col("n")).otherwise(0)).over(ordered),
             "issued": F.sum(F.when(is_attempt, 0).otherwise(F.col("n"))).over(ordered),
@@ -92,12 +97,12 @@ def settlement_ledger(rows: DataFrame) -> DataFrame:
         }
     )
     rejected = F.greatest(F.max(F.col("tried") - F.col("issued")).over(ordered), F.lit(0))
-    paid_before = F.coalesce(F.lag("paid").over(sorted_days), F.lit(0))
+    paid_before = F.coalesce(F.lag("paid").over(sorted_steps), F.lit(0))
     return (
         sums.withColumn("paid", F.col("tried") - rejected)
         .withColumn("paid_before", paid_before)
         .select(
-            *DAY,
+            *STEP,
             F.when(is_attempt, F.col("paid_before")).otherwise(F.col("issued") - F.col("n")).alias("before"),
             (F.col("paid") - F.col("paid_before")).alias("pays"),
             "next_due",
@@ -123,8 +128,8 @@ def settle(
     tries = valid_attempts(attempts)
     made, date = ([], "op_date") if desk is None else (["batch", "settled_on"], "made_on")
     numbered = settlement_rows(invoices, tries if desk is None else with_desk(tries, desk))
-    rows = numbered.join(settlement_ledger(numbered), DAY)
-    pays = (F.col("phase") == 1) | (F.col("in_day") <= F.col("pays"))
+    rows = numbered.join(settlement_ledger(numbered), STEP)
+    pays = (F.col("phase") == 1) | (F.col("in_step") <= F.col("pays"))
     # An attempt and the invoice it pays share (property, rank); the attempt sorts first.
     pair = Window.partitionBy("property_id", "rank").orderBy(F.col("phase") == 1)
     of_desk = {} if desk is None else {"batch": F.lag("batch").over(pair), "settled_on": F.lag("op_date").over(pair)}
@@ -134,7 +139,7 @@ def settle(
     interest = late_interest(F.col("original_total"), F.col("due_date"), F.col("paid_on"), rules)
     settled = (
         rows.where(pays)
-        .withColumn("rank", F.col("before") + F.col("in_day"))
+        .withColumn("rank", F.col("before") + F.col("in_step"))
         .withColumns(
             {
                 "paid_on": F.lag(date).over(pair),
@@ -149,7 +154,7 @@ def settle(
         .withColumnRenamed("op_date", "invoice_date")
         .select(*invoices.columns, "rank", "next_due", "paid_on", "method_id", "reference", "interest", *made)
     )
-    rejects = rows.where("phase <> 1 AND in_day > pays")
+    rejects = rows.where("phase <> 1 AND in_step > pays")
     if desk is not None:
         rejects = rejects.withColumnRenamed("op_date", "settled_on").withColumnRenamed("made_on", "op_date")
     rejects = rejects.select(*ATTEMPT, *made)
@@ -178,9 +183,10 @@ def payment_rejects(rejects: DataFrame, *more: str | Column) -> DataFrame:
 
 
 def numbered_attempts(attempts: DataFrame) -> DataFrame:
-    """Attempts numbered from 1 inside (property, date), by reference and method."""
-    order = Window.partitionBy("property_id", "op_date").orderBy("reference", "method_id")
-    return attempts.select(*ATTEMPT).withColumn("rank", F.row_number().over(order).cast("bigint"))
+    """Attempts numbered from 1 inside (property, date), by reference and method; a wide date is numbered in blocks."""
+    order = ["reference", "method_id"]
+    rows = in_blocks(attempts.select(*ATTEMPT), ["property_id", "op_date"], order, "block")
+    return number_by_day(rows, ["property_id", "op_date"], "block", order, "rank").drop("block")
 
 
 def numbered_pending(pending: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cadastra.functions import dates, money, text
-from cadastra.operators import arrears, billing, inquiry, intervals, meters, payments, registry, service
+from cadastra.operators import arrears, billing, inquiry, intervals, ledger, meters, payments, registry, service
 from cadastra.rules import Rules
 
 
@@ -284,3 +284,55 @@ def test_cut_cycle_is_the_same_for_hot_properties(spark):
     hot = service.service_cycle(settled, water, gates, F.lit(30000), hot=hot_keys(invoices, "property_id", 5))
     assert plain.count() > 20
     assert sorted(map(str, plain.collect())) == sorted(map(str, hot.select(*plain.columns).collect()))
+
+
+def wide_day(spark, rows: int):
+    """Two thirds of all attempts on one property and date, the references of all sizes; the rest on other dates."""
+    found = spark.range(rows).select(
+        F.when(F.col("id") % 3 < 2, "P").otherwise(F.concat(F.lit("Q"), F.col("id") % 50)).alias("property_id"),
+        F.when(F.col("id") % 3 < 2, F.lit(day("2025-01-03"))).otherwise(F.date_add(F.lit(day("2025-01-01")), (F.col("id") % 7).cast("int"))).alias("op_date"),
+        (1 + F.col("id") % 2).cast("int").alias("method_id"),
+        F.concat(F.lit("ref-"), F.conv(F.xxhash64("id").cast("string"), 10, 36)).alias("reference"),
+    )
+    return payments.valid_attempts(found)
+
+
+def test_a_wide_group_is_cut_into_even_blocks_of_its_order(spark):
+    keys, order = ["property_id", "op_date"], ["reference", "method_id"]
+    tries = wide_day(spark, 30_000)
+    got = ledger.in_blocks(tries, keys, order, "block", wide_rows=500, shares=64).toPandas()
+    assert len(got) == tries.count()
+    wide = got[got.property_id == "P"].sort_values(order)
+    assert wide.block.is_monotonic_increasing and wide.block.nunique() == wide.block.max() + 1
+    assert 20 < wide.block.nunique() < 70 and wide.block.value_counts().max() < 2_000
+    assert set(got[got.property_id != "P"].block) == {0}
+    assert set(ledger.in_blocks(tries, keys, order, "block").select("block").distinct().toPandas().block) == {0}
+
+
+@pytest.mark.parametrize("blocks", [(1_000_000, 1024), (300, 64)])
+def test_attempts_of_a_wide_day_are_paid_in_order(spark, monkeypatch, blocks):
+    """With and without blocks: the k-th attempt pays the k-th invoice, and the rest is rejected."""
+    monkeypatch.setattr(ledger, "WIDE_ROWS", blocks[0])
+    monkeypatch.setattr(ledger, "SHARES", blocks[1])
+    tries = wide_day(spark, 9_000)
+    start = day("2020-01-01")
+    bills = spark.range(2_500).select(
+        F.format_string("I%05d", "id").alias("invoice_id"),
+        F.lit("P").alias("property_id"),
+        F.date_add(F.lit(start), (F.col("id") % 2_000).cast("int")).alias("invoice_date"),
+        F.date_add(F.lit(start), (F.col("id") % 2_000 + 15).cast("int")).alias("due_date"),
+        F.lit(D(100)).cast("decimal(19,4)").alias("original_total"),
+        F.lit(D(100)).cast("decimal(19,4)").alias("final_total"),
+        F.lit(1).alias("state"),
+    )
+    mine = tries.where("property_id = 'P'").toPandas().sort_values(["reference", "method_id"])
+    oldest = bills.toPandas().sort_values(["invoice_date", "invoice_id"]).invoice_id.tolist()
+    open_then = [i for i in oldest if (int(i[1:]) % 2_000) < (day("2025-01-03") - start).days]
+    expected = dict(zip(open_then, mine.reference))
+    settled, rejects = payments.settle(bills, tries)
+    assert dict(values(settled.where("paid_on IS NOT NULL"), "invoice_id", "reference")) == expected
+    refused = {r for (r,) in values(rejects.where("property_id = 'P'"), "reference")}
+    assert refused == set(mine.reference[len(expected):]) and rejects.count() == tries.count() - len(expected)
+    matched, unmatched = payments.positional_batch(bills, tries)
+    assert dict(values(matched, "invoice_id", "reference")) == dict(zip(oldest, mine.reference))
+    assert matched.count() + unmatched.count() == tries.count()
