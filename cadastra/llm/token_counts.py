@@ -24,17 +24,20 @@ TABLE_PIECES, TASK_PIECES = 65_536, 8_192
 
 
 def frequent_pieces(docs: DataFrame, vocabulary: str, text_col: str = "text", n: int = TABLE_PIECES) -> dict[str, int]:
-    """The ``n`` most frequent pieces of all texts (by summaries of ``TASK_PIECES`` pieces a task) with their tokens."""
+    """The ``n`` most frequent pieces of all texts (by summaries of ``TASK_PIECES`` pieces a task) with their tokens.
+
+    Pieces over ``LONGEST_KEPT`` are not counted at all, so that texts without spaces don't fill a task's memory.
+    """
 
     def summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, seen = on_worker(vocabulary), Counter()
         top = lambda k: heapq.nlargest(k, seen.items(), key=lambda x: (x[1], x[0]))
         for batch in slices(batches):
             for text in texts_of(batch.column(0)):
-                seen.update(pieces.split(text))
+                seen.update([p for p in pieces.split(text) if len(p) <= LONGEST_KEPT])
             if len(seen) > 16 * TASK_PIECES:
                 seen = Counter(dict(top(4 * TASK_PIECES)))
-        found = [(p, c) for p, c in top(TASK_PIECES) if len(p) <= LONGEST_KEPT]
+        found = top(TASK_PIECES)
         yield record(pa.schema([("piece", pa.string()), ("n", pa.int64())]), [p for p, _ in found], [c for _, c in found])
 
     counted = docs.select(F.col(text_col).alias("text")).mapInArrow(summary, "piece string, n long")

@@ -13,8 +13,8 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from cadastra.llm import packing, token_files
-from cadastra.llm.pieces import Pieces, vocabulary_text
-from cadastra.llm.token_counts import count_tokens
+from cadastra.llm.pieces import LONGEST_KEPT, Pieces, vocabulary_text
+from cadastra.llm.token_counts import count_tokens, frequent_pieces
 from tests.llm.conftest import found
 
 BYTE, WORD = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
@@ -46,6 +46,15 @@ def test_counts_of_nothing(nothing):
     assert count_tokens(nothing, BYTE).count() == 0
 
 
+def test_long_pieces_are_not_in_the_table(spark):
+    texts = ["x" * (LONGEST_KEPT + k) + " and and" for k in range(4)] * 3
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    table = frequent_pieces(rows, vocabulary_text(BYTE), n=2)
+    assert table == {" and": 1}
+    expected = [(i, len(t), len(library_ids(BYTE, t)), len(library_ids(BYTE, t)) > 512) for i, t in enumerate(texts)]
+    assert found(count_tokens(rows, BYTE), "doc_id", "n_bytes", "n_tokens", "over_limit") == sorted(expected, key=repr)
+
+
 @pytest.mark.parametrize("width", [1, 3, 8, 16, 17, 32])
 def test_bit_packing_reads_any_range(width):
     ids = np.random.default_rng(width).integers(0, 1 << width, 1001, dtype=np.uint64).astype("<u4")
