@@ -47,7 +47,7 @@ def test_counts_of_nothing(nothing):
 
 
 def test_long_pieces_are_not_in_the_table(spark):
-    texts = ["x" * (LONGEST_KEPT + k) + " and and" for k in range(4)] * 3
+    texts = ["x" * (LONGEST_KEPT + k) + " and and" for k in range(1, 5)] * 3
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     table = frequent_pieces(rows, vocabulary_text(BYTE), n=2)
     assert table == {" and": 1}
