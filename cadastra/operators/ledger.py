@@ -46,7 +46,7 @@ def block_bounds(rows: DataFrame, keys: list[str], order: list[str], wide_rows:
     """(keys, _bounds): for each wide group the ascending values of ``order`` that start its second and later blocks.
 
     A row is drawn by the hash of its keys and order, so a repeated task draws the same rows. A block has about as many
-    rows as the least wide group. All groups together have less than ``shares`` of them, whatever the number of rows.
+    rows as the least wide group. All groups together have at most ``shares`` bounds on average, whatever the number of rows.
     """
     counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     total = counts.agg(F.sum("_rows").alias("_all")).select(F.greatest(F.lit(wide_rows), F.ceil(F.col("_all") / shares)).alias("_width"))
