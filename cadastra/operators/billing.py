@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -18,11 +20,16 @@ from cadastra.session import small
 BILLED = [R.WATER, R.LICENCE, R.PROPERTY_TAX, R.GARBAGE, R.PARKS]
 
 
+#: Billing days that one task makes, about.
+TASK_DAYS = 500_000
+
+
 def billing_days(properties: DataFrame, dates: DataFrame) -> DataFrame:
     """(property_id, op_date) for every operation date that bills the property.
 
     The dates are a small calendar keyed by the registration days they bill, so this is an equi-join that emits
-    billing days only.
+    billing days only. A short row of a property becomes one for every month of the calendar, so properties are counted
+    and dealt out by the days they make, not by their own size.
     """
     keys = small(billing_day_keys(dates.select("op_date").distinct()))
     listed = properties.select(
@@ -30,6 +37,9 @@ def billing_days(properties: DataFrame, dates: DataFrame) -> DataFrame:
         F.dayofmonth("registered_on").alias("day_key"),
         F.greatest("registered_on", F.col("op_date")).alias("_first"),
     )
+    tasks = math.ceil(properties.count() * keys.count() / 31 / TASK_DAYS)
+    if tasks > 1:
+        listed = listed.repartition(tasks, "property_id")
     return listed.join(keys, "day_key").where("op_date >= _first").select("property_id", "op_date")
 
 

@@ -7,6 +7,7 @@ import random
 from decimal import Decimal as D
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cadastra.functions import dates, money, text
@@ -67,6 +68,24 @@ def test_billing_days_clamp_to_month_end(spark):
     assert hits == [True, True, True, True, False, False, True, False]
 
 
+def test_billing_days_are_made_by_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(billing, "TASK_DAYS", 1_000)
+    day = dt.date(2024, 1, 15)
+    properties = spark.range(300).select(F.col("id").alias("property_id"), F.lit(day).alias("registered_on"), F.lit(day).alias("op_date"))
+    dates = spark.range(731).select(F.date_add(F.lit(dt.date(2024, 1, 1)), F.col("id").cast("int")).alias("op_date"))
+    made = billing.billing_days(properties.coalesce(1), dates).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in made) == 300 * 24
+    assert max(r["count"] for r in made) < 300 * 24 / 3
+
+
+def test_a_task_sorts_about_as_much_whatever_the_input(spark):
+    rows = spark.range(16_000_000).select((F.col("id") % 500_000).alias("key"), F.xxhash64("id").alias("value"))
+    last = F.row_number().over(Window.partitionBy("key").orderBy("value"))
+    dealt = rows.withColumn("n", last).where("n > 0").groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in dealt) == 16_000_000
+    assert max(r["count"] for r in dealt) < 1_300_000
+
+
 def test_bulk_billing_days_need_registration_and_listing(spark):
     properties = spark.createDataFrame(
         [("A", day("2025-01-31"), day("2025-01-10")), ("B", day("2025-01-31"), day("2025-03-01"))],
