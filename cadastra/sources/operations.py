@@ -97,19 +97,25 @@ def dated(documents: DataFrame) -> DataFrame:
     return documents.where(F.col(CORRUPT).isNull()).withColumn("op_date", F.col("_fecha").try_cast("date"))
 
 
-def rows_of(documents: DataFrame) -> DataFrame:
+def rows_of(documents: DataFrame, *kinds: str) -> DataFrame:
     """Every element and every item of every section as one row, so that a document is parsed once for all that is read of it.
 
     ``kind`` is the section, or ``document`` for the element itself; ``position`` is the item's place in its section. The
     attributes of all sections are text columns, null where a section has none of that name. ``reason`` tells why a load
     cannot take the row, or not all of it; it is null for sound ones. Rows of a broken element are the element alone, without
-    a date; its ``key`` is a digest.
+    a date; its ``key`` is a digest. With ``kinds``, items of these sections only.
+
+    The date is a field of the row that is exploded: a filter on it is not pushed below, where it would parse again.
     """
     names = sorted({name for _, _, attributes in SECTIONS.values() for name in attributes})
     none = F.lit(None).cast("string")
 
+    broken = F.col(CORRUPT).isNotNull()
+    op_date = F.when(~broken, F.col("_fecha").try_cast("date"))
+
     def row(kind: str, position: Column, key: Column, values: dict[str, Column]) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), position.alias("position"), key.alias("key"), *[values.get(n, none).alias(n) for n in names])
+        place = [op_date.alias("op_date"), broken.alias("broken"), F.lit(kind).alias("kind"), position.alias("position"), key.alias("key")]
+        return F.struct(*place, *[values.get(n, none).alias(n) for n in names])
 
     def items(kind: str) -> Column:
         section, item, attributes = SECTIONS[kind]
@@ -119,12 +125,10 @@ def rows_of(documents: DataFrame) -> DataFrame:
 
         return F.transform(f"{section}.{item}", one)
 
-    broken = F.col(CORRUPT).isNotNull()
-    op_date = F.when(~broken, F.col("_fecha").try_cast("date"))
     key = F.when(broken, F.sha2(CORRUPT, 256)).otherwise(F.coalesce("_fecha", F.lit("")))
     element = F.array(row(DOCUMENT, F.lit(None).cast("int"), key, {}))
-    all_items = F.flatten(F.array_compact(F.array(element, *[F.when(~broken, items(kind)) for kind in SECTIONS])))
-    rows = documents.select(op_date.alias("op_date"), broken.alias("broken"), F.explode(all_items).alias("row")).select("op_date", "broken", "row.*")
+    all_items = F.flatten(F.array_compact(F.array(element, *[F.when(~broken, items(kind)) for kind in kinds or SECTIONS])))
+    rows = documents.select(F.explode(all_items).alias("row")).select("row.*")
 
     bad = F.lit(None).cast("array<string>")
     for kind in SECTIONS:
@@ -169,7 +173,7 @@ def stored_rows(documents: DataFrame) -> DataFrame:
 
 
 def shred(documents: DataFrame, kind: str) -> DataFrame:
-    return events_of(rows_of(documents), kind)
+    return events_of(rows_of(documents, kind), kind)
 
 
 def all_events(rows: DataFrame) -> dict[str, DataFrame]:

@@ -291,3 +291,16 @@ def test_meter_stream(spark, tmp_path, compact):
     stream.apply(spark.createDataFrame([(1, d[3], 7, 3, D(1)), (2, d[3], 8, 2, D(1)), (3, d[3], 9, 1, D(4))], schema), 2)
     got = {r["position"]: r["balance"] for r in stream.read("balance").where("batch = 2").collect()}
     assert got == {7: 14, 8: 1, 9: 4}
+
+
+def test_a_document_is_parsed_once_for_its_events(spark):
+    payments = spark.range(50).select(
+        F.lit("2025-01-01").cast("date").alias("op_date"),
+        F.col("id").cast("string").alias("property_id"),
+        F.lit(1).alias("method_id"),
+        F.col("id").cast("string").alias("reference"),
+    )
+    parsed = operations.parse_documents(operations.write_documents(payments, "payment"), "document")
+    events = operations.shred(parsed, "payment")
+    assert events._jdf.queryExecution().optimizedPlan().toString().count("from_xml(") == 1
+    assert events.count() == 50
