@@ -32,6 +32,8 @@ _WORD = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
 _WORKER: dict = {}
 #: Texts whose new words are sorted together: the more of them, the more prefixes are shared.
 BATCH_ROWS = 1024
+#: Distinct words a worker remembers in each of two generations: a word met again costs a look-up, a new one its merges.
+REMEMBERED_WORDS = 400_000
 
 
 @dataclass(frozen=True)
@@ -80,7 +82,7 @@ class Encoder:
             lengths.setdefault(piece[-2:], set()).add(len(piece))
         self._lengths = {end: sorted(n, reverse=True) for end, n in lengths.items() if len(end) == 2}
         self._below = min(vocabulary.scores, default=0.0) - 10.0
-        self.words = Memory(lambda word: next(self.encoded([word])))
+        self.words = Memory(lambda word: next(self.encoded([word])), REMEMBERED_WORDS)
         texts = [(p or "").replace(MARK, " ").encode() for p in vocabulary.pieces]
         if vocabulary.first_byte is not None:
             texts[vocabulary.first_byte : vocabulary.first_byte + 256] = [bytes([b]) for b in range(256)]

@@ -61,3 +61,11 @@ def test_unigram_scores_are_the_best(words):
         pieces = [vocabulary.pieces[k] for k in numbers(ids)]
         assert "".join(pieces) == "▁" + word
         assert abs(sum(scores[p] for p in pieces) - best("▁" + word)) < 1e-9
+
+
+def test_words_met_before_half_a_million_others_are_remembered():
+    encoder = Encoder(Vocabulary.read(MODEL))
+    for k in range(500_000):
+        encoder.words.put(f"w{k}", b"")
+    assert "w0" in encoder.words or "w0" in encoder.words.older
+    assert len(encoder.words) + len(encoder.words.older) <= 800_000
