@@ -20,11 +20,13 @@ PLANNING = {
     # Do not run a (property, date) step on a placement by property alone.
     "spark.sql.requireAllClusterKeysForDistribution": "true",
     # A shuffle is dealt finely and put together again by size, so that a task sorts about as much whatever the input:
-    # the rows of billing days take some sixty times their shuffled bytes in the sorts and windows of one stage. Above
-    # 2000 partitions Spark no longer keeps the size of each.
+    # the rows of billing days take some hundred times their shuffled bytes in the sorts and windows of one stage, and the
+    # tasks of an executor share its memory. Above 2000 partitions Spark no longer keeps the size of each.
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "2000",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4m",
+    # A task sorts what it read to aggregate or deal it out, so it reads a bounded part of a table too.
+    "spark.sql.files.maxPartitionBytes": "32m",
 }
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from cadastra.functions import dates, money, text
 from cadastra.operators import arrears, billing, inquiry, intervals, ledger, meters, payments, registry, service
 from cadastra.rules import Rules
+from cadastra.session import written
 
 
 def day(text_value: str) -> dt.date:
@@ -86,6 +87,28 @@ def test_a_task_sorts_about_as_much_whatever_the_input(spark):
     assert max(r["count"] for r in dealt) < 1_300_000
 
 
+def test_billing_days_are_sorted_in_tasks_of_bounded_size(spark):
+    day = dt.date(2015, 1, 1)
+    properties = spark.range(120_000).select(F.col("id").alias("property_id"), F.lit(day).alias("registered_on"), F.lit(day).alias("op_date"))
+    dates = spark.range(3_653).select(F.date_add(F.lit(day), F.col("id").cast("int")).alias("op_date"))
+    values_known = properties.select("property_id", "op_date", F.lit(1).alias("value"))
+    known = billing.as_of(billing.billing_days(properties, dates), values_known).where("value = 1")
+    dealt = [r["count"] for r in known.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(dealt) == 120_000 * 120
+    assert max(dealt) < 700_000
+
+
+def test_a_task_reads_a_bounded_part_of_a_table(spark):
+    rows = written(spark.range(8_000_000).select(F.xxhash64("id").alias("value")).repartition(4))
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    try:
+        read = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert sum(read) == 8_000_000
+    assert len(read) > 1
+
+
 def test_bulk_billing_days_need_registration_and_listing(spark):
     properties = spark.createDataFrame(
         [("A", day("2025-01-31"), day("2025-01-10")), ("B", day("2025-01-31"), day("2025-03-01"))],
