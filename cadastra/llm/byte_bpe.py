@@ -29,6 +29,8 @@ from cadastra.llm.pieces import Memory
 from cadastra.llm.pieces import packed as packed_ids
 from cadastra.llm.tables import record, slices, texts_of
 
+#: Pieces a worker remembers in each of two generations: a new one costs some twenty times a known one.
+REMEMBERED = 800_000
 #: A character no byte maps to.
 BORDER = "Ā"
 _BEFORE_WORD = re.compile(r"(?= \S)")
@@ -127,7 +129,7 @@ class ByteBpe:
         self.shorter = dict.fromkeys(made, -1)
         for token, k in latin.items():
             self.shorter[k] = next((latin[token[:n]] for n in range(len(token) - 1, 0, -1) if token[:n] in latin), -1)
-        self.pieces = Memory(lambda piece: self.encode_pieces([piece])[0])
+        self.pieces = Memory(lambda piece: self.encode_pieces([piece])[0], REMEMBERED)
 
     def back_track(self, word: str) -> list[int]:
         """Ids of one word (bytes as Latin-1) from the longest matches, going back where neighbours do not stay apart."""

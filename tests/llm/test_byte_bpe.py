@@ -74,6 +74,17 @@ def test_a_memory_that_turns_over_changes_nothing(rows):
     assert small.encode_all(texts) + small.encode_all(texts) == CODERS[PATHS[0]].encode_all(texts) * 2
 
 
+def test_a_worker_remembers_the_pieces_of_a_large_part():
+    coder, asked = ByteBpe(Merges.read(PATHS[0], PATTERN)), []
+    plain = coder.encode_pieces
+    coder.encode_pieces = lambda pieces: asked.extend(pieces) or plain(pieces)
+    first = coder.encode_all([" first"])
+    for k in range(900_000):
+        coder.pieces.put(f" w{k}", b"")
+    assert coder.encode_all([" first"]) == first
+    assert asked.count(" first") == 1
+
+
 def test_table(docs, rows):
     path = PATHS[0]
     ids = [np.array(LIBRARY[path].encode_ordinary(t or ""), "<u4") for _, t in rows]
