@@ -89,10 +89,11 @@ class Pieces:
     """Splits texts into pieces and encodes them.
 
     Most pieces are Latin-1 letters with ASCII marks behind, which are two tokens of the splitting pattern at most; each
-    goes straight to the library's merge model. All other pieces take the library's whole path.
+    goes straight to the library's merge model. All other pieces take the library's whole path. ``remembered`` pieces and
+    ``words`` (the same without marks) are kept in each of two generations.
     """
 
-    def __init__(self, vocabulary: str):
+    def __init__(self, vocabulary: str, remembered: int = REMEMBERED, words: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -102,8 +103,8 @@ class Pieces:
         self._library.no_padding()
         self._merge, self._spelt = self._library.model.tokenize, byte_letters()
         self.size = self._library.get_vocab_size(with_added_tokens=True)
-        self._word = Memory(lambda word: packed([t.id for t in self._merge(word.translate(self._spelt))]))
-        self.packed = Memory(self._packed)
+        self._word = Memory(lambda word: packed([t.id for t in self._merge(word.translate(self._spelt))]), words)
+        self.packed = Memory(self._packed, remembered)
 
     def ids_of(self, text: str) -> list[int]:
         return self._library.encode(text, add_special_tokens=False).ids
@@ -133,9 +134,9 @@ class Pieces:
         return b"".join(map(self.packed.__getitem__, self.split(text)))
 
 
-def on_worker(vocabulary: str) -> Pieces:
-    """One ``Pieces`` per vocabulary and worker process, kept from task to task."""
-    key = hashlib.sha256(vocabulary.encode()).digest()
+def on_worker(vocabulary: str, remembered: int = REMEMBERED, words: int = REMEMBERED) -> Pieces:
+    """One ``Pieces`` per vocabulary, sizes and worker process, kept from task to task."""
+    key = hashlib.sha256(vocabulary.encode()).digest(), remembered, words
     if key not in _WORKER:
-        _WORKER[key] = Pieces(vocabulary)
+        _WORKER[key] = Pieces(vocabulary, remembered, words)
     return _WORKER[key]

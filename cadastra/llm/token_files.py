@@ -30,6 +30,9 @@ from cadastra.session import work_dir
 
 #: A block ends with the document that brings it to this many ids; a longer document has a block of its own.
 BLOCK_IDS = 65_536
+#: Pieces, and their words without marks, that a worker remembers in each of two generations. A known piece needs no word,
+#: so the memory goes to the pieces.
+REMEMBERED, WORDS = 500_000, 100_000
 
 BLOCKS = pa.schema(
     [("shard", pa.int32()), ("block", pa.int32()), ("width", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("starts", pa.list_(pa.int64()))]
@@ -63,7 +66,7 @@ def write_token_files(docs: DataFrame, vocabulary_path: str, path: str, end_id:
     vocabulary = vocabulary_text(vocabulary_path)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, shard = on_worker(vocabulary), TaskContext.get().partitionId()
+        pieces, shard = on_worker(vocabulary, REMEMBERED, WORDS), TaskContext.get().partitionId()
         width = max(pieces.size - 1, end_id, 1).bit_length()
         end = np.array([end_id], "<u4").tobytes()
         ids, owners, starts, before, block = [], [], [0], 0, 0

@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from cadastra.llm import packing, token_files
-from cadastra.llm.pieces import LONGEST_KEPT, Pieces, vocabulary_text
+from cadastra.llm.pieces import LONGEST_KEPT, Pieces, on_worker, vocabulary_text
 from cadastra.llm.token_counts import count_tokens, frequent_pieces
 from tests.llm.conftest import found
 
@@ -73,6 +73,17 @@ def test_token_files(docs, rows):
     assert found(token_files.token_files(docs, WORD, 2), "doc_id", "start", "n_tokens", "ids_crc32") == sorted(expected, key=repr)
 
 
+def test_a_worker_remembers_the_pieces_of_a_large_part(monkeypatch):
+    pieces, asked = on_worker(vocabulary_text(WORD), token_files.REMEMBERED, token_files.WORDS), []
+    plain = pieces.packed.make
+    monkeypatch.setattr(pieces.packed, "make", lambda piece: asked.append(piece) or plain(piece))
+    first = pieces.ids("first,")
+    for k in range(600_000):
+        pieces.packed.put(f"w{k}", b"")
+    assert pieces.ids("first,") == first
+    assert asked == ["first,"]
+
+
 def test_token_files_of_nothing(nothing):
     assert token_files.token_files(nothing, WORD, 2).count() == 0
 
