@@ -49,32 +49,59 @@ def with_desk(attempts: DataFrame, desk: DataFrame) -> DataFrame:
     return attempts.withColumn("made_on", F.col("op_date")).unionByName(made, allowMissingColumns=True)
 
 
-def settlement_rows(invoices: DataFrame, attempts: DataFrame) -> DataFrame:
-    """Attempts (phase 0; the desk's 2) and invoices (phase 1) in one table, numbered inside (property, date, phase, block).
+def numbered_tries(attempts: DataFrame) -> DataFrame:
+    """Attempts in steps (phase 0; the desk's 2; see ``STEP``). Payments of a date run before its invoices (phase 1), those of
+    the desk after them in the order of the batches."""
+    phase = F.when(F.col("batch").isNull(), 0).otherwise(2) if "batch" in attempts.columns else F.lit(0)
+    return in_blocks(attempts.withColumn("phase", phase), ["property_id", "op_date", "phase"], turn_order(attempts), "block")
+
+
+def turn_order(attempts: DataFrame) -> list[str]:
+    """Order of the attempts of one step."""
+    return [*(["number"] if "batch" in attempts.columns else []), "reference", "method_id"]
 
-    Payments of a date run before its invoices, those of the desk after them in the order of the batches. Numbering stays
-    inside one block of a day, so a property with any share of the rows is spread over its dates, and a date over blocks
-    of its attempts; invoices have one block, as a property is billed once a date. Rows without property or date are left
-    out here already: otherwise the join with the ledger infers that filter for one of its two inputs only, and their
-    shuffle is not shared.
+
+def as_steps(invoices: DataFrame) -> DataFrame:
+    """Invoices in phase 1 of their date, which has one block.
+
+    Rows without property or date are left out here already: otherwise the join with the ledger infers that filter for one
+    of its two inputs only, and their shuffle is not shared.
     """
-    desk = "batch" in attempts.columns
-    phase = F.when(F.col("batch").isNull(), 0).otherwise(2) if desk else F.lit(0)
-    order = [*(["number"] if desk else []), "reference", "method_id"]
-    tries = in_blocks(attempts.withColumn("phase", phase), ["property_id", "op_date", "phase"], order, "block")
-    events = tries.unionByName(
+    return (
         invoices.withColumnRenamed("invoice_date", "op_date")
         .where("property_id IS NOT NULL AND op_date IS NOT NULL")
-        .withColumns({"phase": F.lit(1), "block": F.lit(0)}),
-        allowMissingColumns=True,
+        .withColumns({"phase": F.lit(1), "block": F.lit(0)})
     )
-    in_step = Window.partitionBy(*STEP).orderBy(*order, "invoice_id")
+
+
+def settlement_rows(invoices: DataFrame, attempts: DataFrame) -> DataFrame:
+    """Attempts and invoices in one table, numbered inside (property, date, phase, block).
+
+    Numbering stays inside one block of a day, so a property with any share of the rows is spread over its dates, and a
+    date over blocks of its attempts.
+    """
+    events = numbered_tries(attempts).unionByName(as_steps(invoices), allowMissingColumns=True)
+    in_step = Window.partitionBy(*STEP).orderBy(*turn_order(attempts), "invoice_id")
     return events.withColumn("in_step", F.row_number().over(in_step)).withColumn(
         "sibling_due", F.lead("due_date").over(in_step)
     )
 
 
-def settlement_ledger(rows: DataFrame) -> DataFrame:
+def counted_steps(rows: DataFrame) -> DataFrame:
+    """One row per (property, date, phase, block): how many rows, and the first due date."""
+    return rows.groupBy(*STEP).agg(F.count(F.lit(1)).alias("n"), F.min("due_date").alias("due_date"))
+
+
+def following(value: str) -> Column:
+    """The next value in the steps of the property that is not null."""
+    return F.expr(f"lead({value}) IGNORE NULLS OVER (PARTITION BY property_id ORDER BY {', '.join(STEP[1:])})")
+
+
+#: Due date and date of the next invoice day.
+NEXT = {"next_due": "due_date", "next_day": "CASE WHEN phase = 1 THEN op_date END"}
+
+
+def settlement_ledger(steps: DataFrame) -> DataFrame:
     """One row per (property, date, phase, block): how many attempts pay, and where invoice ranks start.
 
     With A attempts and I invoices so far, the attempts rejected so far are R = max over steps of (A - I), floored
@@ -83,17 +110,14 @@ def settlement_ledger(rows: DataFrame) -> DataFrame:
     * phases 0 and 2: ``before`` (attempts that paid earlier) and ``pays`` (how many of these do);
     * phase 1: ``before`` (invoices of earlier days), ``next_due`` and ``next_day`` (due date and date of the next invoice day).
     """
-    steps = rows.groupBy(*STEP).agg(F.count(F.lit(1)).alias("n"), F.min("due_date").alias("due_date"))
     ordered = running(["property_id"], STEP[1:])
     sorted_steps = Window.partitionBy("property_id").orderBy(*STEP[1:])
     is_attempt = F.col("phase") != 1
-    following = f"lead({{}}) IGNORE NULLS OVER (PARTITION BY property_id ORDER BY {', '.join(STEP[1:])})"
     sums = steps.withColumns(
         {
             "tried": F.sum(F.when(is_attempt, F.col("n")).otherwise(0)).over(ordered),
             "issued": F.sum(F.when(is_attempt, 0).otherwise(F.col("n"))).over(ordered),
-            "next_due": F.expr(following.format("due_date")),
-            "next_day": F.expr(following.format("CASE WHEN phase = 1 THEN op_date END")),
+            **{name: following(value) for name, value in NEXT.items()},
         }
     )
     rejected = F.greatest(F.max(F.col("tried") - F.col("issued")).over(ordered), F.lit(0))
@@ -105,21 +129,55 @@ def settlement_ledger(rows: DataFrame) -> DataFrame:
             *STEP,
             F.when(is_attempt, F.col("paid_before")).otherwise(F.col("issued") - F.col("n")).alias("before"),
             (F.col("paid") - F.col("paid_before")).alias("pays"),
-            "next_due",
-            "next_day",
+            *NEXT,
         )
     )
 
 
+def paired(rows: DataFrame, payer: dict[str, str]) -> DataFrame:
+    """Invoices among the placed ``rows`` with ``rank`` and the columns ``payer`` of the attempt that pays them."""
+    pays = (F.col("phase") == 1) | (F.col("in_step") <= F.col("pays"))
+    # An attempt and the invoice it pays share (property, rank); the attempt sorts first.
+    pair = Window.partitionBy("property_id", "rank").orderBy(F.col("phase") == 1)
+    return (
+        rows.where(pays)
+        .withColumn("rank", F.col("before") + F.col("in_step"))
+        .withColumns({name: F.lag(column).over(pair) for name, column in payer.items()})
+        .where("phase = 1")
+    )
+
+
+def paired_by_day(invoices: DataFrame, tries: DataFrame, payer: dict[str, str]) -> DataFrame:
+    """Like ``paired`` for ``invoices`` of which a property has at most one a date, placed ``tries`` aside.
+
+    Such invoices are steps themselves: one window by property ranks them, and the paying attempts, no more than they are,
+    come to their property as one list in the order of the ranks, which run from 1. So invoices are dealt out once.
+    """
+    of_property = Window.partitionBy("property_id").orderBy(*STEP[1:])
+    placed = (F.col("before") + F.col("in_step")).alias("rank")
+    paying = tries.where("in_step <= pays").select("property_id", F.struct(placed, *[F.col(c).alias(n) for n, c in payer.items()]).alias("_payer"))
+    payers = paying.groupBy("property_id").agg(F.sort_array(F.collect_list("_payer")).alias("_payers"))
+    ranked = as_steps(invoices).withColumns(
+        {
+            "rank": F.row_number().over(of_property).cast("bigint"),
+            "sibling_due": F.lit(None).cast("date"),
+            **{name: following(value) for name, value in NEXT.items()},
+        }
+    )
+    mine = F.get("_payers", (F.col("rank") - 1).cast("int"))
+    return ranked.join(payers, "property_id", "left").withColumns({name: mine[name] for name in payer}).drop("_payers")
+
+
 def settle(
-    invoices: DataFrame, attempts: DataFrame, rules: Rules = Rules(), desk: DataFrame | None = None
+    invoices: DataFrame, attempts: DataFrame, rules: Rules = Rules(), desk: DataFrame | None = None, daily: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """Match payment attempts to invoices, oldest invoice first.
 
     ``invoices``: invoice_id, property_id, invoice_date, due_date, original_total. ``attempts``: see ``ATTEMPT``.
     Returns (settled, rejects): ``settled`` is every invoice with paid_on, method_id, reference and interest (null
     while unpaid); ``rejects`` are the attempts that found nothing pending. An attempt sees the invoices dated
-    before it.
+    before it. ``daily`` says that a property has at most one invoice a date, as generated ones: the result is the same, for
+    one shuffle of the invoices and one of their dates.
 
     ``desk`` (``DESK_ATTEMPT``) are attempts made at the desk: each sees the invoices up to the date the desk had seen.
     Both results then also carry ``batch`` and ``settled_on``, the operation date after which a payment took its turn;
@@ -127,29 +185,29 @@ def settle(
     """
     tries = valid_attempts(attempts)
     made, date = ([], "op_date") if desk is None else (["batch", "settled_on"], "made_on")
-    numbered = settlement_rows(invoices, tries if desk is None else with_desk(tries, desk))
-    rows = numbered.join(settlement_ledger(numbered), STEP)
-    pays = (F.col("phase") == 1) | (F.col("in_step") <= F.col("pays"))
-    # An attempt and the invoice it pays share (property, rank); the attempt sorts first.
-    pair = Window.partitionBy("property_id", "rank").orderBy(F.col("phase") == 1)
-    of_desk = {} if desk is None else {"batch": F.lag("batch").over(pair), "settled_on": F.lag("op_date").over(pair)}
+    if desk is not None:
+        tries = with_desk(tries, desk)
+    payer = {"paid_on": date, "method_id": "method_id", "reference": "reference"}
+    if desk is not None:
+        payer |= {"batch": "batch", "settled_on": "op_date"}
+    if daily:
+        turns = numbered_tries(tries)
+        in_step = F.row_number().over(Window.partitionBy(*STEP).orderBy(*turn_order(tries)))
+        counted = turns.groupBy(*STEP).agg(F.count(F.lit(1)).alias("n"))
+        days = as_steps(invoices).select(*STEP, F.lit(1).cast("bigint").alias("n"))
+        ledger = settlement_ledger(counted.unionByName(days).withColumn("due_date", F.lit(None).cast("date")))
+        rows = turns.withColumn("in_step", in_step).join(ledger.where("phase <> 1").drop(*NEXT), STEP)
+        found = paired_by_day(invoices, rows, payer)
+    else:
+        numbered = settlement_rows(invoices, tries)
+        rows = numbered.join(settlement_ledger(counted_steps(numbered)), STEP)
+        found = paired(rows, payer)
     next_due = F.col("next_due")
     if desk is not None:
         next_due = F.when(F.col("batch").isNull() | (F.col("next_day") <= F.col("settled_on")), next_due)
     interest = late_interest(F.col("original_total"), F.col("due_date"), F.col("paid_on"), rules)
     settled = (
-        rows.where(pays)
-        .withColumn("rank", F.col("before") + F.col("in_step"))
-        .withColumns(
-            {
-                "paid_on": F.lag(date).over(pair),
-                "method_id": F.lag("method_id").over(pair),
-                "reference": F.lag("reference").over(pair),
-                **of_desk,
-            }
-        )
-        .where("phase = 1")
-        .withColumn("next_due", F.coalesce(F.col("sibling_due"), next_due))
+        found.withColumn("next_due", F.coalesce("sibling_due", next_due))
         .withColumn("interest", F.when(F.col("paid_on").isNotNull(), interest))
         .withColumnRenamed("op_date", "invoice_date")
         .select(*invoices.columns, "rank", "next_due", "paid_on", "method_id", "reference", "interest", *made)

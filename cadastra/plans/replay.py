@@ -15,7 +15,7 @@ from cadastra.functions.money import money, zero
 from cadastra.operators import billing, intervals, meters, payments, registry, service
 from cadastra.rules import Rules
 from cadastra.sources.catalog import Catalog
-from cadastra.session import scope, written
+from cadastra.session import placed_by_property, scope, written
 from cadastra.sources.operations import all_events, dates_of, duplicate_dates, rejects_of, stored_rows
 from cadastra.sources.store import Store
 
@@ -144,14 +144,16 @@ def replay_tables(
     billed = billing.billing_days(listed, dates)
     facts = billing.billing_facts(billed, listed, fiscal, balances)
     invoice, base_lines = billed_tables(facts, spans, catalog.charges, rules)
-    invoice = put("invoice", invoice)
+    with placed_by_property(invoice.sparkSession):
+        invoice = put("invoice", invoice)
 
-    issued = invoice.withColumnRenamed("op_date", "invoice_date")
-    settled, unmatched = payments.settle(issued, events["payment"], rules, events.get("desk"))
+    issued = invoice.withColumnRenamed("op_date", "invoice_date").drop("water_mark")
+    settled, unmatched = payments.settle(issued, events["payment"], rules, events.get("desk"), daily=True)
     settled = cut(settled)
     water = service.water_intervals(listed, catalog.uses, spans, catalog.charges, rules)
     gates = days.where("gate").select("op_date")
-    cycle = cut(service.service_cycle(settled, water, gates, catalog.reconnection_fee(), rules))
+    with placed_by_property(invoice.sparkSession):
+        cycle = cut(service.service_cycle(settled, water, gates, catalog.reconnection_fee(), rules))
     put("cut_open", cycle.select(F.col("created_on").alias("op_date"), "property_id", "invoice_id"))
     closed = cycle.where("closed_on IS NOT NULL").select(
         F.col("closed_on").alias("op_date"), "property_id", "invoice_id", F.col("closed_batch").alias("batch"), F.col("closed_after").alias("seen")

@@ -74,6 +74,45 @@ def scope(spark: SparkSession) -> Iterator[None]:
         folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+#: Spark removes the shuffle files of an execution at its end, not when the driver's garbage collection finds them unused.
+OWN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+#: A stage that does more steps for each row it reads takes smaller parts (see ``PLANNING``).
+BY_PROPERTY = {"spark.sql.requireAllClusterKeysForDistribution": "false", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2m"}
+
+
+@contextmanager
+def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+def own_shuffles(spark: SparkSession):
+    """Shuffle files of what is written inside go with each write, so steps that follow each other don't add up on disk.
+
+    For writes only: they plan a table anew, so nothing reads these files again.
+    """
+    return _settings(spark, {OWN_SHUFFLES: "true"})
+
+
+def placed_by_property(spark: SparkSession):
+    """What is written inside may run its (property, date) steps on a placement by property, without another shuffle.
+
+    For tables of which a property has a few rows a date, once raw rows have been brought to that.
+    """
+    return _settings(spark, BY_PROPERTY)
+
+
 def written(df: DataFrame, *by: str) -> DataFrame:
     """``df`` written as parquet in the work folder and read back: short lineage, column pruning, statistics.
 
@@ -81,7 +120,8 @@ def written(df: DataFrame, *by: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{_SCOPE.get() or work_dir(spark)}/cut-{uuid.uuid4().hex}"
-    df.write.partitionBy(*by).parquet(path)
+    with own_shuffles(spark):
+        df.write.partitionBy(*by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

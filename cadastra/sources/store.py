@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cadastra import schemas
+from cadastra.session import own_shuffles
 from cadastra.sources.commits import CommitLog
 
 #: Tables that the desk writes to.
@@ -203,10 +204,12 @@ class Store:
         if table.startswith("desk/"):
             schema = _with_batch(table.removeprefix("desk/"))
             rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-            rows.write.mode("overwrite").parquet(self.location(table))
+            with own_shuffles(self.spark):
+                rows.write.mode("overwrite").parquet(self.location(table))
             return self.spark.read.schema(schema).parquet(self.location(table))
         shaped = self._shaped(table, df).hint("rebalance", "op_date")
-        shaped.write.mode("overwrite").partitionBy("op_date").parquet(self.location(table))
+        with own_shuffles(self.spark):
+            shaped.write.mode("overwrite").partitionBy("op_date").parquet(self.location(table))
         return self.spark.read.schema(schemas.LOGS[table]).parquet(self.location(table))
 
     def write_day(self, table: str, day: dt.date, df: DataFrame) -> DataFrame:
