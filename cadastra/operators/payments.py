@@ -92,11 +92,6 @@ def counted_steps(rows: DataFrame) -> DataFrame:
     return rows.groupBy(*STEP).agg(F.count(F.lit(1)).alias("n"), F.min("due_date").alias("due_date"))
 
 
-def following(value: str) -> Column:
-    """The next value in the steps of the property that is not null."""
-    return F.expr(f"lead({value}) IGNORE NULLS OVER (PARTITION BY property_id ORDER BY {', '.join(STEP[1:])})")
-
-
 #: Due date and date of the next invoice day.
 NEXT = {"next_due": "due_date", "next_day": "CASE WHEN phase = 1 THEN op_date END"}
 
@@ -113,11 +108,12 @@ def settlement_ledger(steps: DataFrame) -> DataFrame:
     ordered = running(["property_id"], STEP[1:])
     sorted_steps = Window.partitionBy("property_id").orderBy(*STEP[1:])
     is_attempt = F.col("phase") != 1
+    following = f"lead({{}}) IGNORE NULLS OVER (PARTITION BY property_id ORDER BY {', '.join(STEP[1:])})"
     sums = steps.withColumns(
         {
             "tried": F.sum(F.when(is_attempt, F.col("n")).otherwise(0)).over(ordered),
             "issued": F.sum(F.when(is_attempt, 0).otherwise(F.col("n"))).over(ordered),
-            **{name: following(value) for name, value in NEXT.items()},
+            **{name: F.expr(following.format(value)) for name, value in NEXT.items()},
         }
     )
     rejected = F.greatest(F.max(F.col("tried") - F.col("issued")).over(ordered), F.lit(0))
@@ -153,19 +149,20 @@ def paired_by_day(invoices: DataFrame, tries: DataFrame, payer: dict[str, str])
     Such invoices are steps themselves: one window by property ranks them, and the paying attempts, no more than they are,
     come to their property as one list in the order of the ranks, which run from 1. So invoices are dealt out once.
     """
-    of_property = Window.partitionBy("property_id").orderBy(*STEP[1:])
+    of_property = Window.partitionBy("property_id").orderBy("invoice_date")
     placed = (F.col("before") + F.col("in_step")).alias("rank")
     paying = tries.where("in_step <= pays").select("property_id", F.struct(placed, *[F.col(c).alias(n) for n, c in payer.items()]).alias("_payer"))
     payers = paying.groupBy("property_id").agg(F.sort_array(F.collect_list("_payer")).alias("_payers"))
-    ranked = as_steps(invoices).withColumns(
+    ranked = invoices.where("property_id IS NOT NULL AND invoice_date IS NOT NULL").withColumns(
         {
             "rank": F.row_number().over(of_property).cast("bigint"),
             "sibling_due": F.lit(None).cast("date"),
-            **{name: following(value) for name, value in NEXT.items()},
+            "next_due": F.expr("lead(due_date) IGNORE NULLS OVER (PARTITION BY property_id ORDER BY invoice_date)"),
+            "next_day": F.lead("invoice_date").over(of_property),
         }
     )
     mine = F.get("_payers", (F.col("rank") - 1).cast("int"))
-    return ranked.join(payers, "property_id", "left").withColumns({name: mine[name] for name in payer}).drop("_payers")
+    return ranked.join(payers, "property_id", "left").withColumns({name: mine[name] for name in payer}).withColumnRenamed("invoice_date", "op_date")
 
 
 def settle(
@@ -176,8 +173,8 @@ def settle(
     ``invoices``: invoice_id, property_id, invoice_date, due_date, original_total. ``attempts``: see ``ATTEMPT``.
     Returns (settled, rejects): ``settled`` is every invoice with paid_on, method_id, reference and interest (null
     while unpaid); ``rejects`` are the attempts that found nothing pending. An attempt sees the invoices dated
-    before it. ``daily`` says that a property has at most one invoice a date, as generated ones: the result is the same, for
-    one shuffle of the invoices and one of their dates.
+    before it. ``daily`` says that a property has at most one invoice a date, as generated ones, which need no invoice_id
+    then: the result is the same, for one shuffle of the invoices and one of their dates.
 
     ``desk`` (``DESK_ATTEMPT``) are attempts made at the desk: each sees the invoices up to the date the desk had seen.
     Both results then also carry ``batch`` and ``settled_on``, the operation date after which a payment took its turn;

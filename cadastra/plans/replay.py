@@ -147,18 +147,22 @@ def replay_tables(
     with placed_by_property(invoice.sparkSession):
         invoice = put("invoice", invoice)
 
-    issued = invoice.withColumnRenamed("op_date", "invoice_date").drop("water_mark")
+    # The date names an invoice inside its property and is shorter than the id, which is put on where rows are few.
+    named = lambda date: billing.invoice_key(F.col("property_id"), F.col(date))
+    issued = invoice.select(F.col("op_date").alias("invoice_date"), "property_id", "due_date", "original_total")
     settled, unmatched = payments.settle(issued, events["payment"], rules, events.get("desk"), daily=True)
     settled = cut(settled)
     water = service.water_intervals(listed, catalog.uses, spans, catalog.charges, rules)
     gates = days.where("gate").select("op_date")
+    by_date = settled.withColumn("invoice_id", F.col("invoice_date"))
+    cycle = service.service_cycle(by_date, water, gates, catalog.reconnection_fee(), rules)
     with placed_by_property(invoice.sparkSession):
-        cycle = cut(service.service_cycle(settled, water, gates, catalog.reconnection_fee(), rules))
+        cycle = cut(cycle.withColumns({c: named(c) for c in ("invoice_id", "fee_invoice_id")}))
     put("cut_open", cycle.select(F.col("created_on").alias("op_date"), "property_id", "invoice_id"))
     closed = cycle.where("closed_on IS NOT NULL").select(
         F.col("closed_on").alias("op_date"), "property_id", "invoice_id", F.col("closed_batch").alias("batch"), F.col("closed_after").alias("seen")
     )
-    paid = paid_rows(settled, service.fees(cycle))
+    paid = paid_rows(settled.withColumn("invoice_id", named("invoice_date")), service.fees(cycle))
     if "desk" in events:
         paid = cut(paid)
         put("reconnection", service.reconnection_orders(cycle, days))
